@@ -42,24 +42,26 @@ def decoded_notes(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(safe, F.lit("+"), F.lit("%2B"))), F.lit(""))
 
 
-# Common markup only, in this order: (pattern, replacement).
-_MARKUP = [
+# Common markup, stripped in this order: (pattern, replacement).
+MARKUP = [
     (r"(?m)^```.*$", ""),
     (r"!\[([^\]]*)\]\([^)]*\)", "$1"),
     (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-    (r"(?m)^\s{0,3}#{1,6}\s+", ""),
-    (r"(?m)^\s{0,3}>\s?", ""),
-    (r"(?m)^\s*[-*+]\s+", ""),
-    (r"(?m)^\s*\d+\.\s+", ""),
-    (r"(\*\*|__)(.+?)\1", "$2"),
-    (r"(\*|_)(.+?)\1", "$2"),
+    (r"(?m)^ {0,3}#{1,6} +", ""),
+    (r"(?m)^ {0,3}> ?", ""),
+    (r"(?m)^ *[-*+] +", ""),
+    (r"(?m)^ *[0-9]+\. +", ""),
+    (r"\*\*([^\s*](?:.*?[^\s*])?)\*\*", "$1"),
+    (r"__([^\s_](?:.*?[^\s_])?)__", "$1"),
+    (r"\*([^\s*](?:.*?[^\s*])?)\*", "$1"),
+    (r"(^|[ (])_([^\s_](?:.*?[^\s_])?)_($|[ ).,;:!?])", "$1$2$3"),
     (r"`([^`]*)`", "$1"),
 ]
 
 
 def plain_notes(text: Column) -> Column:
     """Markdown notes as plain text."""
-    for pattern, replacement in _MARKUP:
+    for pattern, replacement in MARKUP:
         text = F.regexp_replace(text, pattern, replacement)
     return text
 

@@ -159,12 +159,12 @@ def with_boot_volume(servers: DataFrame, resources: DataFrame) -> DataFrame:
 
 
 def with_image_os(servers: DataFrame, images: DataFrame, initializations: DataFrame) -> DataFrame:
-    """Servers with the operating system of their image. Bare metal servers name theirs when initialised."""
+    """Servers with the operating system of their image, which bare metal servers name when initialised."""
     started = lookup_join(
         servers, initializations.select("id", F.col("image.id").alias("image_id")), "id", "id",
         {"image_id": "_started_image"}, spread=["crn"],
     )
-    image = F.coalesce(F.col("image.id"), F.col("_started_image"))
+    image = F.when(F.col("bare_metal"), F.col("_started_image")).otherwise(F.col("image.id"))
     system = images.select(
         "id",
         *[F.col(f"operating_system.{field}").alias(f"OS{field.capitalize()}") for field in ("name", "vendor", "version")],

@@ -22,6 +22,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "clou
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
