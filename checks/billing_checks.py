@@ -233,7 +233,7 @@ def _line_query(name: str, columns: list[str], where: str = ""):
 
     @check(name, f"{LINES} SELECT {', '.join(picked)} FROM line {where}")
     def _(spark, sf_dir):
-        rows = lines(spark, sf_dir)
+        rows = lines(spark, sf_dir, notes="storage_notes" in columns)
         if where:
             rows = rows.filter(where.removeprefix("WHERE "))
         return rows.select(
@@ -278,7 +278,7 @@ LINE_CATEGORY = """CASE WHEN Category_Group = 'Virtual Servers and Attached Serv
     FROM line WHERE RecordType = 'Parent'""",
 )
 def _(spark, sf_dir):
-    rows = lines(spark, sf_dir).filter(F.col("RecordType") == "Parent")
+    rows = lines(spark, sf_dir, children=False)
     return rows.select(
         "Portal_Invoice_Number", "BillingItemId",
         charges.parent_line_category(
@@ -321,19 +321,19 @@ def _(spark, sf_dir):
 # --- pivots ---------------------------------------------------------------------------------------------------
 
 
-def _months_report(name, build, source, keys, cells, total="Total", fill=True, cte=LINES_CTE):
-    sql = pivot_sql(cte, source, keys, cells, "billing_month", MONTHS, total, fill)
+def _months_report(name, build, source, keys, cells, total="Total", fill=True, **wanted):
+    sql = pivot_sql(LINES_CTE, source, keys, cells, "billing_month", MONTHS, total, fill)
 
     @check(name, sql)
     def _(spark, sf_dir):
-        return build(lines(spark, sf_dir), MONTHS)
+        return build(lines(spark, sf_dir, **wanted), MONTHS)
 
 
 _PARENTS = "SELECT * FROM line WHERE RecordType = 'Parent'"
 _months_report("category_group_summary", reports.category_group_summary, _PARENTS,
-               ["Type", "dPart", "Category_Group", "Category"], {"totalAmount": MONEY})
+               ["Type", "dPart", "Category_Group", "Category"], {"totalAmount": MONEY}, children=False)
 _months_report("category_detail", reports.category_detail, _PARENTS,
-               ["Type", "Category_Group", "Category", "Description"], {"totalAmount": MONEY})
+               ["Type", "Category_Group", "Category", "Description"], {"totalAmount": MONEY}, children=False)
 _months_report(
     "object_storage_detail", reports.object_storage_detail,
     """SELECT *, coalesce(CAST(round(childUsage * 100) AS BIGINT), 0) AS usage_cents,
@@ -347,7 +347,7 @@ _months_report("storage_pivot", reports.storage_pivot,
                f"""SELECT * FROM ({WITH_RECURRING}) AS r WHERE Category = 'Storage As A Service'
                OR (Category = 'Endurance' AND Type = 'RECURRING')""",
                ["location", "Category", "billing_notes", "storage_notes", "Description"],
-               {"TotalRecurring": RECURRING}, total=None)
+               {"TotalRecurring": RECURRING}, total=None, notes=True)
 
 
 def _server_source(category: str, hourly: bool) -> str:
@@ -429,7 +429,7 @@ def _(spark, sf_dir):
     f"{LINES} SELECT * EXCLUDE (amount_milli), CAST(amount_milli AS DOUBLE) / 1000 AS totalAmount FROM line",
 )
 def _(spark, sf_dir):
-    return reports.invoice_detail(lines(spark, sf_dir))
+    return reports.invoice_detail(lines(spark, sf_dir, notes=True))
 
 
 @check("distinct_months", f"{LINES} SELECT DISTINCT billing_month FROM line")

@@ -205,8 +205,10 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_part_descriptions(lines)
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return invoice_lines(invoices(spark, sf_dir), items(spark, sf_dir), volumes(spark, sf_dir))
+def lines(spark: SparkSession, sf_dir: str, notes: bool = False, children: bool = True) -> DataFrame:
+    """Invoice lines; storage notes and children only where a query needs them."""
+    storage = volumes(spark, sf_dir) if notes else None
+    return invoice_lines(invoices(spark, sf_dir), items(spark, sf_dir), storage, children=children)
 
 
 _N = "n_children"

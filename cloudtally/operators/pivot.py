@@ -25,6 +25,18 @@ class Measure:
     def source(self) -> str:
         return self.column or self.name
 
+    def reduced(self) -> Column:
+        """The measure over raw rows. A group of NULLs sums to 0; only a group without rows stays empty."""
+        if self.kind == "rows":
+            return F.count(F.lit(1)).alias(self.name)
+        return F.sum(F.coalesce(F.col(self.source), F.lit(0))).alias(self.name)
+
+    def combined(self) -> Column:
+        """The measure over reduced rows."""
+        if self.kind == "distinct":
+            return F.count_distinct("_counted").alias(self.name)
+        return F.sum(self.name).alias(self.name)
+
 
 def pivot_report(
     df: DataFrame,
@@ -43,23 +55,57 @@ def pivot_report(
     subtotals. Distinct counts in them are counted over the rows, not summed. ``fill`` puts 0 in empty cells.
     ``total_of_nothing`` keeps the total row when no row qualifies. Sums of decimals are exact and come out as
     double. The result is not ordered: see ``ordered``.
+
+    The rows are read once and reduced to one per key and month (and counted value) before the first shuffle; body
+    and totals are both made of these reduced rows. Distinct counts shuffle by group and value, so that no task
+    holds all values of a hot group.
     """
-    keyed = df
-    for name in keys:
-        keyed = keyed.filter(F.col(name).isNotNull())
+    counted = {m.source for m in measures if m.kind == "distinct"}
+    if len(counted) > 1:
+        raise ValueError("distinct counts of one column only")
+    keyed = _with_keys(df, [*keys, *([month] if month else [])])
     if month:
         keyed = keyed.filter(F.col(month).isin(list(months)))
-    needed = list(dict.fromkeys([*keys, *([month] if month else []), *[m.source for m in measures if m.kind != "rows"]]))
-    keyed = keyed.select(*needed) if needed else keyed
+    grain = [F.col(c) for c in keys] + ([F.col(month).alias("_month")] if month else [])
+    grain += [F.col(c).alias("_counted") for c in counted]
+    sums = [m.reduced() for m in measures if m.kind != "distinct"]
+    reduced = keyed.groupBy(*grain).agg(*sums) if sums else keyed.select(*grain).distinct()
+    if total_of_nothing:
+        reduced = reduced.unionByName(_blank_row(reduced))
+
+    flag = []
+    if total:
+        reduced = _repeat_for_totals(reduced, keys, total, month is not None)
+        flag = [TOTAL_FLAG]
+    grouped = reduced.groupBy(*keys, *flag)
+    combined = [m.combined() for m in measures]
+    if not month:
+        return _finish(grouped.agg(*combined), [*keys, *flag], [m.name for m in measures], fill)
+    slots = [*months, TOTAL_COLUMN] if total else list(months)
+    # With one aggregate Spark names the columns after the slot alone.
+    padding = [F.lit(0).alias("_")] if len(combined) == 1 else []
+    wide = grouped.pivot("_month", slots).agg(*combined, *[F.max(p).alias("_") for p in padding])
+    cells = {f"{m.name}_{slot}": f"{slot}_{m.name}" for m in measures for slot in slots}
+    return _finish(wide, [*keys, *flag], cells, fill)
 
-    if any(m.kind == "distinct" for m in measures):
-        wide = _with_distinct(keyed, keys, measures, month, months, total)
-    else:
-        wide = _additive(keyed, keys, measures, month, months, total)
-    if total and not total_of_nothing:
-        wide = wide.filter(~F.col(TOTAL_FLAG) | (F.col("_rows") > 0))
-    wide = wide.drop("_rows")
-    return _finish(wide, keys, measures, month, months, total, fill)
+
+def totals_within(
+    df: DataFrame,
+    outer: str,
+    keys: Sequence[str],
+    sums: Sequence[str],
+    label: str = "Total",
+    always: DataFrame | None = None,
+) -> DataFrame:
+    """Sums per key within each value of ``outer``, with one total row (``is_total``) per value.
+
+    ``always`` holds a row without keys for each value that has a total row even if no row qualifies.
+    """
+    reduced = _with_keys(df, [outer, *keys]).groupBy(outer, *keys).agg(*[F.sum(c).alias(c) for c in sums])
+    if always is not None:
+        reduced = reduced.unionByName(always.select(*reduced.columns))
+    grouped = _repeat_for_totals(reduced, keys, label, False).groupBy(outer, *keys, TOTAL_FLAG)
+    return _finish(grouped.agg(*[F.sum(c).alias(c) for c in sums]), [outer, *keys, TOTAL_FLAG], sums, True)
 
 
 def ordered(report: DataFrame, keys: Sequence[str], numeric: Sequence[str] = ()) -> DataFrame:
@@ -68,154 +114,50 @@ def ordered(report: DataFrame, keys: Sequence[str], numeric: Sequence[str] = ())
     return report.orderBy(*([TOTAL_FLAG] if TOTAL_FLAG in report.columns else []), *by)
 
 
-def _cell(measure: Measure, month: str | None) -> str:
-    return f"{measure.name}_{month}" if month else measure.name
-
-
-def _cells(measures: Sequence[Measure], month: str | None, months: Sequence[str]) -> list[str]:
-    return [_cell(m, value) for m in measures for value in (months if month else [None])]
-
-
-def _total_keys(df: DataFrame, keys: Sequence[str], label: str) -> list[Column]:
-    """Keys of the total row: the label first, then '' (NULL for a number)."""
-    out = [F.lit(label)]
-    for name in keys[1:]:
-        kind = df.schema[name].dataType
-        out.append(F.lit("" if isinstance(kind, T.StringType) else None).cast(kind))
-    return out
-
-
-def _body_keys(keys: Sequence[str]) -> list[Column]:
-    """Keys of the body rows; the first holds the total's label too and so is text."""
-    return [F.col(keys[0]).cast("string"), *[F.col(name) for name in keys[1:]]]
-
-
-def _append_total(body: DataFrame, total_row: DataFrame, keys: Sequence[str], cells: list[str], label: str) -> DataFrame:
-    def rows(df: DataFrame, values: list[Column], is_total: bool) -> DataFrame:
-        return df.select(
-            *[value.alias(k) for value, k in zip(values, keys)], F.lit(is_total).alias(TOTAL_FLAG), *cells, "_rows"
-        )
-
-    return rows(body, _body_keys(keys), False).unionByName(rows(total_row, _total_keys(body, keys, label), True))
-
-
-def _aggregate(measure: Measure) -> Column:
-    """A group of NULLs sums to 0; only a group without rows stays empty."""
-    if measure.kind == "rows":
-        return F.count(F.lit(1))
-    return F.sum(F.coalesce(F.col(measure.source), F.lit(0)))
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for name in keys:
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
-def _additive(keyed, keys, measures, month, months, total) -> DataFrame:
-    """Sums and row counts: the total is summed up from the body, whose shuffle it shares."""
-    grouped = keyed.groupBy(*keys)
-    if month:
-        # The row count also makes Spark name the columns "<month>_<name>" when there is one measure.
-        aggregates = [_aggregate(m).alias(m.name) for m in measures]
-        body = grouped.pivot(month, list(months)).agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
-        body = body.select(
-            *keys,
-            *[F.col(f"{value}_{m.name}").alias(_cell(m, value)) for m in measures for value in months],
-            _sum_columns([f"{value}__rows" for value in months]).alias("_rows"),
-        )
-    else:
-        body = grouped.agg(*[_aggregate(m).alias(m.name) for m in measures], F.count(F.lit(1)).alias("_rows"))
-    if not total:
-        return body
-    cells = _cells(measures, month, months)
-    total_row = body.agg(*[F.sum(c).alias(c) for c in cells], F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"))
-    return _append_total(body, total_row, keys, cells, total)
+def _blank_row(reduced: DataFrame) -> DataFrame:
+    """A row without keys and amounts: it gives a total row even if no row qualifies, and no body row."""
+    fields = reduced.schema.fields
+    return reduced.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _with_distinct(keyed, keys, measures, month, months, total) -> DataFrame:
-    """Distinct counts: rows are reduced to one per key, month and counted value before any totals.
+def _repeat_for_totals(reduced: DataFrame, keys: Sequence[str], label: str, monthly: bool) -> DataFrame:
+    """Each reduced row once for its own cell and once for every total it counts in.
 
-    The totals then come from one pass over the reduced rows (grouping sets), and no task sees all the values
-    of a hot key: Spark first shuffles by group and value.
+    On the total row the first key is the label (so it is text on all rows), the others '' or NULL for a number.
     """
-    distinct = [m for m in measures if m.kind == "distinct"]
-    if len({m.source for m in distinct}) > 1:
-        raise ValueError("distinct counts of one column only")
-    counted = distinct[0].source
-    grain = [*keys, *([month] if month else []), counted]
-    others = [m for m in measures if m.kind != "distinct"]
-    value = F.col(counted).alias("_value")
-    reduced = keyed.groupBy(*[F.col(c) for c in grain[:-1]], value).agg(
-        *[_aggregate(m).alias(m.name) for m in others], F.count(F.lit(1)).alias("_rows")
-    )
-    aggregates = [
-        F.count_distinct("_value").alias(m.name) if m.kind == "distinct" else F.sum(m.name).alias(m.name)
-        for m in measures
-    ] + [F.sum("_rows").alias("_rows")]
-
-    if not month:
-        body = reduced.groupBy(*keys).agg(*aggregates)
-        if not total:
-            return body
-        total_row = reduced.agg(*aggregates[:-1], F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"))
-        return _append_total(body, total_row, keys, [m.name for m in measures], total)
-
-    columns = [F.col(c) for c in keys]
-    sets = [[*columns, F.col(month)]]
-    if total:
-        sets += [columns, [F.col(month)], []]
-    grouped = reduced.groupingSets(sets, *columns, F.col(month)).agg(
-        *aggregates, F.grouping(keys[0]).alias("_all_keys"), F.grouping(month).alias("_all_months")
-    )
-    slots = [*months, TOTAL_COLUMN] if total else list(months)
-    keys_out = columns
-    if total:
-        keys_out = [
-            F.when(F.col("_all_keys") == 1, of_total).otherwise(of_body).alias(name)
-            for of_total, of_body, name in zip(_total_keys(grouped, keys, total), _body_keys(keys), keys)
-        ]
-    long = grouped.select(
-        *keys_out,
-        (F.col("_all_keys") == 1).alias(TOTAL_FLAG),
-        F.when(F.col("_all_months") == 1, F.lit(TOTAL_COLUMN)).otherwise(F.col(month)).alias("_slot"),
-        *[m.name for m in measures],
-        "_rows",
-    )
-    wide = long.groupBy(*keys, TOTAL_FLAG).pivot("_slot", slots).agg(
-        *[F.max(m.name).alias(m.name) for m in measures], F.max("_rows").alias("_rows")
-    )
-    out = wide.select(
-        *keys,
-        TOTAL_FLAG,
-        *[F.col(f"{slot}_{m.name}").alias(_cell(m, slot)) for m in measures for slot in slots],
-        _sum_columns([f"{value}__rows" for value in months]).alias("_rows"),
-    )
-    return out if total else out.drop(TOTAL_FLAG)
-
-
-def _sum_columns(names: Sequence[str], kind: T.DataType = T.LongType()) -> Column:
-    zero = F.lit(0).cast(kind)
-    cells = F.array(*[F.coalesce(F.col(name), zero) for name in names])
-    return F.aggregate(cells, zero, lambda a, b: (a + b).cast(kind))
-
-
-def _finish(wide, keys, measures, month, months, total, fill) -> DataFrame:
-    """Fixed column order, zero fill, totals across months, decimals as double."""
-    flag = [TOTAL_FLAG] if total else []
-    out = [F.col(c) for c in [*keys, *flag]]
-    for m in measures:
-        names = [_cell(m, value) for value in months] if month else [m.name]
-        for name in names:
-            out.append(_output(wide, name, fill).alias(name))
-        if month and total:
-            name = _cell(m, TOTAL_COLUMN)
-            if name in wide.columns:
-                out.append(_output(wide, name, fill).alias(name))
-            else:
-                kind = wide.schema[names[0]].dataType
-                out.append(_sum_columns(names, kind).cast(_output_type(kind)).alias(name))
-    return wide.select(*out)
-
-
-def _output(wide: DataFrame, name: str, fill: bool) -> Column:
-    column = F.col(name).cast(_output_type(wide.schema[name].dataType))
-    return F.coalesce(column, F.lit(0)) if fill else column
-
-
-def _output_type(kind: T.DataType) -> str:
-    return "double" if isinstance(kind, (T.DecimalType, T.DoubleType)) else "long"
+    own, every = F.lit(False), F.lit(True)
+    if monthly:
+        cells = [F.struct(f.alias("total"), m.alias("month"))
+                 for f in (own, every) for m in (F.col("_month"), F.lit(TOTAL_COLUMN))]
+    else:
+        cells = [F.struct(f.alias("total")) for f in (own, every)]
+    rows = reduced.withColumn("_cell", F.explode(F.array(*cells)))
+    rows = rows.filter(F.col("_cell.total") | F.col(keys[0]).isNotNull())
+    changed = {}
+    for position, name in enumerate(keys):
+        kind = reduced.schema[name].dataType
+        blank = F.lit("") if isinstance(kind, T.StringType) else F.lit(None)
+        on_total, on_body = (F.lit(label), F.col(name).cast("string")) if position == 0 else (blank, F.col(name))
+        changed[name] = F.when(F.col("_cell.total"), on_total).otherwise(on_body)
+    changed[TOTAL_FLAG] = F.col("_cell.total")
+    if monthly:
+        changed["_month"] = F.col("_cell.month")
+    return rows.withColumns(changed).drop("_cell")
+
+
+def _finish(wide: DataFrame, keys: Sequence[str], cells, fill: bool) -> DataFrame:
+    """Keys and cells in report order (``cells``: output names, or output name -> column); decimals as double."""
+    columns = cells if isinstance(cells, dict) else {c: c for c in cells}
+    kinds = {f.name: f.dataType for f in wide.schema.fields}
+    out = [f"`{k}`" for k in keys]
+    for name, column in columns.items():
+        kind = "double" if isinstance(kinds[column], (T.DecimalType, T.DoubleType)) else "bigint"
+        value = f"CAST(`{column}` AS {kind})"
+        out.append(f"coalesce({value}, 0) AS `{name}`" if fill else f"{value} AS `{name}`")
+    return wide.selectExpr(*out)

@@ -78,12 +78,14 @@ def invoice_lines(
     start: str | None = None,
     end: str | None = None,
     child_one_time: str = "repeat",
+    children: bool = True,
 ) -> DataFrame:
     """One line per invoice item (``RecordType`` Parent) and per charged child (Child).
 
     Items and children are read once: an item is exploded to itself and its charged children, and each column
     picks the parent's or the child's value. A child repeats the parent's one-time amount, as reported;
-    ``child_one_time='zero'`` leaves it out.
+    ``child_one_time='zero'`` leaves it out. ``children=False`` gives the parents only. Storage notes need
+    ``volumes``; without them they are ''.
     """
     joined = lookup_join(
         _with_storage_notes(items, volumes),
@@ -94,62 +96,46 @@ def invoice_lines(
         spread=["billingItemId"],
         how="inner",
     )
-    child_type = items.schema["children"].dataType.elementType
-    charged = F.filter("children", lambda c: charges.money(c["recurringFee"]) > 0)
-    rows = joined.withColumn(
-        "_child", F.explode(F.concat(F.array(F.lit(None).cast(child_type)), F.coalesce(charged, F.array().cast(items.schema["children"].dataType))))
-    )
-
-    child = F.col("_child")
-    is_parent = child.isNull()
-
-    def pick(parent: Column, of_child: Column) -> Column:
-        return F.when(is_parent, parent).otherwise(of_child)
-
-    hourly, code, children = F.col("hourlyFlag"), F.col("categoryCode"), F.col("children")
+    items_read = _item_columns(joined)
+    list_type = items.schema["children"].dataType
+    itself = F.lit(None).cast(list_type.elementType)
+    if children:
+        charged = F.filter("children", lambda c: charges.money(c["recurringFee"]) > 0)
+        records = F.concat(F.array(itself), F.coalesce(charged, F.array().cast(list_type)))
+        rows = items_read.withColumn("_child", F.explode(records))
+    else:
+        rows = items_read.withColumn("_child", itself)
+    return _line_columns(rows, child_one_time)
+
+
+def _item_columns(joined: DataFrame) -> DataFrame:
+    """What all lines of an item share, worked out once per item; ``_`` columns are the parent line's own."""
+    hourly, code, children, local = F.col("hourlyFlag"), F.col("categoryCode"), F.col("children"), F.col("_local")
     category, tax = F.col("category.name"), F.col("product.taxCategory.name")
-    fee = charges.money(F.col("totalRecurringAmount"))
-    one_time = charges.money(F.col("totalOneTimeAmount"))
-    rows = rows.select(
-        "*",
-        dates.service_period(F.col("_local"), F.col("Type"), tax, category, hourly).alias("_period"),
-        charges.hourly_rate(hourly, code, charges.money(F.col("hourlyRecurringFee")), children).alias("_rate"),
-        charges.storage_description(code, hourly, children, F.col("product.description")).alias("_description"),
-        F.coalesce("category.group.name", F.lit("Other")).alias("_group"),
-        fee.alias("_fee"),
-    ).withColumn("_child_group", F.coalesce(child["category"]["group"]["name"], F.col("_group")))
-    usage = text.parsed_usage(F.col("_child_group"), child["description"])
-    zero = F.lit(0).cast(charges.CHARGE)
-    child_charge = pick(zero, charges.charge(charges.money(child["recurringFee"])))
-    recurring = pick(charges.charge(F.col("_fee")), zero)
-    own_one_time = one_time if child_one_time == "repeat" else pick(one_time, F.lit(0).cast(charges.MONEY))
-
-    attributes = []
-    for key, name in nested.CHILD_ATTRIBUTES.items():
-        of_child = nested.attribute(child["product"]["attributes"], key)
-        if key in nested.PARENT_ATTRIBUTES:
-            value = pick(nested.attribute(F.col("product.attributes"), key), of_child)
-        else:
-            value = F.when(~is_parent, of_child)
-        attributes.append(value.alias(name))
-
-    return rows.select(
-        dates.date_text(F.col("_local")).alias("Portal_Invoice_Date"),
+    amounts = joined.withColumns(
+        {
+            "_fee": charges.money(F.col("totalRecurringAmount")),
+            "_rate": charges.hourly_rate(hourly, code, charges.money(F.col("hourlyRecurringFee")), children),
+            "_period": dates.service_period(local, F.col("Type"), tax, category, hourly),
+        }
+    )
+    own_attributes = [
+        nested.attribute(F.col("product.attributes"), key).alias(f"_{name}")
+        for key, name in nested.PARENT_ATTRIBUTES.items()
+    ]
+    return amounts.select(
+        dates.date_text(local).alias("Portal_Invoice_Date"),
         "Portal_Invoice_Time",
         F.col("_period.start").cast("string").alias("Service_Date_Start"),
         F.col("_period.end").cast("string").alias("Service_Date_End"),
-        dates.billing_month(F.col("_local")).alias("billing_month"),
+        F.col("_period.description").alias("Recurring_Description"),
+        dates.billing_month(local).alias("billing_month"),
         "Portal_Invoice_Number",
         "Type",
-        F.when(is_parent, "Parent").otherwise("Child").alias("RecordType"),
         F.col("billingItemId").alias("BillingItemId"),
         charges.host_fqdn(F.col("hostName"), F.col("domainName")).alias("hostName"),
         F.coalesce("location.longName", F.lit("")).alias("location"),
-        pick(F.col("_group"), F.col("_child_group")).alias("Category_Group"),
-        pick(category, F.coalesce(child["product"]["itemCategory"]["name"], F.lit("Unknown"))).alias("Category"),
         tax.alias("TaxCategory"),
-        F.coalesce(pick(F.col("dPart"), child["dPart"]), F.lit("")).alias("dPart"),
-        pick(F.col("_description"), usage["description"]).alias("Description"),
         nested.first_child_text(children, "ram", "product").alias("Memory"),
         nested.first_child_text(children, "os", "product").alias("OS"),
         F.coalesce("notes", F.lit("")).alias("billing_notes"),
@@ -157,18 +143,62 @@ def invoice_lines(
         F.col("usageChargeFlag").alias("Usage"),
         charges.hours(F.col("_fee"), F.col("_rate")).alias("Hours"),
         charges.rate(F.col("_rate")).alias("HourlyRate"),
-        recurring.alias("totalRecurringCharge"),
-        charges.full_month_estimate(F.col("Type"), F.col("_fee"), F.col("_local")).alias("NewEstimatedMonthly"),
-        own_one_time.alias("totalOneTimeAmount"),
+        charges.full_month_estimate(F.col("Type"), F.col("_fee"), local).alias("NewEstimatedMonthly"),
+        charges.money(F.col("totalOneTimeAmount")).alias("_one_time"),
         "InvoiceTotal",
         "InvoiceRecurring",
-        F.col("_period.description").alias("Recurring_Description"),
-        child["billingItemId"].alias("childBillingItemId"),
-        F.when(~is_parent, category).alias("childParentCategory"),
-        F.when(~is_parent, F.col("_description")).alias("childParentProduct"),
-        F.when(~is_parent, usage["usage"]).alias("childUsage"),
-        child_charge.alias("childTotalRecurringCharge"),
-        *attributes,
         "storage_notes",
-        charges.total_amount(own_one_time, recurring, child_charge).alias("totalAmount"),
+        F.coalesce("category.group.name", F.lit("Other")).alias("_group"),
+        category.alias("_category"),
+        F.col("dPart").alias("_dpart"),
+        charges.storage_description(code, hourly, children, F.col("product.description")).alias("_description"),
+        charges.charge(F.col("_fee")).alias("_charge"),
+        *own_attributes,
+        "children",
+    )
+
+
+def _line_columns(rows: DataFrame, child_one_time: str) -> DataFrame:
+    """The columns in which a parent line and its child lines differ."""
+    child = F.col("_child")
+    is_parent = child.isNull()
+
+    def pick(parent: Column, of_child: Column) -> Column:
+        return F.when(is_parent, parent).otherwise(of_child)
+
+    def of_child(value: Column) -> Column:
+        return F.when(~is_parent, value)
+
+    group = F.coalesce(child["category"]["group"]["name"], F.col("_group"))
+    usage = text.parsed_usage(group, child["description"])
+    nothing = F.lit(0).cast(charges.CHARGE)
+    one_time = F.col("_one_time")
+    if child_one_time != "repeat":
+        one_time = pick(one_time, F.lit(0).cast(charges.MONEY))
+    attributes = {}
+    for key, name in nested.CHILD_ATTRIBUTES.items():
+        value = nested.attribute(child["product"]["attributes"], key)
+        attributes[name] = pick(F.col(f"_{name}"), value) if key in nested.PARENT_ATTRIBUTES else of_child(value)
+    lines = rows.withColumns(
+        {
+            "RecordType": F.when(is_parent, "Parent").otherwise("Child"),
+            "Category_Group": pick(F.col("_group"), group),
+            "Category": pick(
+                F.col("_category"), F.coalesce(child["product"]["itemCategory"]["name"], F.lit("Unknown"))
+            ),
+            "dPart": F.coalesce(pick(F.col("_dpart"), child["dPart"]), F.lit("")),
+            "Description": pick(F.col("_description"), usage["description"]),
+            "totalRecurringCharge": pick(F.col("_charge"), nothing),
+            "totalOneTimeAmount": one_time,
+            "childBillingItemId": child["billingItemId"],
+            "childParentCategory": of_child(F.col("_category")),
+            "childParentProduct": of_child(F.col("_description")),
+            "childUsage": of_child(usage["usage"]),
+            "childTotalRecurringCharge": pick(nothing, charges.charge(charges.money(child["recurringFee"]))),
+            **attributes,
+        }
+    )
+    total = charges.total_amount(
+        F.col("totalOneTimeAmount"), F.col("totalRecurringCharge"), F.col("childTotalRecurringCharge")
     )
+    return lines.withColumn("totalAmount", total).select(*LINE_COLUMNS)

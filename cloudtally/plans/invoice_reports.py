@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions import charges, nested, text
 from cloudtally.operators.lookup import lookup_join
-from cloudtally.operators.pivot import Measure, pivot_report
+from cloudtally.operators.pivot import Measure, pivot_report, totals_within
 from cloudtally.plans.invoice_lines import LINE_COLUMNS
 
 MONTH = "billing_month"
@@ -101,39 +101,25 @@ def credit_sheet_rows(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("Type") == "CREDIT").withColumn("lineItemCategory", F.col("Category"))
 
 
-def _sheet(rows: DataFrame, months: Sequence[str], total: str, total_of_nothing: bool = False) -> DataFrame:
+def _sheet(rows: DataFrame, months: Sequence[str], total: str) -> DataFrame:
     """One sheet per billing month, all in one table with the month as its first key."""
-    keyed = _in_months(rows, months)
-    for name in SHEET_KEYS:
-        keyed = keyed.filter(F.col(name).isNotNull())
-    body = keyed.groupBy(MONTH, *SHEET_KEYS).agg(F.sum("totalAmount").alias("totalAmount"))
-    totals = body.groupBy(MONTH).agg(F.sum("totalAmount").alias("totalAmount"))
-    if total_of_nothing:
-        wanted = lines_months(rows.sparkSession, months)
-        totals = wanted.join(totals, MONTH, "left")
-    total_row = totals.select(
-        MONTH,
-        *[F.lit(total if i == 0 else "").alias(k) for i, k in enumerate(SHEET_KEYS)],
-        F.lit(True).alias("is_total"),
-        F.coalesce(F.col("totalAmount").cast("double"), F.lit(0.0)).alias("totalAmount"),
-    )
-    return body.select(
-        MONTH,
-        F.col(SHEET_KEYS[0]).cast("string").alias(SHEET_KEYS[0]),
-        *SHEET_KEYS[1:],
-        F.lit(False).alias("is_total"),
-        F.col("totalAmount").cast("double").alias("totalAmount"),
-    ).unionByName(total_row)
+    return totals_within(_in_months(rows, months), MONTH, SHEET_KEYS, ["totalAmount"], total)
 
 
-def lines_months(spark, months: Sequence[str]) -> DataFrame:
-    """The report months as a table (a plan parameter, one row per month)."""
-    return spark.range(1).select(F.explode(F.array(*[F.lit(m) for m in months])).alias(MONTH))
+def _empty_months(rows: DataFrame, months: Sequence[str]) -> DataFrame:
+    """A row without amount for each report month (a plan parameter)."""
+    blank = rows.sparkSession.range(1).withColumn(MONTH, F.explode(F.array(*[F.lit(m) for m in months])))
+    return blank.select(
+        MONTH, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in [*SHEET_KEYS, "totalAmount"]]
+    )
 
 
 def top_sheet_iaas(lines: DataFrame, parts: DataFrame, months: Sequence[str]) -> DataFrame:
     """The infrastructure sheet; a month without lines still shows its total."""
-    return _sheet(iaas_sheet_rows(lines, parts), months, "Total", total_of_nothing=True)
+    rows = iaas_sheet_rows(lines, parts).select(MONTH, *SHEET_KEYS, "totalAmount")
+    return totals_within(
+        _in_months(rows, months), MONTH, SHEET_KEYS, ["totalAmount"], always=_empty_months(rows, months)
+    )
 
 
 def top_sheet_paas(lines: DataFrame, parts: DataFrame, months: Sequence[str]) -> DataFrame:

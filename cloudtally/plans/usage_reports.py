@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloudtally.functions.charges import QUANTITY
-from cloudtally.operators.pivot import Measure, pivot_report
+from cloudtally.operators.pivot import Measure, pivot_report, totals_within
 from cloudtally.plans.usage import BARE_METAL, KUBERNETES, VIRTUAL_SERVER, VOLUME
 
 OBJECT_STORAGE = "Cloud Object Storage"
@@ -48,20 +48,7 @@ def charges_by_volume_month(usage: DataFrame) -> DataFrame:
 
 def _monthly_totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rated cost and cost by key within each month, with one total row per month."""
-    keyed = _exact(rows).filter(F.col("month").isNotNull())
-    for name in keys:
-        keyed = keyed.filter(F.col(name).isNotNull())
-    body = keyed.groupBy("month", *keys).agg(F.sum("rated_cost").alias("rated_cost"), F.sum("cost").alias("cost"))
-    totals = body.groupBy("month").agg(F.sum("rated_cost").alias("rated_cost"), F.sum("cost").alias("cost"))
-
-    def out(df: DataFrame, key_columns, is_total: bool) -> DataFrame:
-        return df.select(
-            "month", *key_columns, F.lit(is_total).alias("is_total"),
-            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("rated_cost", "cost")],
-        )
-
-    labels = [F.lit("Total" if i == 0 else "").alias(k) for i, k in enumerate(keys)]
-    return out(body, [F.col(k) for k in keys], False).unionByName(out(totals, labels, True))
+    return totals_within(_exact(rows), "month", keys, ["rated_cost", "cost"])
 
 
 def cloud_usage_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
