@@ -109,7 +109,10 @@ def invoice_lines(
 
 
 def _item_columns(joined: DataFrame) -> DataFrame:
-    """What all lines of an item share, worked out once per item; ``_`` columns are the parent line's own."""
+    """What all lines of an item share, worked out once per item; ``_`` columns are the parent line's own.
+
+    Text keys of the reports are coalesced to '': Spark then drops their NULL checks rather than deriving them twice.
+    """
     hourly, code, children, local = F.col("hourlyFlag"), F.col("categoryCode"), F.col("children"), F.col("_local")
     category, tax = F.col("category.name"), F.col("product.taxCategory.name")
     amounts = joined.withColumns(
@@ -151,7 +154,9 @@ def _item_columns(joined: DataFrame) -> DataFrame:
         F.coalesce("category.group.name", F.lit("Other")).alias("_group"),
         category.alias("_category"),
         F.col("dPart").alias("_dpart"),
-        charges.storage_description(code, hourly, children, F.col("product.description")).alias("_description"),
+        F.coalesce(
+            charges.storage_description(code, hourly, children, F.col("product.description")), F.lit("")
+        ).alias("_description"),
         charges.charge(F.col("_fee")).alias("_charge"),
         *own_attributes,
         "children",
@@ -187,7 +192,7 @@ def _line_columns(rows: DataFrame, child_one_time: str) -> DataFrame:
                 F.col("_category"), F.coalesce(child["product"]["itemCategory"]["name"], F.lit("Unknown"))
             ),
             "dPart": F.coalesce(pick(F.col("_dpart"), child["dPart"]), F.lit("")),
-            "Description": pick(F.col("_description"), usage["description"]),
+            "Description": F.coalesce(pick(F.col("_description"), usage["description"]), F.lit("")),
             "totalRecurringCharge": pick(F.col("_charge"), nothing),
             "totalOneTimeAmount": one_time,
             "childBillingItemId": child["billingItemId"],

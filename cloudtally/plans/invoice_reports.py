@@ -64,7 +64,7 @@ def with_part_description(rows: DataFrame, parts: DataFrame, own: str) -> DataFr
         rows, parts, nested.strip(F.col("INV_PRODID")), "part_code", {"description": "_described"},
         spread=["Portal_Invoice_Number", "BillingItemId", "childBillingItemId"],
     )
-    return found.withColumn("lineItemCategory", F.coalesce("_described", F.col(own))).drop("_described")
+    return found.withColumn("lineItemCategory", F.coalesce("_described", own, F.lit(""))).drop("_described")
 
 
 def _in_months(lines: DataFrame, months: Sequence[str]) -> DataFrame:
