@@ -105,7 +105,10 @@ def distinct_trunks(trunks: DataFrame) -> DataFrame:
 
 
 def trunk_lists(trunks: DataFrame) -> DataFrame:
-    """Trunked VLANs per component as text, by VLAN number. A component has at most 4094, one per number."""
+    """Trunked VLANs per component as text, by VLAN number.
+
+    The list is bounded: VLAN numbers have 12 bits and each is there once.
+    """
     listed = distinct_trunks(trunks).groupBy("componentId").agg(
         F.sort_array(F.collect_list(F.struct("vlanNumber", "name"))).alias("_trunks")
     )
@@ -127,53 +130,44 @@ def interface_trunks(hardware: DataFrame, trunks: DataFrame) -> DataFrame:
     )
 
 
-def interfaces_wide(hardware: DataFrame) -> DataFrame:
-    """One column per interface and attribute. A backend interface's value wins over a frontend's."""
-    rows = interfaces(hardware)
+def _attribute(interface: str, name: str) -> Column:
+    """An attribute of an ethernet interface. A backend interface's value wins over a frontend's."""
+    picked = [
+        F.try_element_at(F.filter(F.col(side), lambda c: c["interface"] == interface), F.lit(-1))[name]
+        for side in ("_back", "_front")
+    ]
+    return F.coalesce(*picked).alias(f"{interface}_{name}")
 
-    def attribute(side: str, interface: str, name: str) -> Column:
-        found = F.filter(F.col(side), lambda c: c["interface"] == interface)
-        return F.try_element_at(found, F.lit(-1))[name]
 
-    columns = [
-        F.coalesce(attribute("_back", i, a), attribute("_front", i, a)).alias(f"{i}_{a}")
-        for i in INTERFACES
-        for a in ATTRIBUTES
-    ]
+def _wide_columns() -> list[Column]:
+    """One column per interface and attribute, from the interface lists of the row itself."""
     managed = F.col("_mgmt.interface") == MANAGEMENT
-    columns += [F.when(managed, F.col(f"_mgmt.{a}")).alias(f"{MANAGEMENT}_{a}") for a in ATTRIBUTES]
-    return rows.select("id", *columns)
+    return [_attribute(i, a) for i in INTERFACES for a in ATTRIBUTES] + [
+        F.when(managed, F.col(f"_mgmt.{a}")).alias(f"{MANAGEMENT}_{a}") for a in ATTRIBUTES
+    ]
+
+
+def interfaces_wide(hardware: DataFrame) -> DataFrame:
+    return interfaces(hardware).select("id", *_wide_columns())
 
 
 def hardware_table(hardware: DataFrame, trunks: DataFrame) -> DataFrame:
     """One row per server: its fields, subnets, all interfaces and their trunks."""
-    wide = interfaces_wide(hardware.select("id", "networkVlans", "frontendNetworkComponents", "backendNetworkComponents"))
-    fields = hardware.select(
+    servers = interfaces(hardware).select(
         "id", "networkGatewayMemberFlag", "fullyQualifiedDomainName", *server_fields(), "manufacturerSerialNumber",
-        "provisionDate", "notes", *primary_subnets(),
+        "provisionDate", "notes", *primary_subnets(), *_wide_columns(),
     )
-    listed = interface_trunks(hardware, trunks)
-    joined = fields.join(wide, "id", "left").join(listed, "id", "left")
-    return joined
+    return servers.join(interface_trunks(hardware, trunks), "id", "left")
 
 
 def hardware_report_rows(hardware: DataFrame) -> DataFrame:
     """The columns the inventory pivots need, without any join."""
-    rows = interfaces(hardware)
-
-    def attribute(interface: str, name: str) -> Column:
-        picked = [
-            F.try_element_at(F.filter(F.col(side), lambda c: c["interface"] == interface), F.lit(-1))[name]
-            for side in ("_back", "_front")
-        ]
-        return F.coalesce(*picked).alias(f"{interface}_{name}")
-
-    return rows.select(
+    return interfaces(hardware).select(
         "id",
         *server_fields(),
         "provisionDate",
         *primary_subnets(),
-        *[attribute(i, a) for i in ("eth0", "eth1") for a in ("vlan", "vlanName")],
+        *[_attribute(i, a) for i in ("eth0", "eth1") for a in ("vlan", "vlanName")],
     )
 
 

@@ -52,15 +52,19 @@ def account_records(accounts: DataFrame, allowed: DataFrame, errors: DataFrame,
         )
     )
     listed = lookup_join(accounts.select("accountId"), failed, "accountId", "accountId", ["error"])
-    good = F.when(F.col("error").isNull(), F.col("accountId"))
-    found = lookup_join(listed, nested_rows, good, "accountId", ["page", "hardware"])
-    empty = F.array().cast(nested_rows.schema["hardware"].dataType)
-    return found.select(
+    found = lookup_join(
+        nested_rows, listed.filter(F.col("error").isNull()).select(F.col("accountId").alias("listed")),
+        "accountId", "listed", ["listed"], spread=["page"], how="inner",
+    )
+    filled = found.select("accountId", "page", F.lit(None).cast("string").alias("error"), "hardware")
+    served = pages.select(F.col("accountId").alias("served"))
+    bare = listed.join(served, (F.col("accountId") == F.col("served")) & F.col("error").isNull(), "left_anti").select(
         "accountId",
-        F.coalesce("page", F.lit(0)).alias("page"),
+        F.lit(0).cast("long").alias("page"),
         "error",
-        F.coalesce("hardware", empty).alias("hardware"),
+        F.array().cast(nested_rows.schema["hardware"].dataType).alias("hardware"),
     )
+    return filled.unionByName(bare)
 
 
 def account_summary(accounts: DataFrame, errors: DataFrame) -> DataFrame:

@@ -23,12 +23,10 @@ def load_snapshot(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def save_snapshot_by_month(df: DataFrame, folder: str, name: str, month: str, spread: Iterable[str]) -> str:
-    """Snapshot partitioned by month. Rows are spread by month and a row hash first, so that a month's rows go to
-    several tasks and yet each task writes few files."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slot = F.pmod(F.xxhash64(*spread), F.lit(max(parts // 8, 1)))
-    return save_snapshot(df.repartition(parts, F.col(month), slot), folder, name, month)
+def save_snapshot_by_month(df: DataFrame, folder: str, name: str, month: str) -> str:
+    """Snapshot partitioned by month. Rows are first rebalanced by month: AQE joins small months' partitions and
+    splits a large month into several tasks and files of a fair size."""
+    return save_snapshot(df.hint("rebalance", F.col(month)), folder, name, month)
 
 
 def run_stamp(now: dt.datetime) -> str:

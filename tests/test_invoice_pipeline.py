@@ -159,7 +159,7 @@ def test_part_descriptions(spark):
 def test_reports_from_a_snapshot(spark, lines, tmp_path):
     folder = str(tmp_path / "out")
     months = ["2024-01", "2024-02"]
-    snapshots.save_snapshot_by_month(lines, folder, "lines", "billing_month", ["BillingItemId", "childBillingItemId"])
+    snapshots.save_snapshot_by_month(lines, folder, "lines", "billing_month")
     saved = snapshots.load_snapshot(spark, folder, "lines")
     assert saved.count() == 10
     built = reports.invoice_report_set(saved, landing.read_part_descriptions(spark), months)
