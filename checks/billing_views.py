@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.landed import landed
 from checks.tables import duck, half_even, run
 from cloudtally.functions.dates import month_list
 from cloudtally.plans.invoice_lines import invoice_lines
@@ -104,9 +105,8 @@ def decimal_text(units: str, digits: int) -> str:
     )
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoice headers as landed."""
-    base = run(spark, sf_dir, INVOICE_BASE)
+def _invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run(spark, sf_dir, INVOICE_BASE, fact="orders")
     return base.selectExpr(
         "id",
         "account AS accountId",
@@ -146,9 +146,9 @@ def _child(k: int) -> str:
     )
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoice items with nested children as landed. Children come from the row itself: no grouping."""
-    base = run(spark, sf_dir, ITEM_BASE)
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with nested children. Children come from the row itself: no grouping."""
+    base = run(spark, sf_dir, ITEM_BASE, fact="lineitem")
     children = f"slice(array({', '.join(_child(k) for k in range(4))}), 1, n_children)"
     own = ", ".join(
         [
@@ -179,6 +179,16 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice headers as landed."""
+    return landed(spark, sf_dir, "invoices", _invoices)
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice items as landed."""
+    return landed(spark, sf_dir, "invoice_items", _items)
+
+
 def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Network storage volumes as landed: two per billing item, the first by id counts."""
     return run(

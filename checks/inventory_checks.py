@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.landed import landed
 from checks.registry import check, pivot_sql
 from checks.tables import duck, run, table
 from cloudtally.functions import nested, text
@@ -60,7 +61,12 @@ def _vlan(number: int, suffix: str) -> str:
 
 
 def hardware(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run(spark, sf_dir, SERVER_BASE)
+    """Servers with their interfaces, VLANs and components as landed, one per customer."""
+    return landed(spark, sf_dir, "hardware", _hardware)
+
+
+def _hardware(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run(spark, sf_dir, SERVER_BASE, fact="customer")
     front = ", ".join(_component("front", i) for i in range(2))
     back = ", ".join(_component("back", i) for i in range(3))
     mgmt = ", ".join(_component("mgmt", i) for i in range(2))

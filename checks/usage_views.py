@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.landed import landed
 from checks.tables import duck, run
 from cloudtally.functions.dates import month_list
 from cloudtally.operators.lookup import latest_by_key
@@ -79,7 +80,11 @@ FROM {nation}
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instance usage documents as landed, one per event, with their metrics nested."""
-    base = run(spark, sf_dir, EVENT_BASE)
+    return landed(spark, sf_dir, "instance_usage", _event_documents)
+
+
+def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run(spark, sf_dir, EVENT_BASE, fact="events")
     metrics = []
     for m in range(2):
         field = {name: text.format(m=m) for name, text in METRIC.items()}
@@ -288,9 +293,13 @@ def billing_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account usage documents made from orders: resources, plans and metrics nested."""
+    """Account usage documents as landed, one per order: resources, plans and metrics nested."""
+    return landed(spark, sf_dir, "account_usage", _account_documents)
+
+
+def _account_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run(spark, sf_dir, """SELECT o_orderkey, o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
-      substring(CAST(o_orderdate AS STRING), 1, 7) AS month FROM {orders}""")
+      substring(CAST(o_orderdate AS STRING), 1, 7) AS month FROM {orders}""", fact="orders")
 
     def metric(r: int, p: int, u: int) -> str:
         discounts = "array(struct(0.25D AS discount), struct(0.5D AS discount))" if u else (

@@ -15,7 +15,9 @@ USAGE_LAG_MONTHS = 2
 
 def instant(text: Column) -> Column:
     """ISO-8601 text with an offset (``Z``, ``+00:00`` or ``+0000``) as a timestamp; NULL if malformed."""
-    return F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
+    without_colon = F.substring(text, -5, 1).isin("+", "-")
+    spaced = F.concat(F.substring(text, F.lit(1), F.length(text) - 2), F.lit(":"), F.substring(text, -2, 2))
+    return F.when(without_colon, spaced).otherwise(text).try_cast("timestamp")
 
 
 def local_time(ts: Column) -> Column:
