@@ -99,13 +99,19 @@ def totals_within(
 ) -> DataFrame:
     """Sums per key within each value of ``outer``, with one total row (``is_total``) per value.
 
-    ``always`` holds a row without keys for each value that has a total row even if no row qualifies.
+    ``always`` holds a row without keys for each value that has a total row even if no row qualifies. The body can
+    be large, so both come from one aggregate over grouping sets: rows are read once and shuffled once.
     """
-    reduced = _with_keys(df, [outer, *keys]).groupBy(outer, *keys).agg(*[F.sum(c).alias(c) for c in sums])
+    rows = _with_keys(df, [outer, *keys]).select(outer, *keys, *sums)
     if always is not None:
-        reduced = reduced.unionByName(always.select(*reduced.columns))
-    grouped = _repeat_for_totals(reduced, keys, label, False).groupBy(outer, *keys, TOTAL_FLAG)
-    return _finish(grouped.agg(*[F.sum(c).alias(c) for c in sums]), [outer, *keys, TOTAL_FLAG], sums, True)
+        rows = rows.unionByName(always, allowMissingColumns=True)
+    columns = [F.col(c) for c in keys]
+    grouped = rows.groupingSets([[F.col(outer), *columns], [F.col(outer)]], F.col(outer), *columns).agg(
+        *[F.sum(c).alias(c) for c in sums], (F.grouping(keys[0]) == 1).alias(TOTAL_FLAG)
+    )
+    grouped = grouped.filter(F.col(TOTAL_FLAG) | F.col(keys[0]).isNotNull())
+    labelled = grouped.withColumns(_labelled_keys(grouped, keys, label, F.col(TOTAL_FLAG)))
+    return _finish(labelled, [outer, *keys, TOTAL_FLAG], sums, True)
 
 
 def ordered(report: DataFrame, keys: Sequence[str], numeric: Sequence[str] = ()) -> DataFrame:
@@ -126,11 +132,18 @@ def _blank_row(reduced: DataFrame) -> DataFrame:
     return reduced.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _repeat_for_totals(reduced: DataFrame, keys: Sequence[str], label: str, monthly: bool) -> DataFrame:
-    """Each reduced row once for its own cell and once for every total it counts in.
+def _labelled_keys(df: DataFrame, keys: Sequence[str], label: str, on_total: Column) -> dict[str, Column]:
+    """On a total row the first key is the label (so it is text on all rows), the others '' or NULL for a number."""
+    first, *others = keys
+    out = {first: F.when(on_total, F.lit(label)).otherwise(F.col(first).cast("string"))}
+    for name in others:
+        blank = F.lit("" if isinstance(df.schema[name].dataType, T.StringType) else None)
+        out[name] = F.when(on_total, blank).otherwise(F.col(name))
+    return out
 
-    On the total row the first key is the label (so it is text on all rows), the others '' or NULL for a number.
-    """
+
+def _repeat_for_totals(reduced: DataFrame, keys: Sequence[str], label: str, monthly: bool) -> DataFrame:
+    """Each reduced row once for its own cell and once for every total it counts in."""
     own, every = F.lit(False), F.lit(True)
     if monthly:
         cells = [F.struct(f.alias("total"), m.alias("month"))
@@ -139,12 +152,7 @@ def _repeat_for_totals(reduced: DataFrame, keys: Sequence[str], label: str, mont
         cells = [F.struct(f.alias("total")) for f in (own, every)]
     rows = reduced.withColumn("_cell", F.explode(F.array(*cells)))
     rows = rows.filter(F.col("_cell.total") | F.col(keys[0]).isNotNull())
-    changed = {}
-    for position, name in enumerate(keys):
-        kind = reduced.schema[name].dataType
-        blank = F.lit("") if isinstance(kind, T.StringType) else F.lit(None)
-        on_total, on_body = (F.lit(label), F.col(name).cast("string")) if position == 0 else (blank, F.col(name))
-        changed[name] = F.when(F.col("_cell.total"), on_total).otherwise(on_body)
+    changed = _labelled_keys(reduced, keys, label, F.col("_cell.total"))
     changed[TOTAL_FLAG] = F.col("_cell.total")
     if monthly:
         changed["_month"] = F.col("_cell.month")

@@ -127,10 +127,10 @@ def _item_columns(joined: DataFrame) -> DataFrame:
         for key, name in nested.PARENT_ATTRIBUTES.items()
     ]
     return amounts.select(
-        dates.date_text(local).alias("Portal_Invoice_Date"),
+        F.coalesce(dates.date_text(local), F.lit("")).alias("Portal_Invoice_Date"),
         "Portal_Invoice_Time",
-        F.col("_period.start").cast("string").alias("Service_Date_Start"),
-        F.col("_period.end").cast("string").alias("Service_Date_End"),
+        F.coalesce(F.col("_period.start").cast("string"), F.lit("")).alias("Service_Date_Start"),
+        F.coalesce(F.col("_period.end").cast("string"), F.lit("")).alias("Service_Date_End"),
         F.col("_period.description").alias("Recurring_Description"),
         dates.billing_month(local).alias("billing_month"),
         "Portal_Invoice_Number",

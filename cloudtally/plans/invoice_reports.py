@@ -107,11 +107,9 @@ def _sheet(rows: DataFrame, months: Sequence[str], total: str) -> DataFrame:
 
 
 def _empty_months(rows: DataFrame, months: Sequence[str]) -> DataFrame:
-    """A row without amount for each report month (a plan parameter)."""
+    """A row without an amount for each report month (a plan parameter)."""
     blank = rows.sparkSession.range(1).withColumn(MONTH, F.explode(F.array(*[F.lit(m) for m in months])))
-    return blank.select(
-        MONTH, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in [*SHEET_KEYS, "totalAmount"]]
-    )
+    return blank.select(MONTH, F.lit(None).cast(rows.schema["totalAmount"].dataType).alias("totalAmount"))
 
 
 def top_sheet_iaas(lines: DataFrame, parts: DataFrame, months: Sequence[str]) -> DataFrame:

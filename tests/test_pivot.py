@@ -104,3 +104,10 @@ def test_one_read_of_the_rows(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1
     assert "PushedFilters: [IsNotNull(a), " in text
+
+
+def test_totals_take_one_shuffle(spark, tmp_path):
+    frame(spark, sample(3)).write.parquet(str(tmp_path / "t"))
+    report = totals_within(spark.read.parquet(str(tmp_path / "t")), "month", ["a", "b"], ["amount"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan"), plan.count("Exchange")) == (1, 1)
