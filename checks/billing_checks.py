@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.billing_views import (
-    INVOICE_CTE, ITEM_CTE, LINES_CTE, MONTHS, PART_CTE, VOLUME_CTE, invoices, items, lines, parts, volumes,
+    INVOICE_CTE, ITEM_CTE, LINES_CTE, MONTHS, PART_CTE, invoices, items, lines, parts, volumes,
 )
 from checks.registry import check, pivot_sql
 from checks.tables import run
 from cloudtally.functions import charges, dates, nested, text
-from cloudtally.operators.lookup import distinct_values, lookup_join
+from cloudtally.operators.lookup import distinct_values
 from cloudtally.operators.pivot import Measure, ordered, pivot_report
 from cloudtally.plans import invoice_reports as reports
-from cloudtally.plans.invoice_lines import LINE_COLUMNS, charged_invoices, network_storage
+from cloudtally.plans.invoice_lines import charged_invoices, network_storage
 
 LINES = f"WITH {LINES_CTE}"
 MONEY = "CAST(SUM([amount_milli]) AS DOUBLE) / 1000"

@@ -9,10 +9,8 @@ from checks.landed import landed
 from checks.registry import check, pivot_sql
 from checks.tables import duck, run, table
 from cloudtally.functions import nested, text
-from cloudtally.functions.dates import provision_month
 from cloudtally.plans import inventory, storage
 from cloudtally.plans.invoice_reports import account_detail, classic_users
-from cloudtally.sources.landing import REGIONS
 
 # Server c: frontend eth1, eth3, ... and backend eth0, eth2, ... plus two management entries.
 SERVER_BASE = """

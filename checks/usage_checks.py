@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from checks.billing_views import MONTHS
 from checks.registry import check, pivot_sql
-from checks.tables import duck, run
+from checks.tables import duck
 from checks.usage_views import (
     ACCOUNT_CTE, EVENT_BASE, INSTANCE_CTE, RESOURCE_BASE, TAG_SQL, USERS_SQL, WEEKS, account_documents,
     billing_instances, clusters, cloud_users, event_documents, images, initializations, instances, landed_resources,
     resources, servers, tags, workers,
 )
 from cloudtally.functions import nested, text
-from cloudtally.operators.lookup import latest_by_key, lookup_join
+from cloudtally.operators.lookup import latest_by_key
 from cloudtally.plans import usage, usage_reports as reports
 
 INSTANCES = f"WITH {INSTANCE_CTE}"

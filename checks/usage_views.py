@@ -275,6 +275,11 @@ def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instance dimension, written once as in a report run."""
+    return landed(spark, sf_dir, "instance_dimension", _dimension)
+
+
+def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.instance_dimension(
         resources(spark, sf_dir), tags(spark, sf_dir), cloud_users(spark, sf_dir), servers(spark, sf_dir),
         images(spark, sf_dir), initializations(spark, sf_dir),

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cloudtally.functions.dates import date_text
 from cloudtally.functions.nested import first_child_text
 
 MONEY = "decimal(18,6)"
@@ -146,7 +145,3 @@ def discount_and_price(discounts: Column, price: Column) -> tuple[Column, Column
     """First discount (NULL if none) and the price list as JSON text (``[]`` if none)."""
     first = F.get(discounts, 0)["discount"]
     return first, F.when(F.size(price) > 0, F.to_json(price)).otherwise(F.lit("[]"))
-
-
-def invoice_day(local: Column) -> Column:
-    return date_text(local)

@@ -282,11 +282,6 @@ def server_attributes(servers: DataFrame) -> DataFrame:
     )
 
 
-_TEXT_OF_SERVER = [
-    "VSI_reservation_name", "VSI_dedicated_host", "VSI_architecture", "VSI_manufacturer", "VSI_gpu_manufacturer",
-    "VSI_gpu_model", "VSI_bootVolumeCRN", "VSI_bootVolumeName", "lifecycle_state", "health_state", "status", "OSName",
-    "OSVendor", "OSVersion",
-]
 _COUNT_OF_SERVER = [
     "VSI_virtualCPUs", "VSI_memorySizeMiB", "VSI_numaCount", "VSI_gpu_memory", "VSI_gpu_count", "VSI_totalBandwidth",
     "VSI_totalNetworkBandwidth", "VSI_totalVolumeBandwidth", "VSI_NumberOfInstStorageDisks", "BM_numberofCores",
@@ -402,22 +397,22 @@ def _enrichment(rows: DataFrame) -> list[Column]:
         "VSI_primaryNetworkSubnet": first_text("_worker_subnet", "_server_subnet"),
         "VSI_primaryNetworkPrimaryIp": first_text("_worker_ip", "_server_ip"),
     }
-    blank_numbers = ["VSI_numAttachedDataVolumes", "VSI_totalDataVolumeCapacity", "volume_capacity", "volume_iops",
-                     "cluster_workers"]
+    # Default of an unknown column; None leaves it NULL.
+    defaults = dict.fromkeys(_COUNT_OF_SERVER, "0L") | dict.fromkeys(_SIZE_OF_SERVER, "0D")
+    defaults |= dict.fromkeys(
+        ["VSI_numAttachedDataVolumes", "VSI_totalDataVolumeCapacity", "volume_capacity", "volume_iops",
+         "cluster_workers"]
+    )
     out = []
     for name in ENRICHMENT_COLUMNS:
         if name == "tags":
             column = F.coalesce("tags", F.array().cast("array<string>"))
         elif name in special:
             column = F.coalesce(special[name], F.lit(""))
-        elif name in blank_numbers:
-            column = F.when(known, F.col(name))
-        elif name in _COUNT_OF_SERVER:
-            column = F.coalesce(F.when(known, F.col(name)), F.lit(0).cast("long"))
-        elif name in _SIZE_OF_SERVER:
-            column = F.coalesce(F.when(known, F.col(name)), F.lit(0.0))
         else:
-            column = F.coalesce(F.when(known, F.col(name)), F.lit(""))
+            default = defaults.get(name, "''")
+            column = F.expr(f"CASE WHEN _known THEN coalesce({name}, {default}) ELSE {default} END" if default else
+                            f"CASE WHEN _known THEN {name} END")
         out.append(column.alias(name))
     return out
 

@@ -166,4 +166,3 @@ ALLOWED_STORAGE = _schema(
 )
 
 FETCH_ERRORS = _schema("accountId string, error string")
-PART_DESCRIPTIONS = _schema("part_code string, description string")

@@ -14,11 +14,6 @@ from cloudtally import schemas
 from cloudtally.functions.text import first_csv_column
 from cloudtally.operators.lookup import latest_by_key
 
-# Fixed values.
-REGIONS = [
-    "us-south", "us-east", "eu-de", "eu-gb", "eu-es", "jp-osa", "jp-tok", "au-syd", "ca-tor", "br-sao",
-]
-
 ENTITIES: dict[str, str] = {
     "invoices": schemas.INVOICES,
     "invoice_items": schemas.INVOICE_ITEMS,
