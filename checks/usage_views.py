@@ -250,6 +250,10 @@ def initializations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "clusters", _clusters)
+
+
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run(
         spark, sf_dir,
         """SELECT concat('cluster', n_nationkey) AS id, n_name AS name, 'us-south' AS region,
@@ -261,6 +265,10 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "workers", _workers)
+
+
+def _workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run(
         spark, sf_dir,
         """SELECT concat('cluster', s_nationkey) AS cluster, concat('w', s_suppkey) AS id,

@@ -2,7 +2,7 @@
 
 Each program writes its core table once into the shared work folder (partitioned by month where it has one) and
 builds all selected reports from that table, so that no report repeats the joins and a lost executor costs no more than
-the tasks it ran.
+the tasks it ran. Joined dimensions are written too: Spark then knows their size when it plans the lookups.
 """
 
 from __future__ import annotations
@@ -127,6 +127,7 @@ def usage_report(
     clusters = usage.named_clusters(
         read_latest(spark, landing, "clusters", "id"), read_latest(spark, landing, "vpcs", "id")
     )
+    clusters = _saved(clusters, "clusters", now)
     workers = usage.named_workers(
         read_latest(spark, landing, "workers", "id"), clusters, read_latest(spark, landing, "subnets", "id")
     )
@@ -135,7 +136,7 @@ def usage_report(
             read_entity(spark, landing, "instance_usage").filter(wanted),
             _saved(dimension, "instance_dimension", now),
             clusters,
-            workers,
+            _saved(workers, "workers", now),
         )
     )
     account = usage.account_usage(read_entity(spark, landing, "account_usage").filter(wanted))
@@ -167,10 +168,9 @@ def account_storage(
     """Storage of each listed account as JSON records, and a summary of the accounts that failed."""
     accounts = read_accounts(spark, account_file)
     errors = read_entity(spark, landing, "fetch_errors")
+    allowed = _saved(read_latest(spark, landing, "allowed_storage", "id"), "allowed_storage", now)
     built = {
-        "HardwareStorage": lambda: storage.account_records(
-            accounts, read_latest(spark, landing, "allowed_storage", "id"), errors
-        ),
+        "HardwareStorage": lambda: storage.account_records(accounts, allowed, errors),
         "AccountSummary": lambda: storage.account_summary(accounts, errors),
     }
     return write_reports(built, output, now, file_format="json")
