@@ -31,6 +31,9 @@ from cloudtally.sources.landing import (
 from cloudtally.sources.snapshots import load_snapshot, run_stamp, save_snapshot, save_snapshot_by_month, write_reports
 
 
+SERVER_REPORT = "ServerReport"
+
+
 def _saved(df: DataFrame, name: str, now: dt.datetime, month: str | None = None) -> DataFrame:
     spark = df.sparkSession
     folder = f"{work_folder(spark)}/cloudtally/{run_stamp(now)}"
@@ -152,14 +155,17 @@ def hardware_inventory(
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
 ) -> dict[str, str]:
-    """Inventory tables and counts, and the server report as text lines."""
+    """Inventory tables and counts, and the server report as text files that read on from one to the next."""
     hardware = _saved(read_latest(spark, landing, "hardware", "id"), "hardware", now)
     trunks = read_entity(spark, landing, "trunks")
     built = inventory.inventory_report_set(hardware, trunks)
-    built["ServerReport"] = lambda: inventory.server_report(
-        hardware, trunks, read_latest(spark, landing, "allowed_storage", "id")
-    ).orderBy("id", "section", "line")
-    return write_reports(built, output, now, reports, file_format)
+    wanted = [*built, SERVER_REPORT] if reports is None else list(reports)
+    paths = write_reports(built, output, now, [r for r in wanted if r != SERVER_REPORT], file_format)
+    if SERVER_REPORT in wanted:
+        lines = inventory.server_report(hardware, trunks, read_latest(spark, landing, "allowed_storage", "id"))
+        text = {SERVER_REPORT: lambda: lines.orderBy("id", "section", "line").select("value")}
+        paths |= write_reports(text, output, now, file_format="text")
+    return paths
 
 
 def account_storage(

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,9 +44,19 @@ ENTITIES: dict[str, str] = {
 LOAD_ORDER = ["load_file", "load_offset", "load_row"]
 
 
+def _pages(spark: SparkSession, folder: str, entity: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(ENTITIES[entity]).json(f"{folder}/{entity}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
-    """All landed pages of an entity. A month or region without a file has no rows."""
-    return spark.read.schema(ENTITIES[entity]).json(f"{folder}/{entity}")
+    """All landed pages of an entity. A month, region or whole entity without a file has no rows."""
+    pages = _pages(spark, folder, entity)
+    return spark.createDataFrame([], ENTITIES[entity]) if pages is None else pages
 
 
 def read_in_load_order(spark: SparkSession, folder: str, entity: str) -> DataFrame:
@@ -53,7 +64,9 @@ def read_in_load_order(spark: SparkSession, folder: str, entity: str) -> DataFra
 
     Name page files so that they sort in load order.
     """
-    pages = read_entity(spark, folder, entity)
+    pages = _pages(spark, folder, entity)
+    if pages is None:
+        return spark.createDataFrame([], f"{ENTITIES[entity]}, load_file string, load_offset long, load_row long")
     return pages.select(
         *pages.columns,
         F.col("_metadata.file_path").alias("load_file"),
