@@ -49,11 +49,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate of a dimension is below its broadcast limit.
 
     The estimate is the one Spark plans with (file sizes; a join counts as the product of its sides, so that a
-    joined dimension counts as large).
+    joined dimension counts as large). Where it cannot be asked for, as in a remote session, a dimension is large.
     """
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= _bytes(limit)
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return False
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes())) <= _bytes(limit)
 
 
 def _bytes(setting: str) -> int:

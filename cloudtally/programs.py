@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloudtally.functions.dates import month_list, usage_months_for_invoices
-from cloudtally.operators.lookup import latest_by_key
+from cloudtally.operators.lookup import distinct_values, latest_by_key
 from cloudtally.plans import inventory, storage, usage
 from cloudtally.plans.invoice_lines import invoice_lines
 from cloudtally.plans.invoice_reports import invoice_report_set
@@ -44,6 +44,13 @@ def _saved(df: DataFrame, name: str, now: dt.datetime, month: str | None = None)
     return load_snapshot(spark, folder, name)
 
 
+def _report_months(saved: DataFrame, column: str, start: str, end: str) -> list[str]:
+    """The months asked for and any other the table holds: an invoice at the very end of the window bills one month
+    later. A table holds at most one month more than its window, and the column is its partition column."""
+    held = {row[0] for row in distinct_values(saved, column).filter(F.col(column).isNotNull()).collect()}
+    return sorted(held | set(month_list(start, end)))
+
+
 def invoice_analysis(
     spark: SparkSession,
     landing: str,
@@ -61,10 +68,11 @@ def invoice_analysis(
     lines = invoice_lines(
         read_entity(spark, landing, "invoices"), read_entity(spark, landing, "invoice_items"), volumes, start, end
     )
+    saved = _saved(lines, "invoice_lines", now, "billing_month")
     built = invoice_report_set(
-        _saved(lines, "invoice_lines", now, "billing_month"),
+        saved,
         read_part_descriptions(spark, part_file),
-        month_list(start, end),
+        _report_months(saved, "billing_month", start, end),
         read_entity(spark, landing, "account"),
         read_entity(spark, landing, "classic_users"),
     )

@@ -23,6 +23,16 @@ def test_invoice_analysis(spark, land, tmp_path):
     assert spark.read.parquet(f"{output}/Users").first().lastLoginAttempt is None
 
 
+def test_invoice_at_the_end_of_the_window_keeps_its_month(spark, land, tmp_path):
+    last = INVOICES[1] | {"createDate": "2024-02-20T00:00:00-06:00"}
+    folder = land("invoices", [INVOICES[0], last])
+    land("invoice_items", ITEMS)
+    output = str(tmp_path / "out")
+    programs.invoice_analysis(spark, folder, output, "2024-01", "2024-02", NOW, ["CategoryDetail"])
+    total = spark.read.parquet(f"{output}/CategoryDetail").filter("is_total").first()
+    assert (total["totalAmount_2024-02"], total["totalAmount_2024-03"]) == (0.0, 12.0)
+
+
 def test_usage_programs(spark, land, tmp_path):
     folder = land("instance_usage", USAGE)
     land("resources", RESOURCES)
