@@ -22,7 +22,7 @@ VIRTUAL_SERVER_GROUP = "Virtual Servers and Attached Services"
 
 def money(text: Column) -> Column:
     """API amount text as an exact decimal; NULL if missing or malformed."""
-    return text.try_cast("decimal(28,10)").cast(MONEY)
+    return text.try_cast(MONEY)
 
 
 def charge(amount: Column) -> Column:
