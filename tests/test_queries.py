@@ -33,7 +33,7 @@ def test_same_rows_as_sql(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
 def test_entry(spark):
