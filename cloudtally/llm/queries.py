@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import rule_ledger, token_files
+from cloudtally.llm import rule_ledger, simhash_links, token_files
 from cloudtally.llm.common import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,12 +31,19 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_ledger.ledger(_table(spark, sf_dir, "documents"))
     base = rule_ledger.failed(rule_ledger.POLICIES["base-1"])
     own = rule_ledger.failed(rule_ledger.POLICIES[QUALITY_POLICY])
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    columns = ["row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return rows.select(*columns, base.alias("base_failed"), (~base & ~own).alias("kept"), "fail_bits")
 
 
+def op3_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of each document."""
+    rows = simhash_links.near_duplicates(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
+    "op3_simhash_links": op3_simhash_links,
 }
 ORACLES: dict[str, str] = {}

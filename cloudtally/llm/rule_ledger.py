@@ -5,8 +5,8 @@ A policy is a versioned set of rules, that is a mask: applying one, or asking wh
 on the bits of the stored ledger and reads no text.
 
 Words are runs of bytes that are not ASCII white space (space, tab to carriage return). Null text has no words, so it
-fails ``few_words``. An empty table gives an empty ledger. Rows that share an id are judged each on its own; columns
-other than id and text are not read.
+fails ``few_words``. An empty table gives an empty ledger. Rows that share an id are judged each on its own. All columns
+of a document go along in ``row``, whatever their names.
 """
 
 from __future__ import annotations
@@ -66,18 +66,18 @@ def measures(text: bytes) -> tuple[int, ...]:
     )
 
 
-def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of measurements per document: the only pass over texts, with no shuffle."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``row`` (the document as it came) and its measurements: the only pass over texts, with no shuffle."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = zip(*map(measures, bytes_of(batch.column(1))))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *MEASURES]
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=["row", *MEASURES]
         )
 
-    schema = f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES)
-    return map_batches(docs.select(doc_id, text), measure, schema)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES)
+    return map_batches(rows, measure, schema)
 
 
 @dataclass(frozen=True)
@@ -105,10 +105,10 @@ POLICIES = {
 }
 
 
-def ledger(docs: DataFrame, rules: list[Rule] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Measurements and ``fail_bits`` of each document."""
+def ledger(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
+    """``row``, measurements and ``fail_bits`` of each document."""
     bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long") for r in rules]
-    return measured(docs, doc_id, text).withColumn("fail_bits", reduce(Column.bitwiseOR, bits, F.lit(0).cast("long")))
+    return measured(docs, text).withColumn("fail_bits", reduce(Column.bitwiseOR, bits, F.lit(0).cast("long")))
 
 
 def mask_of(policy: list[str], rules: list[Rule] = RULES) -> int:

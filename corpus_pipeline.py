@@ -11,8 +11,7 @@ from cloudtally.llm.queries import QUALITY_POLICY
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the policy."""
-    rows = rule_ledger.ledger(docs).filter(~rule_ledger.failed(rule_ledger.POLICIES[QUALITY_POLICY]))
-    return docs.join(rows.select("doc_id"), "doc_id", "left_semi")
+    return rule_ledger.ledger(docs).filter(~rule_ledger.failed(rule_ledger.POLICIES[QUALITY_POLICY])).select("row.*")
 
 
 STAGES = [("quality_rules", quality)]

@@ -52,7 +52,7 @@ def test_query(spark):
 
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = rule_ledger.ledger(odd_docs).collect()
-    assert Counter((r.doc_id, *r[1:6]) for r in rows) == Counter((r.doc_id, *brute(r.text)) for r in odd_docs.collect())
+    assert Counter((r.row.doc_id, *r[1:6]) for r in rows) == Counter((r.doc_id, *brute(r.text)) for r in odd_docs.collect())
     assert all(r.fail_bits & 1 for r in rows if r.n_words < 50)
     assert rule_ledger.ledger(no_docs).count() == 0
 
