@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import rule_ledger, simhash_links, token_files
+from cloudtally.llm import fm_decontam, rule_ledger, simhash_links, token_files
 from cloudtally.llm.common import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,9 +41,23 @@ def op3_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in each document."""
+    rows = fm_decontam.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_simhash_links": op3_simhash_links,
+    "op8_fm_decontam": op8_fm_decontam,
 }
 ORACLES: dict[str, str] = {}

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,20 +43,35 @@ ENCODINGS = {
     "dictionary": {"parquet.enable.dictionary": "true"},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
-#: Distinct space-separated pieces whose ids a task keeps, and the longest piece that it keeps.
-MEMO_PIECES = 600_000
+#: Pieces whose ids a worker keeps (twice as many at most), and the longest piece that it keeps.
+MEMO_PIECES = 300_000
 MEMO_CHARS = 64
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_LINE_END = "\n"
+_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SIMPLE = re.compile(r"([^\W\d_]+)([.,]?)(?:\n([^\W\d_]+)([.,]?))?")
+
+
+def cut(text: str) -> list[str]:
+    """A text at each single space between two characters that are not white space."""
+    if _RARE_SPACE.search(text) or "  " in text or "\n " in text or " \n" in text or text[:1] in " \n" or text[-1:] in " \n":
+        return _CUT.split(text)
+    return text.split(" ")
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else the next unused."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, with a memo of pieces.
 
     The vocabulary's split pattern always cuts before a single space between two characters that are not white space,
-    so a text's ids are those of its pieces in turn. New pieces of a batch are encoded together, one on a line: a line
-    end before a space is a token of its own, which tells them apart.
+    so a text's ids are those of its pieces in turn. It also cuts between letters, a point or comma, and a line end;
+    a piece of these alone goes to the model word by word, any other through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -63,49 +79,62 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        ids = self._ids(["a" + _LINE_END + " a"])[0]
-        self.line_end = int(ids[1]) if len(ids) == 3 else None
-        self.memo: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        self.letters = dict(enumerate(_byte_letters()))
+        self.marks = {m: self._ids([m])[0] for m in (".", ",", "\n")} | {"": b""}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.words_alone = all(self._word(w) == self._ids([w])[0] for w in ("a", " the", " \xe9t\xe9", "\u6c34", " \xdf"))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in encoded]
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces, each with the space before it."""
-        together = [p for p in pieces if _LINE_END not in p] if self.line_end is not None else []
-        found: dict[str, bytes] = {}
-        for low in range(0, len(together), 2000):
-            lines = together[low : low + 2000]
-            ids = self._ids([_LINE_END.join(" " + p for p in lines)])[0]
-            ends = np.flatnonzero(ids == self.line_end)
-            if len(ends) == len(lines) - 1:
-                raw, at = ids.tobytes(), 0
-                for piece, end in zip(lines, [*(ends * 4).tolist(), len(raw)]):
-                    found[piece] = raw[at:end]
-                    at = end + 4
-        rest = [p for p in pieces if p not in found]
-        found.update((p, ids.tobytes()) for p, ids in zip(rest, self._ids([" " + p for p in rest])))
-        return found
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a run of letters, with or without a space before it."""
+        word = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
+
+    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces and their ids, each with the space before it."""
+        rest, marks, match = [], self.marks, _SIMPLE.fullmatch
+        for piece in pieces:
+            found = match(piece) if self.words_alone and len(piece) <= MEMO_CHARS else None
+            if found is None:
+                rest.append(piece)
+                continue
+            word, mark, second, last = found.groups()
+            if not word.isalpha() or (second is not None and not second.isalpha()):
+                rest.append(piece)
+            elif second is None:
+                yield piece, self._word(" " + word) + marks[mark]
+            else:
+                yield piece, self._word(" " + word) + marks[mark] + marks["\n"] + self._word(second) + marks[last]
+        yield from zip(rest, self._ids([" " + p for p in rest]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [_CUT.split(text) for text in texts]
-        heads = self._ids([pieces[0] for pieces in cut])
-        wanted = {p for pieces in cut for p in pieces[1:]}
-        if len(self.memo) + len(wanted) > MEMO_PIECES:
-            self.memo = {}
-        memo, new = self.memo, self._learn([p for p in wanted if p not in self.memo])
-        memo.update((p, ids) for p, ids in new.items() if len(p) <= MEMO_CHARS)
-        long = {p: ids for p, ids in new.items() if len(p) > MEMO_CHARS}
-        out = []
-        for head, pieces in zip(heads, cut):
-            if long:
-                ids = [memo[p] if p in memo else long[p] for p in pieces[1:]]
-            else:
-                ids = [memo[p] for p in pieces[1:]]
-            out.append(head.astype("<u4").tobytes() + b"".join(ids))
-        return out
+        pieces = [cut(text) for text in texts]
+        heads = self._ids([p[0] for p in pieces])
+        local: dict[str, bytes] = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
+        unknown = []
+        for piece in local:
+            ids = self.new.get(piece)
+            if ids is None:
+                ids = self.old.get(piece)
+                if ids is None:
+                    unknown.append(piece)
+                    continue
+                self.new[piece] = ids
+            local[piece] = ids
+        for piece, ids in self._learn(unknown):
+            local[piece] = ids
+            if len(piece) <= MEMO_CHARS:
+                self.new[piece] = ids
+        if len(self.new) >= MEMO_PIECES:
+            self.old, self.new = self.new, {}
+        look = local.__getitem__
+        return [head + b"".join(map(look, islice(p, 1, None))) for head, p in zip(heads, pieces)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
