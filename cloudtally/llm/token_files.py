@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import bounded_batches
+from cloudtally.llm.common import BATCH_ROWS, bounded_batches, bytes_of
 
 #: Row groups of 16 MB, pages of 64 KB or 200 documents: what a selective read opens at least.
 LAYOUT = {
@@ -45,18 +45,26 @@ ENCODINGS = {
 }
 #: Pieces whose ids a worker keeps (twice as many at most), and the longest piece that it keeps.
 MEMO_PIECES = 300_000
-MEMO_CHARS = 64
+MEMO_BYTES = 64
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_SIMPLE = re.compile(r"([^\W\d_]+)([.,]?)(?:\n([^\W\d_]+)([.,]?))?")
+#: White space other than space and line end: the ASCII bytes, and how all other such characters begin in UTF-8.
+_RARE_BYTES = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARE_STARTS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+_BESIDE = (b"  ", b"\n ", b" \n")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
-def cut(text: str) -> list[str]:
-    """A text at each single space between two characters that are not white space."""
-    if _RARE_SPACE.search(text) or "  " in text or "\n " in text or " \n" in text or text[:1] in " \n" or text[-1:] in " \n":
-        return _CUT.split(text)
-    return text.split(" ")
+def _rare(text: bytes) -> bool:
+    """Whether a text may have white space other than space and line end."""
+    return len(text.translate(None, _RARE_BYTES)) < len(text) or any(map(text.__contains__, _RARE_STARTS))
+
+
+def cut(text: bytes) -> list[bytes]:
+    """A text in UTF-8 at each single space between two characters that are not white space."""
+    if text[:1] == b" " or text[-1:] == b" " or any(map(text.__contains__, _BESIDE)) or _rare(text):
+        return [piece.encode() for piece in _CUT.split(text.decode())]
+    return text.split(b" ")
 
 
 def _byte_letters() -> list[str]:
@@ -70,8 +78,9 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, with a memo of pieces.
 
     The vocabulary's split pattern always cuts before a single space between two characters that are not white space,
-    so a text's ids are those of its pieces in turn. It also cuts between letters, a point or comma, and a line end;
-    a piece of these alone goes to the model word by word, any other through the whole tokenizer.
+    so a text's ids are those of its pieces in turn. It also cuts where a run of letters ends, and around a line end
+    between two such characters; a piece of one or two words goes to the model word by word, any other through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -80,11 +89,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.letters = dict(enumerate(_byte_letters()))
-        self.marks = {m: self._ids([m])[0] for m in (".", ",", "\n")} | {"": b""}
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.model = self.tokenizer.model
-        self.words_alone = all(self._word(w) == self._ids([w])[0] for w in ("a", " the", " \xe9t\xe9", "\u6c34", " \xdf"))
+        self.space = self.letters[32]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.line_end = self._ids(["\n"])[0]
+        self.marks: dict[str, bytes] = {"": b""}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -93,46 +104,64 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         """Ids of a run of letters, with or without a space before it."""
         word = word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
-
-    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        return b"".join([self.id_bytes[t.id] for t in self.tokenize(word)])
+
+    def _marked(self, word: str, before: str) -> bytes | None:
+        """Ids of a run of letters with marks after it; None if it is anything else."""
+        letters = word.rstrip(_MARKS)
+        mark = word[len(letters) :]
+        if not letters.isalpha():
+            return None
+        ids = self.marks.get(mark)
+        if ids is None:
+            ids = self.marks[mark] = self._ids([mark])[0]
+            if len(self.marks) > 10_000:
+                self.marks = {"": b""}
+        return self._word(before + letters) + ids
+
+    def _simple(self, piece: bytes) -> bytes | None:
+        """Ids of a piece of one word, or two on two lines, with the space before it; None if it is not."""
+        if piece.isalpha():  # ASCII letters stand for themselves
+            return b"".join([self.id_bytes[t.id] for t in self.tokenize(self.space + piece.decode())])
+        word, line_end, second = piece.decode().partition("\n")
+        ids = self._marked(word, " ")
+        if not line_end or ids is None:
+            return ids
+        more = self._marked(second, "")
+        return None if more is None else ids + self.line_end + more
+
+    def _learn(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Pieces and their ids, each with the space before it."""
-        rest, marks, match = [], self.marks, _SIMPLE.fullmatch
+        rest = []
         for piece in pieces:
-            found = match(piece) if self.words_alone and len(piece) <= MEMO_CHARS else None
-            if found is None:
-                rest.append(piece)
-                continue
-            word, mark, second, last = found.groups()
-            if not word.isalpha() or (second is not None and not second.isalpha()):
+            ids = self._simple(piece)
+            if ids is None:
                 rest.append(piece)
-            elif second is None:
-                yield piece, self._word(" " + word) + marks[mark]
             else:
-                yield piece, self._word(" " + word) + marks[mark] + marks["\n"] + self._word(second) + marks[last]
-        yield from zip(rest, self._ids([" " + p for p in rest]))
+                yield piece, ids
+        yield from zip(rest, self._ids([" " + p.decode() for p in rest]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text in UTF-8 as little-endian unsigned 32-bit integers."""
         pieces = [cut(text) for text in texts]
-        heads = self._ids([p[0] for p in pieces])
-        local: dict[str, bytes] = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
-        unknown = []
+        heads = self._ids([p[0].decode() for p in pieces])
+        local: dict[bytes, bytes] = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
+        unknown, new, old = [], self.new, self.old
         for piece in local:
-            ids = self.new.get(piece)
+            ids = new.get(piece)
             if ids is None:
-                ids = self.old.get(piece)
+                ids = old.get(piece)
                 if ids is None:
                     unknown.append(piece)
                     continue
-                self.new[piece] = ids
+                new[piece] = ids
             local[piece] = ids
         for piece, ids in self._learn(unknown):
             local[piece] = ids
-            if len(piece) <= MEMO_CHARS:
-                self.new[piece] = ids
-        if len(self.new) >= MEMO_PIECES:
-            self.old, self.new = self.new, {}
+            if len(piece) <= MEMO_BYTES:
+                new[piece] = ids
+        if len(new) >= MEMO_PIECES:
+            self.old, self.new = new, {}
         look = local.__getitem__
         return [head + b"".join(map(look, islice(p, 1, None))) for head, p in zip(heads, pieces)]
 
@@ -161,9 +190,9 @@ def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_i
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 250):
-                some = batch.slice(low, 250)
-                ids = [x + end for x in encoder.encode([t or "" for t in some.column(len(columns)).to_pylist()])]
+            for low in range(0, batch.num_rows, BATCH_ROWS // 2):
+                some = batch.slice(low, BATCH_ROWS // 2)
+                ids = [x + end for x in encoder.encode(bytes_of(some.column(len(columns))))]
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(counts)
                 offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
