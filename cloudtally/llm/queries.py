@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import chat_parts, fm_decontam, oracles, pfair_mix, rule_ledger, simhash_links, token_files
+from cloudtally.llm import chat_parts, fm_decontam, oracles, pfair_mix, rule_ledger, simhash_links, suffix_dedup, token_files
 from cloudtally.llm.common import shared_folder, written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,12 @@ def op3_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 400 bytes cover in each document."""
+    rows = suffix_dedup.deduplicated(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, and of one that imitates a template's marks, read back from the formatted turns."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_simhash_links": op3_simhash_links,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_parts": op7_chat_parts,
     "op8_fm_decontam": op8_fm_decontam,
     "op10_pfair_mix": op10_pfair_mix,
