@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import chat_parts, fm_decontam, oracles, pfair_mix, rule_ledger, simhash_links, suffix_dedup, token_files
+from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, oracles, pfair_mix, rule_ledger, simhash_links, suffix_dedup, token_files
 from cloudtally.llm.common import shared_folder, written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,6 +74,11 @@ def op8_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of nine tenths of them."""
+    return hidden_markov.scored(_table(spark, sf_dir, "documents"))
+
+
 def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block and slot of each document."""
     return pfair_mix.mixed(_table(spark, sf_dir, "documents"), ["doc_id", "source"])
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_parts": op7_chat_parts,
     "op8_fm_decontam": op8_fm_decontam,
+    "op9_hidden_markov": op9_hidden_markov,
     "op10_pfair_mix": op10_pfair_mix,
 }
 ORACLES: dict[str, str] = {"op7_chat_parts": oracles.OP7, "op10_pfair_mix": oracles.OP10}
