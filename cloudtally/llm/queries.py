@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, oracles, pfair_mix, rule_ledger, simhash_links, suffix_dedup, token_files
+from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, oracles, pfair_mix, rule_ledger, secret_scan, simhash_links, suffix_dedup, token_files
 from cloudtally.llm.common import shared_folder, written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,22 @@ def op3_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in each document."""
+    rows = secret_scan.scanned(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "row.doc_id",
+        *map(count, secret_scan.KINDS[:3]),
+        F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 400 bytes cover in each document."""
     rows = suffix_dedup.deduplicated(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -88,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_simhash_links": op3_simhash_links,
+    "op4_secret_scan": op4_secret_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_parts": op7_chat_parts,
     "op8_fm_decontam": op8_fm_decontam,
