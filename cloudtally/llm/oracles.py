@@ -63,3 +63,30 @@ SELECT doc_id, source, block, place, block * period // u AS release,
 FROM b JOIN (SELECT DISTINCT key, u, period FROM slots) USING (key)
   JOIN (SELECT key, unit, slot FROM slots) AS x ON x.key = b.key AND x.unit = block % u
 """
+
+OP5 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
+), f AS (
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), w AS (
+  SELECT doc_id, p, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c
+  FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), g AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS nth FROM w WHERE c IS NOT NULL
+), r AS (
+  SELECT DISTINCT doc_id, p + k AS p FROM g, (VALUES (0), (1), (2)) AS t(k) WHERE nth > 1
+), e AS (
+  SELECT doc_id, count(*) AS n_removed,
+    count(*) FILTER (NOT EXISTS (SELECT 1 FROM r AS q WHERE q.doc_id = r.doc_id AND q.p = r.p - 1)) AS n_runs
+  FROM r GROUP BY doc_id
+), k AS (
+  SELECT l.doc_id, count(*) AS n_lines,
+    coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (r.p IS NULL), '') AS kept
+  FROM l LEFT JOIN f USING (doc_id, i) LEFT JOIN r ON r.doc_id = f.doc_id AND r.p = f.p GROUP BY l.doc_id
+)
+SELECT k.doc_id, n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs, sha256(kept) AS kept_sha256
+FROM k LEFT JOIN e USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, oracles, pfair_mix, rule_ledger, secret_scan, simhash_links, suffix_dedup, token_files
+from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, line_runs, oracles, pfair_mix, rule_ledger, secret_scan, simhash_links, suffix_dedup, token_files
 from cloudtally.llm.common import shared_folder, written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +57,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without later copies of runs of lines."""
+    rows = line_runs.deduplicated(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 400 bytes cover in each document."""
     rows = suffix_dedup.deduplicated(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -105,10 +111,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_rule_ledger": op2_rule_ledger,
     "op3_simhash_links": op3_simhash_links,
     "op4_secret_scan": op4_secret_scan,
+    "op5_line_runs": op5_line_runs,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_parts": op7_chat_parts,
     "op8_fm_decontam": op8_fm_decontam,
     "op9_hidden_markov": op9_hidden_markov,
     "op10_pfair_mix": op10_pfair_mix,
 }
-ORACLES: dict[str, str] = {"op7_chat_parts": oracles.OP7, "op10_pfair_mix": oracles.OP10}
+ORACLES: dict[str, str] = {
+    "op5_line_runs": oracles.OP5,
+    "op7_chat_parts": oracles.OP7,
+    "op10_pfair_mix": oracles.OP10,
+}

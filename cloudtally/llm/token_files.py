@@ -3,7 +3,7 @@
 A token table is a folder of Parquet files in document order. Each row is one document:
 
 ====================  ============================================================================
-order columns         what documents are sorted by (``doc_id``), ascending over files and in each
+order columns         what documents are sorted by (``doc_id``), ascending over files and in each; more on request
 tokens                its ids, the end id last: ``list<int32>``, dictionary or delta encoded
 n_tokens              how many
 part, part_offset     number of the file, and ids in that file before this document
@@ -176,13 +176,12 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0, keep: Sequence[str] = ()) -> DataFrame:
     """Documents in ascending order with their ids; one shuffle, of the texts by range of the order."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    columns = list(order)
+    bounded_batches(docs.sparkSession)
+    columns = [*order, *keep]
     rows = docs.select(*columns, F.col(text).alias("_text"))
-    rows = rows.repartitionByRange(*columns).sortWithinPartitions(*columns, "_text")
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "_text")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
     end = np.array([end_id], "<u4").tobytes()
@@ -212,9 +211,9 @@ def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_i
     return rows.mapInArrow(over, f"{schema}, tokens array<int>, n_tokens long, part int, part_offset long")
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0, encoding: str = "dictionary") -> None:
-    """Write the token table of ``docs``."""
-    rows = encoded(docs, tokenizer_path, order, text, end_id)
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0, keep: Sequence[str] = (), encoding: str = "dictionary") -> None:
+    """Write the token table of ``docs``, with the columns ``keep``."""
+    rows = encoded(docs, tokenizer_path, order, text, end_id, keep)
     rows.write.options(**LAYOUT, **ENCODINGS[encoding]).parquet(folder)
 
 
