@@ -11,15 +11,16 @@ only pieces of one hash can share a string: pieces are grouped by it, and a task
 piece that occurs twice or more as a whole is repeated from end to end, and one copy of it represents it from then on.
 Hashes of pieces (no bytes) are counted first, so only pieces whose hash other texts have too are fetched.
 
-*Shards.* These pieces are sorted by hash over the partitions, and cut into shards of ``SHARD_BYTES`` with whole groups
-where they fit. In a shard, the suffix array of all pieces' bytes is refined as by Larsson and Sadakane: suffixes are
-sorted by eight bytes, then groups of equal ones, and only those, by the rank of the suffix further on, doubling up to
-``LENGTH``. Common prefixes of neighbours follow as by Kasai: a suffix whose neighbour follows the last one's neighbour
-shares one byte less; others are compared. A start is repeated if its neighbour shares ``LENGTH`` bytes or more.
+*Shards.* These pieces are dealt out by hash, a group of more than ``SHARD_BYTES`` in several parts by digest, and each
+partition is cut into shards of about that many bytes with whole parts. In a shard, the suffix array of all pieces'
+bytes is refined as by Larsson and Sadakane: suffixes are sorted by eight bytes, then groups of equal ones, and only
+those, by the rank of the suffix further on, doubling up to ``LENGTH``. Common prefixes of neighbours follow as by
+Kasai: a suffix whose neighbour follows the last one's neighbour shares one byte less; others are compared. A start is
+repeated if its neighbour shares ``LENGTH`` bytes or more.
 
-*Merging.* A group that crosses the edge of a shard, as a large one does several times, is judged once more across
-shards: each shard gives a 128-bit fingerprint of each of its distinct strings in such a group; fingerprints are sorted
-over the partitions, and binary search tells those that two shards or more have.
+*Merging.* A group in several parts is judged once more across shards: each shard gives a 128-bit fingerprint of each of
+its distinct strings in such a group, packed by ranges of fingerprints; for each range, binary search tells those that
+two shards or more have.
 
 Removed bytes come back to their documents as lists of spans.
 """
@@ -217,38 +218,35 @@ _SPANS = "place long, begin long, end long"
 
 
 def _with_bytes(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``hash``, ``digest_a``, ``place``, ``start``, ``count``, ``bytes`` of some pieces."""
-    wanted = pieces.groupBy("place").agg(F.collect_list(F.struct("hash", "digest_a", "start", "count")).alias("wanted"))
-    rows = docs.join(wanted, "place").select("place", "wanted", "text")
-    schema = "hash long, digest_a long, place long, start long, count long, bytes binary"
+    """``hash``, ``part``, ``large``, ``place``, ``start``, ``count``, ``bytes`` of some pieces."""
+    listed = F.collect_list(F.struct("hash", "part", "large", "start", "count")).alias("wanted")
+    rows = docs.join(pieces.groupBy("place").agg(listed), "place").select("place", "wanted", "text")
+    names = ["hash", "part", "large", "place", "start", "count"]
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, places = bytes_of(batch.column(2)), batch.column(0).to_pylist()
+        texts, places = bytes_of(batch.column(2)), np.array(batch.column(0).to_pylist(), np.int64)
         lists = batch.column(1)
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat = lists.flatten()
-        columns = [flat.field(i).to_numpy() for i in range(4)]
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        ends = (columns[2] + columns[3] + LENGTH - 1).tolist()
-        some = [texts[o][a:b] for o, a, b in zip(owner.tolist(), columns[2].tolist(), ends)]
-        arrays = [columns[0], columns[1], np.array(places, np.int64)[owner], columns[2], columns[3]]
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(a) for a in arrays), pa.array(some, pa.binary())],
-            names=["hash", "digest_a", "place", "start", "count", "bytes"],
-        )
+        owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        value, part, large, start, count = (lists.flatten().field(i).to_numpy() for i in range(5))
+        ends = (start + count + LENGTH - 1).tolist()
+        some = [texts[o][a:b] for o, a, b in zip(owner.tolist(), start.tolist(), ends)]
+        columns = [pa.array(c) for c in (value, part, large, places[owner], start, count)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(some, pa.binary())], names=[*names, "bytes"])
 
-    return map_batches(rows, cut, schema)
+    return map_batches(rows, cut, ", ".join(f"{n} long" for n in names) + ", bytes binary")
 
 
-def _sharded(pieces: DataFrame, shard_bytes: int) -> DataFrame:
-    """Spans of repeated starts by shard (``kind`` 0), and strings to hold against other shards (1: new, 2: repeated)."""
-    rows = pieces.repartitionByRange("hash", "digest_a").sortWithinPartitions("hash", "digest_a")
+def _sharded(pieces: DataFrame, shard_bytes: int, buckets: int) -> DataFrame:
+    """By shard: spans of repeated starts, and strings of groups in several shards, by range of their fingerprints.
+
+    The latter are ``prints``, 16 bytes each, and ``wheres``: place, start, and whether the shard has it twice.
+    """
+    rows = pieces.repartition("hash", "part").sortWithinPartitions("hash", "part")
     bounded_batches(rows.sparkSession)
-    schema = "kind int, place long, begin long, end long, print binary"
 
-    def judge(shard: list[tuple], edges: set[int]) -> pa.RecordBatch:
-        values, places, starts, counts = (np.array(c, np.int64) for c in list(zip(*shard))[:4])
-        texts = [s[4] for s in shard]
+    def judge(shard: list[tuple]) -> pa.RecordBatch:
+        values, large, places, starts, counts = (np.array(c, np.int64) for c in list(zip(*shard))[:5])
+        texts = [s[5] for s in shard]
         piece, offset, group, repeated = repeated_starts(texts, counts)
         at, owner = starts[piece] + offset, places[piece]
         order = np.lexsort((at[repeated], owner[repeated]))
@@ -257,60 +255,66 @@ def _sharded(pieces: DataFrame, shard_bytes: int) -> DataFrame:
         new[1:] = (a[1:] != a[:-1] + 1) | (o[1:] != o[:-1])
         first = np.flatnonzero(new)
         last = np.concatenate((first[1:], [len(a)]))[: len(first)] - 1
-        kinds = [np.zeros(len(first), np.int32)]
-        columns = [[o[first], a[first], a[last] + LENGTH]]
-        prints: list[bytes | None] = [None] * len(first)
-        if edges:
-            shared = np.isin(values[piece], list(edges))
-            shared &= np.concatenate(([True], group[1:] != group[:-1]))
-            places_, offsets = piece[shared], offset[shared]
-            digest = xxhash.xxh3_128_digest
-            prints += [digest(texts[p][k : k + LENGTH]) for p, k in zip(places_.tolist(), offsets.tolist())]
-            kinds.append(np.where(repeated[shared], 2, 1).astype(np.int32))
-            columns.append([owner[shared], at[shared], at[shared] + LENGTH])
-        merged = [np.concatenate(c) for c in zip(*columns)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(kinds)), *(pa.array(c) for c in merged), pa.array(prints, pa.binary())],
-            names=["kind", "place", "begin", "end", "print"],
-        )
+        spans = [pa.array(c) for c in (o[first], a[first], a[last] + LENGTH)]
+        shared = (large[piece] > 0) & np.concatenate(([True], group[1:] != group[:-1]))
+        digest = xxhash.xxh3_128_digest
+        owners, offsets = piece[shared].tolist(), offset[shared].tolist()
+        prints = np.frombuffer(b"".join([digest(texts[p][k : k + LENGTH]) for p, k in zip(owners, offsets)]), "V16")
+        bucket = (prints.view(">u4")[::4].astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)
+        wheres = np.stack((owner[shared], at[shared], repeated[shared]), axis=1)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        some = [(b, order[x:y]) for b, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if y > x]
+        none, empty = pa.nulls(len(some), pa.int64()), pa.nulls(len(first), pa.binary())
+        columns = [pa.concat_arrays([c, none]) for c in spans]
+        columns.append(pa.concat_arrays([pa.nulls(len(first), pa.int32()), pa.array([b for b, _ in some], pa.int32())]))
+        for packed in (prints, wheres):
+            columns.append(pa.concat_arrays([empty, pa.array([packed[w].tobytes() for _, w in some], pa.binary())]))
+        return pa.RecordBatch.from_arrays(columns, names=["place", "begin", "end", "bucket", "prints", "wheres"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
-        size, first = 0, None
-        split: set[int] = set()  # groups that cross an edge of the shard at hand
+        size, key = 0, None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)]
-            for row in zip(*columns):
-                if first is None:
-                    first = row[0]
-                    split.add(first)  # the partition before may end with this group
-                if size >= shard_bytes and row[0] != shard[-1][0] or size >= 2 * shard_bytes:
-                    crossing = {row[0]} if row[0] == shard[-1][0] else set()
-                    yield judge(shard, split | crossing)
-                    shard, size, split = [], 0, crossing | ({first} if row[0] == first else set())
-                shard.append(row)
-                size += len(row[4])
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for value, part, large, *rest in zip(*columns):
+                if size >= shard_bytes and key != (value, part):
+                    yield judge(shard)
+                    shard, size = [], 0
+                key = value, part
+                shard.append((value, large, *rest))
+                size += len(rest[-1])
         if shard:
-            yield judge(shard, split | {shard[-1][0]})  # the next partition may begin with it
+            yield judge(shard)
 
-    return rows.mapInArrow(over, schema)
+    return rows.mapInArrow(over, _SPANS + ", bucket int, prints binary, wheres binary")
 
 
 def _across_shards(strings: DataFrame) -> DataFrame:
     """Spans of strings that two shards or more have."""
-    rows = strings.select("print", "place", "begin", "end", "kind").repartitionByRange("print")
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = [batch for batch in batches if batch.num_rows]
-        if not some:
-            return
-        table = pa.Table.from_batches(some)
-        prints = np.frombuffer(b"".join(table.column(0).to_pylist()), "S16")
+    def search(parts: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        prints = np.frombuffer(b"".join(p for p, _ in parts), "S16")
+        place, begin, repeated = np.frombuffer(b"".join(w for _, w in parts), np.int64).reshape(-1, 3).T
         ordered = np.sort(prints)
         several = np.searchsorted(ordered, prints, side="right") - np.searchsorted(ordered, prints, side="left") > 1
-        several &= table.column(4).to_numpy() == 1
-        yield from table.filter(pa.array(several)).select([1, 2, 3]).to_batches()
+        several &= repeated == 0
+        columns = [place[several], begin[several], begin[several] + LENGTH]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "begin", "end"])
 
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            for bucket, prints, wheres in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if parts and bucket != now:
+                    yield search(parts)
+                    parts = []
+                now = bucket
+                parts.append((prints, wheres))
+        if parts:
+            yield search(parts)
+
+    rows = strings.select("bucket", "prints", "wheres").repartition("bucket").sortWithinPartitions("bucket")
     return rows.mapInArrow(over, _SPANS)
 
 
@@ -323,12 +327,16 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     several = strings.filter("n > 1").select(*key)
     whole = pieces.join(several, key, "left_semi")
     whole = whole.select("place", F.col("start").alias("begin"), (F.col("start") + F.col("count") + LENGTH - 1).alias("end"))
-    shared = strings.groupBy("hash").agg(F.count("*").alias("strings")).filter("strings > 1").select("hash")
-    candidates = strings.join(shared, "hash", "left_semi").select("hash", "digest_a", "first.*")
-    judged = written(_sharded(_with_bytes(docs, candidates), shard_bytes))
-    inside = judged.filter("kind = 0").select("place", "begin", "end")
-    across = _across_shards(judged.filter("kind > 0"))
-    return whole.unionAll(inside).unionAll(across)
+    size = F.sum(F.col("first.count") + (LENGTH - 1))
+    groups = strings.groupBy("hash").agg(F.count("*").alias("strings"), F.ceil(size / shard_bytes).alias("parts"))
+    groups = groups.filter("strings > 1").select("hash", "parts")
+    buckets = groups.filter("parts > 1").agg(F.coalesce(F.sum("parts"), F.lit(0)).alias("n")).first().n
+    candidates = strings.join(groups, "hash").select(
+        "hash", F.pmod("digest_b", "parts").alias("part"), (F.col("parts") > 1).cast("long").alias("large"), "first.*"
+    )
+    judged = written(_sharded(_with_bytes(docs, candidates), shard_bytes, max(1, buckets)))
+    inside = judged.filter("bucket is null").select("place", "begin", "end")
+    return whole.unionAll(inside).unionAll(_across_shards(judged.filter("bucket is not null")))
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
