@@ -3,7 +3,7 @@
 A text's tokens are its words (runs of bytes that are not ASCII white space, A-Z in lower case) and one end. The model
 is trained on documents whose CRC-32 of the id as text (null: empty) is not a multiple of ``HELD_OUT``.
 
-*Symbols.* The ``HEAD_WORDS`` most frequent words of at most ``HEAD_BYTES`` bytes and the end are symbols of their own;
+*Symbols.* The most frequent words of at most ``HEAD_BYTES`` bytes, up to ``HEAD_WORDS``, and the end are symbols of their own;
 other words are ``CLASSES`` symbols by their last three bytes, and within its class a word has probability
 (c + 0.1) / (n + 0.1 * (v + 1)), n and v being the class's tokens and distinct words. So the head bounds what is
 broadcast, carries the words that any join would be skewed by, and the rest of the vocabulary, whatever its size, is
@@ -40,6 +40,8 @@ from cloudtally.llm.common import bounded_batches, bytes_of, map_batches, writte
 HELD_OUT = 10
 HEAD_WORDS = 1 << 17
 HEAD_BYTES = 48
+#: Words join the head by whole steps of frequency, so many to a doubling.
+FREQUENCY_STEPS = 32
 CLASSES = 64
 STATES = 8
 ROUNDS = 4
@@ -212,16 +214,19 @@ class Words:
 
 
 def counted(words: DataFrame, documents: int, head_words: int = HEAD_WORDS) -> Words:
-    """Totals of a vocabulary; ``head_words`` rows at most and one for each class come to the driver."""
+    """Totals of a vocabulary. The driver gets ``head_words`` rows at most, one for each class and step of frequency."""
     total = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    short = F.length("word") <= HEAD_BYTES
-    head = words.filter(short).orderBy(F.col("n").desc(), "word").limit(head_words).toArrow()
+    short, step = F.length("word") <= HEAD_BYTES, F.floor(F.log2("n") * FREQUENCY_STEPS)
+    steps = words.filter(short).groupBy(step.alias("step")).count().orderBy(F.col("step").desc()).collect()
+    least, size = None, 0
+    for number, n in steps:
+        if size + n > head_words:
+            break
+        least, size = number, size + n
+    in_head = short & (step >= F.lit(least)) if least is not None else F.lit(False)
+    head = words.filter(in_head).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     names, counts = head.column("word").to_pylist(), head.column("n").to_numpy().astype(np.int64)
-    rest = words
-    if names:
-        last = F.lit(int(counts[-1]))
-        in_head = short & ((F.col("n") > last) | ((F.col("n") == last) & (F.col("word") <= F.lit(names[-1]))))
-        rest = words.filter(~in_head)
+    rest = words.filter(~in_head)
     ending = F.expr("substring(word, greatest(length(word) - 2, 1), 3)")
     by_class = rest.groupBy((F.crc32(ending) % CLASSES).alias("c")).agg(F.sum("n"), F.count("*")).collect()
     tokens, distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
