@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.billing_views import (
     INVOICE_CTE, ITEM_CTE, LINES_CTE, MONTHS, PART_CTE, invoices, items, lines, parts, volumes,
 )
 from checks.registry import check, pivot_sql
-from checks.tables import run
+from checks.tables import run, table
 from cloudtally.functions import charges, dates, nested, text
 from cloudtally.operators.lookup import distinct_values
-from cloudtally.operators.pivot import Measure, ordered, pivot_report
+from cloudtally.operators.pivot import Measure, in_report_order, pivot_report
 from cloudtally.plans import invoice_reports as reports
 from cloudtally.plans.invoice_lines import charged_invoices, network_storage
+from cloudtally.session import work_folder
 
 LINES = f"WITH {LINES_CTE}"
 MONEY = "CAST(SUM([amount_milli]) AS DOUBLE) / 1000"
@@ -155,7 +159,7 @@ def _children(spark, sf_dir):
 
 @check("filter_charged_children", f"{_CHILDREN} SELECT invoice_id, bill_id * 10 + k AS child_id FROM base_child WHERE c_fee4 > 0")
 def _(spark, sf_dir):
-    kept = _children(spark, sf_dir).filter(charges.money(F.col("c.recurringFee")) > 0)
+    kept = _children(spark, sf_dir).filter(charges.positive(F.col("c.recurringFee")))
     return kept.select("invoice_id", F.col("c.billingItemId").alias("child_id"))
 
 
@@ -481,6 +485,35 @@ def _(spark, sf_dir):
     return pivot_report(_orders(spark, sf_dir), _KEYS, [_AMOUNT, _CUSTOMERS], total="Count", total_of_nothing=True)
 
 
-@check("ordered_with_total", pivot_sql("unused AS (SELECT 1)", _ORDERS, _KEYS, {"amount": _CENTS}))
+@check(
+    "ordered_with_total",
+    f"""SELECT *, row_number() OVER (ORDER BY is_total, {', '.join(_KEYS)}) - 1 AS place
+    FROM ({pivot_sql("unused AS (SELECT 1)", _ORDERS, _KEYS, {"amount": _CENTS})})""",
+)
 def _(spark, sf_dir):
-    return ordered(pivot_report(_orders(spark, sf_dir), _KEYS, [_AMOUNT]), _KEYS)
+    """The report as written: its place is the row's in the order of its files."""
+    report = in_report_order(pivot_report(_orders(spark, sf_dir), _KEYS, [_AMOUNT]))
+    folder = f"{work_folder(spark)}/cloudtally-ordered/{uuid.uuid4().hex}"
+    report.write.parquet(folder)
+    by = Window.orderBy("_metadata.file_name", "_metadata.row_index")
+    return spark.read.parquet(folder).withColumn("place", F.row_number().over(by) - 1)
+
+
+@check(
+    "invoices_of_any_amount",
+    """SELECT o_orderkey AS "Portal_Invoice_Number", CASE o_orderkey % 3
+      WHEN 0 THEN CAST(CAST(round(o_totalprice * 100) AS BIGINT) || '000000000.25' AS DOUBLE)
+      WHEN 1 THEN CAST('0.000000' || (1 + o_orderkey % 9) AS DOUBLE) ELSE 0.0 END AS total
+    FROM orders WHERE o_orderkey % 3 < 2""",
+)
+def _(spark, sf_dir):
+    """Invoices far above and below ordinary amounts are kept, those of zero are not."""
+    amount = """CASE o_orderkey % 3
+      WHEN 0 THEN concat(cast(round(o_totalprice * 100) as bigint), '000000000.25')
+      WHEN 1 THEN concat('0.000000', 1 + o_orderkey % 9) ELSE '0.00' END"""
+    invoices_ = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as id", "'2024-01-05T10:00:00Z' as createDate", "'NEW' as typeCode",
+        f"{amount} as invoiceTotalAmount", "'0.00' as invoiceTotalRecurringAmount",
+    )
+    kept = charged_invoices(invoices_)
+    return kept.select("Portal_Invoice_Number", F.col("InvoiceTotal").cast("double").alias("total"))

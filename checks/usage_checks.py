@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.billing_views import MONTHS
 from checks.registry import check, pivot_sql
-from checks.tables import duck
+from checks.tables import duck, table
 from checks.usage_views import (
     ACCOUNT_CTE, EVENT_BASE, INSTANCE_CTE, RESOURCE_BASE, TAG_SQL, USERS_SQL, WEEKS, account_documents,
     billing_instances, clusters, cloud_users, event_documents, images, initializations, instances, landed_resources,
@@ -364,3 +364,20 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return reports.charges_by_volume_month(usage.metric_rows(billing_instances(spark, sf_dir)))
+
+
+@check(
+    "usage_of_tiny_costs",
+    pivot_sql(
+        "event AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events)",
+        "SELECT event_type AS resource_name, '2024-01' AS month, cents FROM event", ["resource_name"],
+        {"cost": "CAST(SUM([cents]) AS DOUBLE) / 1000000000000"}, "month", ["2024-01"],
+    ),
+)
+def _(spark, sf_dir):
+    """Costs of about a billionth each add up exactly."""
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "event_type as resource_name", "'2024-01' as month",
+        "cast(round(value * 100) as bigint) / 1000000000000D as cost",
+    )
+    return reports.usage_summary(rows, ["2024-01"])

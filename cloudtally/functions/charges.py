@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions.nested import first_child_text
 
-MONEY = "decimal(18,6)"
-CHARGE = "decimal(18,3)"
-RATE = "decimal(18,5)"
-QUANTITY = "decimal(28,8)"
+MONEY = "decimal(28,10)"
+CHARGE = "decimal(28,3)"
+RATE = "decimal(28,5)"
+QUANTITY = "decimal(38,15)"
 
 # Fixed values.
 IAAS_DIVISIONS = ["7D", "SQ", "5M", "U3", "U6", "U7"]
@@ -21,8 +21,20 @@ VIRTUAL_SERVER_GROUP = "Virtual Servers and Attached Services"
 
 
 def money(text: Column) -> Column:
-    """API amount text as an exact decimal; NULL if missing or malformed."""
-    return text.try_cast(MONEY)
+    """API amount text as an exact decimal; NULL if missing. Text that is no amount, or too large, fails the run."""
+    read = text.try_cast(MONEY)
+    failed = F.raise_error(F.concat(F.lit("not an amount: "), text.cast("string"))).cast(MONEY)
+    return F.when(text.isNull() | read.isNotNull(), read).otherwise(failed)
+
+
+def positive(text: Column) -> Column:
+    """Whether an amount is above zero, however small; a missing one is not."""
+    return F.coalesce((text.try_cast("double") > 0) & money(text).isNotNull(), F.lit(False))
+
+
+def zero(text: Column) -> Column:
+    """Whether an amount is zero; a missing one is not."""
+    return F.coalesce((text.try_cast("double") == 0) & money(text).isNotNull(), F.lit(False))
 
 
 def charge(amount: Column) -> Column:
@@ -48,10 +60,10 @@ def hourly_rate(hourly: Column, category_code: Column, own_fee: Column, children
 
     File storage has no own fee, so its children alone make the rate.
     """
-    zero = F.lit(0).cast(MONEY)
-    own = F.coalesce(own_fee, zero)
+    nothing = F.lit(0).cast(MONEY)
+    own = F.coalesce(own_fee, nothing)
     counted = F.coalesce(hourly, F.lit(False)) & ((own > 0) | (category_code == "storage_as_a_service"))
-    return F.when(counted, F.greatest(own, zero) + child_rate_sum(children)).otherwise(zero).cast(MONEY)
+    return F.when(counted, F.greatest(own, nothing) + child_rate_sum(children)).otherwise(nothing).cast(MONEY)
 
 
 def hours(fee: Column, hourly_fee: Column) -> Column:

@@ -20,6 +20,13 @@ def instant(text: Column) -> Column:
     return F.when(without_colon, spaced).otherwise(text).try_cast("timestamp")
 
 
+def required_instant(text: Column) -> Column:
+    """``instant`` of a text that must have one; anything else fails the run."""
+    read = instant(text)
+    failed = F.raise_error(F.concat(F.lit("not a time: "), F.coalesce(text, F.lit("NULL")))).cast("timestamp")
+    return F.when(read.isNotNull(), read).otherwise(failed)
+
+
 def local_time(ts: Column) -> Column:
     """Wall-clock billing time (timestamp without zone) of an instant, whatever the session zone is."""
     return F.convert_timezone(None, F.lit(BILLING_ZONE), ts.cast("timestamp_ntz"))

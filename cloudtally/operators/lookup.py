@@ -1,8 +1,8 @@
 """Keyed dimensions and lookups against them.
 
 No join here carries a broadcast hint: a dimension is as large as its account. Spark broadcasts one only below its
-own size limit (``spark.sql.autoBroadcastJoinThreshold``). Above it both sides shuffle, and then the rows of a hot key
-are spread over several tasks, which AQE's skew join splits further if they are still large.
+own size limit (``spark.sql.autoBroadcastJoinThreshold``); above it both sides shuffle, and AQE's skew join splits the
+rows of a hot key. Where that is not enough, a run may ask for copies of the dimensions, over which hot keys spread.
 """
 
 from __future__ import annotations
@@ -12,9 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Parts a hot key is split into in a shuffled lookup, and so the copies made of a dimension row.
+# Parts that a run asks for a hot key to be split into, and so the copies made of a dimension row; none if unset.
 SPREAD_SETTING = "spark.cloudtally.lookup.spread"
-SPREAD = 16
 
 
 def _pick_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
@@ -45,25 +44,6 @@ def _all_present(columns: Sequence[str]) -> Column:
     return condition
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of a dimension is below its broadcast limit.
-
-    The estimate is the one Spark plans with (file sizes; a join counts as the product of its sides, so that a
-    joined dimension counts as large). Where it cannot be asked for, as in a remote session, a dimension is large.
-    """
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return False
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes())) <= _bytes(limit)
-
-
-def _bytes(setting: str) -> int:
-    units = {"k": 2**10, "m": 2**20, "g": 2**30}
-    number = setting.lower().removesuffix("b")
-    return int(number[:-1]) * units[number[-1]] if number[-1:] in units else int(number)
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -76,18 +56,18 @@ def lookup_join(
     """Add columns of a dimension that is unique by ``right_key``; NULL on a miss (or no row with ``how='inner'``).
 
     ``take`` maps dimension columns to output names. ``spread`` names left columns that differ between the rows
-    of one key: if the dimension is too large to broadcast, their hash picks one of several copies of it, so that
-    the rows of a hot key (or of the NULL key) go to that many tasks. The hash depends on the row alone, so a task
-    that is run again gives the same rows.
+    of one key: if the session asks for it (``SPREAD_SETTING``), their hash picks one of several copies of the
+    dimension, so that the rows of a hot key (or of the NULL key) go to that many tasks. The hash depends on the row
+    alone, so a task that is run again gives the same rows.
     """
     if not isinstance(take, dict):
         take = {name: name for name in take}
     key = F.col(left_key) if isinstance(left_key, str) else left_key
     rows = left.withColumn("_left_key", key)
     dimension = right.select(F.col(right_key).alias("_key"), *[F.col(c).alias(n) for c, n in take.items()])
-    if not spread or fits_broadcast(dimension):
+    copies = int(left.sparkSession.conf.get(SPREAD_SETTING, "1"))
+    if not spread or copies < 2:
         return rows.join(dimension, F.col("_left_key") == F.col("_key"), how).drop("_left_key", "_key")
-    copies = int(left.sparkSession.conf.get(SPREAD_SETTING, str(SPREAD)))
     dimension = dimension.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
     rows = rows.withColumn("_left_copy", F.pmod(F.xxhash64(*spread), F.lit(copies)).cast("int"))
     return rows.join(

@@ -54,7 +54,7 @@ def pivot_report(
     one more row, the grand total, marked by ``is_total``, and a ``<measure>_Total`` column; neither holds
     subtotals. Distinct counts in them are counted over the rows, not summed. ``fill`` puts 0 in empty cells.
     ``total_of_nothing`` keeps the total row when no row qualifies. Sums of decimals are exact and come out as
-    double. The result is not ordered: see ``ordered``.
+    double. The result is not ordered: see ``in_report_order``.
 
     The rows are read once and reduced to one per key and month (and counted value) before the first shuffle; body
     and totals are both made of these reduced rows. Distinct counts shuffle by group and value, so that no task
@@ -120,6 +120,18 @@ def ordered(report: DataFrame, keys: Sequence[str], numeric: Sequence[str] = ())
     return report.orderBy(*([TOTAL_FLAG] if TOTAL_FLAG in report.columns else []), *by)
 
 
+def in_report_order(report: DataFrame) -> DataFrame:
+    """A pivot in the order of its keys (the columns before the total flag), its totals last, by month if it has one.
+
+    A table without totals stays as it is.
+    """
+    if TOTAL_FLAG not in report.columns:
+        return report
+    keys = report.columns[: report.columns.index(TOTAL_FLAG)]
+    outer = keys[:1] if keys[0] == "month" else []
+    return report.orderBy(*outer, TOTAL_FLAG, *keys[len(outer) :])
+
+
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     for name in keys:
         df = df.filter(F.col(name).isNotNull())

@@ -26,12 +26,13 @@ def charged_invoices(invoices: DataFrame, start: str | None = None, end: str | N
     """Invoices of the billing cycles ``start`` .. ``end`` (all if not given) that charge anything."""
     total = charges.money(F.col("invoiceTotalAmount"))
     recurring = charges.money(F.col("invoiceTotalRecurringAmount"))
-    created = dates.instant(F.col("createDate"))
+    created = dates.required_instant(F.col("createDate"))
     kept = invoices
     if start and end:
         first, last = dates.invoice_window(start, end)
         kept = kept.filter(created.between(first, last))
-    kept = kept.filter(~((total == 0) & (recurring == 0)))
+    nothing = charges.zero(F.col("invoiceTotalAmount")) & charges.zero(F.col("invoiceTotalRecurringAmount"))
+    kept = kept.filter(~nothing)
     local = dates.local_time(created)
     return kept.select(
         F.col("id").alias("Portal_Invoice_Number"),
@@ -100,7 +101,7 @@ def invoice_lines(
     list_type = items.schema["children"].dataType
     itself = F.lit(None).cast(list_type.elementType)
     if children:
-        charged = F.filter("children", lambda c: charges.money(c["recurringFee"]) > 0)
+        charged = F.filter("children", lambda c: charges.positive(c["recurringFee"]))
         records = F.concat(F.array(itself), F.coalesce(charged, F.array().cast(list_type)))
         rows = items_read.withColumn("_child", F.explode(records))
     else:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from cloudtally.functions import nested
 from cloudtally.operators.lookup import lookup_join
 
-# Servers in one account record. An account with more of them spans several records of about this size.
-PAGE = 1000
-
 
 def hardware_storage(allowed: DataFrame) -> DataFrame:
     """Servers with at least one volume, their volumes kept nested."""
@@ -34,37 +31,18 @@ def hardware_storage(allowed: DataFrame) -> DataFrame:
     )
 
 
-def account_records(accounts: DataFrame, allowed: DataFrame, errors: DataFrame, page: int = PAGE) -> DataFrame:
-    """One record per listed account with its servers nested, or with the error of its retrieval.
+def account_records(accounts: DataFrame, allowed: DataFrame, errors: DataFrame) -> DataFrame:
+    """One record per server of a listed account, its volumes nested, and one per account without servers.
 
-    Hardware of a failed account is left out. A very large account is split by a hash of its server ids into
-    records of about ``page`` servers each, so that no task holds all of them.
+    The latter has the error of the account's retrieval, or none. Hardware of a failed account is left out.
     """
     failed = errors.select("accountId", "error").groupBy("accountId").agg(F.min("error").alias("error"))
-    servers = hardware_storage(allowed)
-    pages = servers.groupBy("accountId").agg(F.ceil(F.count(F.lit(1)) / page).cast("long").alias("_pages"))
-    placed = lookup_join(servers, pages, "accountId", "accountId", {"_pages": "_pages"}, spread=["hardwareId"])
-    nested_rows = (
-        placed.withColumn("page", F.pmod(F.xxhash64("hardwareId"), F.col("_pages")))
-        .groupBy("accountId", "page")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("hardwareId", "datacenter", "os", "storage"))).alias("hardware")
-        )
-    )
     listed = lookup_join(accounts.select("accountId"), failed, "accountId", "accountId", ["error"])
-    found = lookup_join(
-        nested_rows, listed.filter(F.col("error").isNull()).select(F.col("accountId").alias("listed")),
-        "accountId", "listed", ["listed"], spread=["page"], how="inner",
-    )
-    filled = found.select("accountId", "page", F.lit(None).cast("string").alias("error"), "hardware")
-    served = pages.select(F.col("accountId").alias("served"))
-    bare = listed.join(served, (F.col("accountId") == F.col("served")) & F.col("error").isNull(), "left_anti").select(
-        "accountId",
-        F.lit(0).cast("long").alias("page"),
-        "error",
-        F.array().cast(nested_rows.schema["hardware"].dataType).alias("hardware"),
+    servers = hardware_storage(allowed).withColumnRenamed("accountId", "owner")
+    owned = (F.col("accountId") == F.col("owner")) & F.col("error").isNull()
+    return listed.join(servers, owned, "left").select(
+        "accountId", "error", "hardwareId", "datacenter", "os", "storage"
     )
-    return filled.unionByName(bare)
 
 
 def account_summary(accounts: DataFrame, errors: DataFrame) -> DataFrame:

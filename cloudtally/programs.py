@@ -9,11 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.functions.dates import month_list, usage_months_for_invoices
+from cloudtally.functions.dates import (
+    BILLING_ZONE,
+    default_invoice_months,
+    default_usage_months,
+    month_list,
+    usage_months_for_invoices,
+)
 from cloudtally.operators.lookup import distinct_values, latest_by_key
 from cloudtally.plans import inventory, storage, usage
 from cloudtally.plans.invoice_lines import invoice_lines
@@ -28,20 +35,30 @@ from cloudtally.sources.landing import (
     read_latest,
     read_part_descriptions,
 )
-from cloudtally.sources.snapshots import load_snapshot, run_stamp, save_snapshot, save_snapshot_by_month, write_reports
+from cloudtally.sources.snapshots import load_snapshot, new_run, save_snapshot, save_snapshot_by_month, write_reports
 
 
 SERVER_REPORT = "ServerReport"
 
 
-def _saved(df: DataFrame, name: str, now: dt.datetime, month: str | None = None) -> DataFrame:
+def _saved(df: DataFrame, name: str, run: str, month: str | None = None) -> DataFrame:
     spark = df.sparkSession
-    folder = f"{work_folder(spark)}/cloudtally/{run_stamp(now)}"
+    folder = f"{work_folder(spark)}/cloudtally/{run}"
     if month:
         save_snapshot_by_month(df, folder, name, month)
     else:
         save_snapshot(df, folder, name)
-    return load_snapshot(spark, folder, name)
+    return load_snapshot(spark, folder, name, df.schema)
+
+
+def _billing_day(now: dt.datetime) -> dt.date:
+    """The day of ``now`` (UTC unless it says otherwise) where billing takes place."""
+    at = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
+    return at.astimezone(ZoneInfo(BILLING_ZONE)).date()
+
+
+def _asked(start: str | None, end: str | None, default: tuple[str, str]) -> tuple[str, str]:
+    return start or default[0], end or default[1]
 
 
 def _report_months(saved: DataFrame, column: str, start: str, end: str) -> list[str]:
@@ -55,20 +72,30 @@ def invoice_analysis(
     spark: SparkSession,
     landing: str,
     output: str,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     now: dt.datetime,
     reports: Iterable[str] | None = None,
     storage_notes: bool = False,
     part_file: str | None = None,
     file_format: str = "parquet",
+    child_one_time: str = "repeat",
+    parents_only: bool = False,
+    months: int = 1,
 ) -> dict[str, str]:
-    """Invoice reports for the billing cycles ``start`` .. ``end`` (``YYYY-MM``)."""
+    """Invoice reports for the billing cycles ``start`` .. ``end`` (``YYYY-MM``).
+
+    Without them, for the last ``months`` closed cycles as of ``now``. ``child_one_time`` and ``parents_only`` are those
+    of ``invoice_lines``.
+    """
+    run = new_run(now)
+    start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
     volumes = read_entity(spark, landing, "network_storage") if storage_notes else None
     lines = invoice_lines(
-        read_entity(spark, landing, "invoices"), read_entity(spark, landing, "invoice_items"), volumes, start, end
-    )
-    saved = _saved(lines, "invoice_lines", now, "billing_month")
+        read_entity(spark, landing, "invoices"), read_entity(spark, landing, "invoice_items"), volumes, start, end,
+        child_one_time, not parents_only,
+    )
+    saved = _saved(lines, "invoice_lines", run, "billing_month")
     built = invoice_report_set(
         saved,
         read_part_descriptions(spark, part_file),
@@ -76,23 +103,27 @@ def invoice_analysis(
         read_entity(spark, landing, "account"),
         read_entity(spark, landing, "classic_users"),
     )
-    return write_reports(built, output, now, reports, file_format)
+    return write_reports(built, output, now, reports, file_format, run)
 
 
 def invoice_usage(
     spark: SparkSession,
     landing: str,
     output: str,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     now: dt.datetime,
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
+    months: int = 1,
 ) -> dict[str, str]:
     """Usage behind the invoices of the cycles ``start`` .. ``end``: it took place two months earlier."""
+    run = new_run(now)
+    start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
     months = month_list(*usage_months_for_invoices(start, end))
     wanted = F.col("month").isin(months)
     account = usage.account_usage(read_entity(spark, landing, "account_usage").filter(wanted))
+    account = _saved(account, "account_usage", run, "month")
     instances = usage.metric_rows(
         usage.billing_instances(
             read_entity(spark, landing, "instance_usage").filter(wanted),
@@ -100,25 +131,28 @@ def invoice_usage(
             read_latest(spark, landing, "tags", "crn"),
         )
     )
-    built = billing_usage_report_set(account, _saved(instances, "billing_instances", now, "month"), months)
-    return write_reports(built, output, now, reports, file_format)
+    built = billing_usage_report_set(account, _saved(instances, "billing_instances", run, "month"), months)
+    return write_reports(built, output, now, reports, file_format, run)
 
 
 def usage_report(
     spark: SparkSession,
     landing: str,
     output: str,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     now: dt.datetime,
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
+    months: int = 1,
 ) -> dict[str, str]:
-    """Account and instance usage reports for the months ``start`` .. ``end``."""
-    months = month_list(start, end)
+    """Account and instance usage reports for the months ``start`` .. ``end``; without them the last ``months``."""
+    run = new_run(now)
+    months = month_list(*_asked(start, end, default_usage_months(_billing_day(now), months)))
     wanted = F.col("month").isin(months)
     ordered_roles = read_in_load_order(spark, landing, "user_roles").withColumn("place", F.struct(*LOAD_ORDER))
     users = usage.cloud_users(read_latest(spark, landing, "cloud_users", "iam_id"), ordered_roles, "place")
+    users = _saved(users, "users", run)
     servers = latest_by_key(
         usage.union_servers(
             read_in_load_order(spark, landing, "virtual_servers"),
@@ -138,21 +172,22 @@ def usage_report(
     clusters = usage.named_clusters(
         read_latest(spark, landing, "clusters", "id"), read_latest(spark, landing, "vpcs", "id")
     )
-    clusters = _saved(clusters, "clusters", now)
+    clusters = _saved(clusters, "clusters", run)
     workers = usage.named_workers(
         read_latest(spark, landing, "workers", "id"), clusters, read_latest(spark, landing, "subnets", "id")
     )
     instances = usage.metric_rows(
         usage.enriched_instances(
             read_entity(spark, landing, "instance_usage").filter(wanted),
-            _saved(dimension, "instance_dimension", now),
+            _saved(dimension, "instance_dimension", run),
             clusters,
-            _saved(workers, "workers", now),
+            _saved(workers, "workers", run),
         )
     )
     account = usage.account_usage(read_entity(spark, landing, "account_usage").filter(wanted))
-    built = usage_report_set(account, _saved(instances, "instances", now, "month"), months, users)
-    return write_reports(built, output, now, reports, file_format)
+    account = _saved(account, "account_usage", run, "month")
+    built = usage_report_set(account, _saved(instances, "instances", run, "month"), months, users)
+    return write_reports(built, output, now, reports, file_format, run)
 
 
 def hardware_inventory(
@@ -164,15 +199,16 @@ def hardware_inventory(
     file_format: str = "parquet",
 ) -> dict[str, str]:
     """Inventory tables and counts, and the server report as text files that read on from one to the next."""
-    hardware = _saved(read_latest(spark, landing, "hardware", "id"), "hardware", now)
-    trunks = read_entity(spark, landing, "trunks")
+    run = new_run(now)
+    hardware = _saved(read_latest(spark, landing, "hardware", "id"), "hardware", run)
+    trunks = _saved(read_entity(spark, landing, "trunks"), "trunks", run)
     built = inventory.inventory_report_set(hardware, trunks)
     wanted = [*built, SERVER_REPORT] if reports is None else list(reports)
-    paths = write_reports(built, output, now, [r for r in wanted if r != SERVER_REPORT], file_format)
+    paths = write_reports(built, output, now, [r for r in wanted if r != SERVER_REPORT], file_format, run)
     if SERVER_REPORT in wanted:
         lines = inventory.server_report(hardware, trunks, read_latest(spark, landing, "allowed_storage", "id"))
         text = {SERVER_REPORT: lambda: lines.orderBy("id", "section", "line").select("value")}
-        paths |= write_reports(text, output, now, file_format="text")
+        paths |= write_reports(text, output, now, file_format="text", run=run)
     return paths
 
 
@@ -180,11 +216,12 @@ def account_storage(
     spark: SparkSession, landing: str, account_file: str, output: str, now: dt.datetime
 ) -> dict[str, str]:
     """Storage of each listed account as JSON records, and a summary of the accounts that failed."""
+    run = new_run(now)
     accounts = read_accounts(spark, account_file)
     errors = read_entity(spark, landing, "fetch_errors")
-    allowed = _saved(read_latest(spark, landing, "allowed_storage", "id"), "allowed_storage", now)
+    allowed = _saved(read_latest(spark, landing, "allowed_storage", "id"), "allowed_storage", run)
     built = {
         "HardwareStorage": lambda: storage.account_records(accounts, allowed, errors),
         "AccountSummary": lambda: storage.account_summary(accounts, errors),
     }
-    return write_reports(built, output, now, file_format="json")
+    return write_reports(built, output, now, file_format="json", run=run)

@@ -35,13 +35,14 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "clou
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for written intermediate tables.
+    """Shared folder for written intermediate tables: ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``; only a session without that setting (a test) gets
-    a folder of its own.
+    Only a session on one machine may lack that setting (a test); its tables go to a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="cloudtally-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{tempfile.gettempdir()}/cloudtally-{context.applicationId}"

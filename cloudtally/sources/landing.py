@@ -1,6 +1,7 @@
 """Typed reads of landed API responses: one folder per entity, its page files read as one table.
 
-Responses land as JSON lines. ``load_order`` columns rank repeated records of a key (last one wins).
+Responses land as JSON lines. A line that is cut off, or holds a value of the wrong type, fails the read: no record goes
+missing. ``load_order`` columns rank repeated records of a key (last one wins).
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ LOAD_ORDER = ["load_file", "load_offset", "load_row"]
 
 def _pages(spark: SparkSession, folder: str, entity: str) -> DataFrame | None:
     try:
-        return spark.read.schema(ENTITIES[entity]).json(f"{folder}/{entity}")
+        return spark.read.schema(ENTITIES[entity]).option("mode", "FAILFAST").json(f"{folder}/{entity}")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

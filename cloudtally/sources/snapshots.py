@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cloudtally.operators.pivot import in_report_order
 
 
 def save_snapshot(df: DataFrame, folder: str, name: str, partition_by: str | None = None) -> str:
@@ -19,8 +23,10 @@ def save_snapshot(df: DataFrame, folder: str, name: str, partition_by: str | Non
     return path
 
 
-def load_snapshot(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+def load_snapshot(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A saved table. One without rows by month has no file to tell its columns: give its schema."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}")
 
 
 def save_snapshot_by_month(df: DataFrame, folder: str, name: str, month: str) -> str:
@@ -30,7 +36,12 @@ def save_snapshot_by_month(df: DataFrame, folder: str, name: str, month: str) ->
 
 
 def run_stamp(now: dt.datetime) -> str:
-    return now.strftime("%Y%m%d_%H%M")
+    return now.strftime("%Y%m%d_%H%M%S")
+
+
+def new_run(now: dt.datetime) -> str:
+    """Name of a run: its time and a part of its own, so that runs of the same second share no folder."""
+    return f"{run_stamp(now)}_{uuid.uuid4().hex[:8]}"
 
 
 def as_of_text(now: dt.datetime) -> str:
@@ -44,21 +55,29 @@ def write_reports(
     now: dt.datetime,
     selected: Iterable[str] | None = None,
     file_format: str = "parquet",
+    run: str | None = None,
 ) -> dict[str, str]:
-    """Write each selected report as its own dataset under ``<folder>/<report>/run_ts=<stamp>``.
+    """Write each selected report as its own dataset under ``<folder>/<report>/run_ts=<run>``.
 
-    A report that is not selected is never built. The stamp in the path is the report's as-of time.
+    A report that is not selected is never built. Pivots are written in key order, totals last. The run's as-of text
+    goes to the dataset ``RunInfo`` next to them, with the paths.
     """
+    run = run or new_run(now)
     names = list(reports) if selected is None else list(selected)
     unknown = [n for n in names if n not in reports]
     if unknown:
         raise ValueError(f"unknown reports: {', '.join(unknown)}")
     paths = {}
     for name in names:
-        path = f"{folder}/{name}/run_ts={run_stamp(now)}"
-        writer = reports[name]().write.mode("overwrite")
+        path = f"{folder}/{name}/run_ts={run}"
+        report = in_report_order(reports[name]())
+        writer = report.write.mode("errorifexists")
         if file_format == "csv":
             writer = writer.option("header", "true")
         writer.format(file_format).save(path)
         paths[name] = path
+    if paths:
+        rows = [(name, path, as_of_text(now)) for name, path in paths.items()]
+        info = report.sparkSession.createDataFrame(rows, "report string, path string, as_of string")
+        info.coalesce(1).write.mode("append").json(f"{folder}/RunInfo/run_ts={run}")
     return paths

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cloudtally.plans import invoice_reports as reports
-from cloudtally.plans.invoice_lines import LINE_COLUMNS, invoice_lines, network_storage
+from cloudtally.plans.invoice_lines import LINE_COLUMNS, charged_invoices, invoice_lines, network_storage
 from cloudtally.sources import landing, snapshots
 
 
@@ -166,7 +166,7 @@ def test_reports_from_a_snapshot(spark, lines, tmp_path):
     now = dt.datetime(2024, 3, 1, 12, 5)
     paths = snapshots.write_reports(built, folder, now, ["CategoryDetail", "MthlyBaremetalServers", "Detail"])
     assert sorted(paths) == ["CategoryDetail", "Detail", "MthlyBaremetalServers"]
-    assert paths["Detail"].endswith("Detail/run_ts=20240301_1205")
+    assert "Detail/run_ts=20240301_120500_" in paths["Detail"]
     detail = spark.read.parquet(f"{folder}/CategoryDetail")
     total = detail.filter("is_total").first()
     assert (total["totalAmount_2024-01"], total["totalAmount_2024-02"], total["totalAmount_Total"]) == (45.5, 12.0, 57.5)
@@ -188,3 +188,29 @@ def test_csv_reports(spark, lines, tmp_path):
     built = {"Months": lambda: lines.groupBy("billing_month").agg(F.count("*").alias("n"))}
     path = snapshots.write_reports(built, str(tmp_path), dt.datetime(2024, 1, 1), file_format="csv")["Months"]
     assert spark.read.option("header", "true").csv(path).count() == 2
+
+
+def test_amounts_of_any_size_stay(spark, land):
+    big = INVOICES[0] | {"id": 901, "invoiceTotalAmount": "1234567890123.45", "invoiceTotalRecurringAmount": "0.00"}
+    small = INVOICES[0] | {"id": 902, "invoiceTotalAmount": "0.0000004", "invoiceTotalRecurringAmount": "0.00"}
+    nothing = INVOICES[0] | {"id": 903, "invoiceTotalAmount": "0.00", "invoiceTotalRecurringAmount": "0"}
+    read = landing.read_entity(spark, land("invoices", [big, small, nothing]), "invoices")
+    found = {r.Portal_Invoice_Number: float(r.InvoiceTotal) for r in charged_invoices(read).collect()}
+    assert found == {901: 1234567890123.45, 902: 0.0000004}
+
+
+@pytest.mark.parametrize("field, value", [("invoiceTotalAmount", "bad"), ("invoiceTotalAmount", "12,5"), ("createDate", "soon")])
+def test_malformed_invoices_fail_the_run(spark, land, field, value):
+    read = landing.read_entity(spark, land("invoices", [INVOICES[0] | {field: value}]), "invoices")
+    with pytest.raises(Exception, match="not an amount|not a time"):
+        charged_invoices(read).collect()
+
+
+def test_cut_off_lines_and_wrong_types_fail_the_read(spark, land, tmp_path):
+    folder = land("invoices", INVOICES[:1])
+    (tmp_path / "landing" / "invoices" / "page-0009.json").write_text('{"id": 5, "createDate": "2024-01-')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_entity(spark, folder, "invoices").collect()
+    folder = land("invoice_items", [ITEMS[0] | {"invoiceId": "text"}])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_entity(spark, folder, "invoice_items").collect()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cloudtally.operators.lookup import SPREAD_SETTING, first_by_key, fits_broadcast, latest_by_key, lookup_join
+from cloudtally.operators.lookup import SPREAD_SETTING, first_by_key, latest_by_key, lookup_join
 
 
 @pytest.fixture
@@ -47,7 +47,6 @@ def test_small_dimension(spark, how, spread):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_large_dimension_spreads_a_hot_key(spark, no_broadcast, how):
-    assert not fits_broadcast(dimension(spark))
     spark.conf.set(SPREAD_SETTING, "5")
     try:
         found = lookup_join(data(spark), dimension(spark), "key", "name", {"value": "v"}, ["id"], how)
@@ -57,15 +56,10 @@ def test_large_dimension_spreads_a_hot_key(spark, no_broadcast, how):
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_limit(spark):
-    limit = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(limit)
-    try:
-        for setting, fits in (("1k", False), ("10MB", True), ("100", False), ("10485760", True), ("-1", False)):
-            spark.conf.set(limit, setting)
-            assert fits_broadcast(spark.range(400)) is fits
-    finally:
-        spark.conf.set(limit, before)
+def test_large_dimension_without_copies(spark, no_broadcast):
+    found = lookup_join(data(spark), dimension(spark), "key", "name", {"value": "v"}, ["id"])
+    assert sorted(map(tuple, found.collect())) == expected("left")
+    assert "_copy" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_one_row_per_key(spark):

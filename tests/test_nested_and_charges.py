@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from cloudtally.functions import charges, nested
@@ -29,12 +30,24 @@ def test_role_tags(evaluate):
 
 
 def test_money_is_exact_and_rounds_half_even(evaluate):
-    amounts = [("0.0005",), ("0.0015",), ("2.6745",), ("-1.0005",), ("",), (None,), ("x",)]
+    amounts = [("0.0005",), ("0.0015",), ("2.6745",), ("-1.0005",), (None,), ("123456789012345678.0005",)]
     assert evaluate("m string", amounts, charges.charge(charges.money(F.col("m")))) == [
-        Decimal("0.000"), Decimal("0.002"), Decimal("2.674"), Decimal("-1.000"), None, None, None,
+        Decimal("0.000"), Decimal("0.002"), Decimal("2.674"), Decimal("-1.000"), None, Decimal("123456789012345678.000"),
     ]
 
 
+@pytest.mark.parametrize("amount", ["", "x", "12,5", "1" + "0" * 30])
+def test_what_is_no_amount_fails_the_run(evaluate, amount):
+    with pytest.raises(Exception, match="not an amount"):
+        evaluate("m string", [(amount,)], charges.money(F.col("m")))
+
+
+def test_sign_of_tiny_amounts(evaluate):
+    amounts = [("0.0000000000004",), ("0.00",), (None,), ("-1",)]
+    assert evaluate("m string", amounts, charges.positive(F.col("m"))) == [True, False, False, False]
+    assert evaluate("m string", amounts, charges.zero(F.col("m"))) == [False, True, False, False]
+
+
 def test_hours_and_tier(evaluate):
     fees = [(10.0, 4.0), (14.0, 4.0), (1.0, 0.0), (1.0, None)]
     assert evaluate("f double, r double", fees, charges.hours(F.col("f"), F.col("r"))) == [2, 4, 0, 0]

@@ -33,6 +33,23 @@ def test_invoice_at_the_end_of_the_window_keeps_its_month(spark, land, tmp_path)
     assert (total["totalAmount_2024-02"], total["totalAmount_2024-03"]) == (0.0, 12.0)
 
 
+def test_two_runs_at_one_time_and_default_months(spark, land, tmp_path):
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    output = str(tmp_path / "out")
+    first, second = (
+        programs.invoice_analysis(spark, folder, output, None, None, NOW, ["CategoryDetail"], parents_only=parents, months=2)
+        for parents in (False, True)
+    )
+    assert first["CategoryDetail"] != second["CategoryDetail"]
+    rows = spark.read.parquet(first["CategoryDetail"])
+    assert {c.rsplit("_", 1)[1] for c in rows.columns if c.startswith("totalAmount")} >= {"2024-01", "2024-02", "Total"}
+    flags = [r.is_total for r in rows.collect()]
+    assert flags == sorted(flags) and flags[-1]
+    info = spark.read.json(f"{output}/RunInfo").collect()
+    assert len(info) == 2 and {r.as_of for r in info} == {"12:05 UTC on Mar 01, 2024"}
+
+
 def test_usage_programs(spark, land, tmp_path):
     folder = land("instance_usage", USAGE)
     land("resources", RESOURCES)
@@ -65,5 +82,5 @@ def test_inventory_programs(spark, land, tmp_path):
     accounts.write_text("a1\na2\n")
     programs.account_storage(spark, folder, str(accounts), output, NOW)
     stored = {r.accountId: r for r in spark.read.json(f"{output}/HardwareStorage").collect()}
-    assert len(stored["a1"].hardware) == 1 and stored["a2"].hardware == []
+    assert stored["a1"].hardwareId == 1 and stored["a2"].hardwareId is None
     assert spark.read.json(f"{output}/AccountSummary").first().total == 2
