@@ -130,12 +130,20 @@ def interface_trunks(hardware: DataFrame, trunks: DataFrame) -> DataFrame:
     )
 
 
+def _with_ethernets(rows: DataFrame) -> DataFrame:
+    """Adds each side's ethernet interfaces in the order of ``INTERFACES`` (of equal names the last), found once a row."""
+
+    def found(side: str) -> Column:
+        named = F.array(*[F.lit(i) for i in INTERFACES])
+        return F.transform(named, lambda i: F.try_element_at(F.filter(F.col(side), lambda c: c["interface"] == i), F.lit(-1)))
+
+    return rows.withColumns({f"{side}_ethernets": found(side) for side in ("_back", "_front")})
+
+
 def _attribute(interface: str, name: str) -> Column:
     """An attribute of an ethernet interface. A backend interface's value wins over a frontend's."""
-    picked = [
-        F.try_element_at(F.filter(F.col(side), lambda c: c["interface"] == interface), F.lit(-1))[name]
-        for side in ("_back", "_front")
-    ]
+    place = INTERFACES.index(interface)
+    picked = [F.col(f"{side}_ethernets")[place][name] for side in ("_back", "_front")]
     return F.coalesce(*picked).alias(f"{interface}_{name}")
 
 
@@ -148,12 +156,12 @@ def _wide_columns() -> list[Column]:
 
 
 def interfaces_wide(hardware: DataFrame) -> DataFrame:
-    return interfaces(hardware).select("id", *_wide_columns())
+    return _with_ethernets(interfaces(hardware)).select("id", *_wide_columns())
 
 
 def hardware_table(hardware: DataFrame, trunks: DataFrame) -> DataFrame:
     """One row per server: its fields, subnets, all interfaces and their trunks."""
-    servers = interfaces(hardware).select(
+    servers = _with_ethernets(interfaces(hardware)).select(
         "id", "networkGatewayMemberFlag", "fullyQualifiedDomainName", *server_fields(), "manufacturerSerialNumber",
         "provisionDate", "notes", *primary_subnets(), *_wide_columns(),
     )
@@ -162,7 +170,7 @@ def hardware_table(hardware: DataFrame, trunks: DataFrame) -> DataFrame:
 
 def hardware_report_rows(hardware: DataFrame) -> DataFrame:
     """The columns the inventory pivots need, without any join."""
-    return interfaces(hardware).select(
+    return _with_ethernets(interfaces(hardware)).select(
         "id",
         *server_fields(),
         "provisionDate",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions.dates import (
     BILLING_ZONE,
+    add_month_text,
     default_invoice_months,
     default_usage_months,
     month_list,
@@ -29,10 +30,12 @@ from cloudtally.plans.usage_reports import billing_usage_report_set, usage_repor
 from cloudtally.session import work_folder
 from cloudtally.sources.landing import (
     LOAD_ORDER,
+    compact,
     read_accounts,
     read_entity,
     read_in_load_order,
     read_latest,
+    read_months,
     read_part_descriptions,
 )
 from cloudtally.sources.snapshots import load_snapshot, new_run, save_snapshot, save_snapshot_by_month, write_reports
@@ -61,6 +64,15 @@ def _asked(start: str | None, end: str | None, default: tuple[str, str]) -> tupl
     return start or default[0], end or default[1]
 
 
+def compact_landing(spark: SparkSession, landing: str, store: str) -> None:
+    """Landed invoices and usage as Parquet by month, for the programs' ``store``."""
+    compact(spark, landing, store)
+
+
+def _by_month(spark: SparkSession, landing: str, store: str | None, entity: str, first: str, last: str) -> DataFrame:
+    return read_months(spark, store, entity, first, last) if store else read_entity(spark, landing, entity)
+
+
 def _report_months(saved: DataFrame, column: str, start: str, end: str) -> list[str]:
     """The months asked for and any other the table holds: an invoice at the very end of the window bills one month
     later. A table holds at most one month more than its window, and the column is its partition column."""
@@ -82,17 +94,22 @@ def invoice_analysis(
     child_one_time: str = "repeat",
     parents_only: bool = False,
     months: int = 1,
+    store: str | None = None,
 ) -> dict[str, str]:
     """Invoice reports for the billing cycles ``start`` .. ``end`` (``YYYY-MM``).
 
     Without them, for the last ``months`` closed cycles as of ``now``. ``child_one_time`` and ``parents_only`` are those
-    of ``invoice_lines``.
+    of ``invoice_lines``. With ``store``, a folder that ``compact_landing`` wrote, only these months are read (and the
+    one after, in which an invoice at the very end of the window falls).
     """
     run = new_run(now)
     start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
     volumes = read_entity(spark, landing, "network_storage") if storage_notes else None
+    cycles = start, add_month_text(end, 1)
     lines = invoice_lines(
-        read_entity(spark, landing, "invoices"), read_entity(spark, landing, "invoice_items"), volumes, start, end,
+        _by_month(spark, landing, store, "invoices", *cycles),
+        _by_month(spark, landing, store, "invoice_items", *cycles),
+        volumes, start, end,
         child_one_time, not parents_only,
     )
     saved = _saved(lines, "invoice_lines", run, "billing_month")
@@ -116,17 +133,18 @@ def invoice_usage(
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
     months: int = 1,
+    store: str | None = None,
 ) -> dict[str, str]:
     """Usage behind the invoices of the cycles ``start`` .. ``end``: it took place two months earlier."""
     run = new_run(now)
     start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
     months = month_list(*usage_months_for_invoices(start, end))
     wanted = F.col("month").isin(months)
-    account = usage.account_usage(read_entity(spark, landing, "account_usage").filter(wanted))
+    account = usage.account_usage(_by_month(spark, landing, store, "account_usage", months[0], months[-1]).filter(wanted))
     account = _saved(account, "account_usage", run, "month")
     instances = usage.metric_rows(
         usage.billing_instances(
-            read_entity(spark, landing, "instance_usage").filter(wanted),
+            _by_month(spark, landing, store, "instance_usage", months[0], months[-1]).filter(wanted),
             read_latest(spark, landing, "resources", "crn"),
             read_latest(spark, landing, "tags", "crn"),
         )
@@ -145,6 +163,7 @@ def usage_report(
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
     months: int = 1,
+    store: str | None = None,
 ) -> dict[str, str]:
     """Account and instance usage reports for the months ``start`` .. ``end``; without them the last ``months``."""
     run = new_run(now)
@@ -178,13 +197,13 @@ def usage_report(
     )
     instances = usage.metric_rows(
         usage.enriched_instances(
-            read_entity(spark, landing, "instance_usage").filter(wanted),
+            _by_month(spark, landing, store, "instance_usage", months[0], months[-1]).filter(wanted),
             _saved(dimension, "instance_dimension", run),
             clusters,
             _saved(workers, "workers", run),
         )
     )
-    account = usage.account_usage(read_entity(spark, landing, "account_usage").filter(wanted))
+    account = usage.account_usage(_by_month(spark, landing, store, "account_usage", months[0], months[-1]).filter(wanted))
     account = _saved(account, "account_usage", run, "month")
     built = usage_report_set(account, _saved(instances, "instances", run, "month"), months, users)
     return write_reports(built, output, now, reports, file_format, run)

@@ -11,8 +11,10 @@ from pathlib import Path
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cloudtally import schemas
+from cloudtally.functions import dates
 from cloudtally.functions.text import first_csv_column
 from cloudtally.operators.lookup import latest_by_key
 
@@ -60,6 +62,41 @@ def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     return spark.createDataFrame([], ENTITIES[entity]) if pages is None else pages
 
 
+def compact(spark: SparkSession, landing: str, store: str) -> None:
+    """Write the entities that grow by the month as Parquet under ``store``, in partitions by month.
+
+    Usage goes by its month, invoices by the billing cycle of their date, items by that of their invoice. Landed JSON
+    is parsed once; reports of some months then read those alone.
+    """
+    for entity in ("account_usage", "instance_usage"):
+        _compacted(read_entity(spark, landing, entity), store, entity, "month")
+    created = dates.local_time(dates.required_instant(F.col("createDate")))
+    invoices = read_entity(spark, landing, "invoices").withColumn(CYCLE, dates.billing_month(created))
+    _compacted(invoices, store, "invoices", CYCLE)
+    cycles = spark.read.schema(invoices.schema).parquet(f"{store}/invoices").select(F.col("id").alias("_invoice"), CYCLE)
+    items = read_entity(spark, landing, "invoice_items")
+    cycles = cycles.groupBy("_invoice").agg(F.min(CYCLE).alias(CYCLE))
+    _compacted(items.join(cycles, F.col("invoiceId") == F.col("_invoice"), "left").drop("_invoice"), store, "invoice_items", CYCLE)
+
+
+CYCLE = "billing_cycle"
+
+
+def _compacted(rows: DataFrame, store: str, entity: str, month: str) -> None:
+    rows = rows.hint("rebalance", F.col(month))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(month).parquet(f"{store}/{entity}")
+
+
+def read_months(spark: SparkSession, store: str, entity: str, first: str, last: str) -> DataFrame:
+    """An entity that ``compact`` wrote, its partitions from month ``first`` to ``last`` alone."""
+    month = CYCLE if entity in ("invoices", "invoice_items") else "month"
+    schema = StructType.fromDDL(ENTITIES[entity])
+    if month not in schema.names:
+        schema = schema.add(month, "string")
+    rows = spark.read.schema(schema).parquet(f"{store}/{entity}").filter(F.col(month).between(first, last))
+    return rows.drop(CYCLE) if month == CYCLE else rows
+
+
 def read_in_load_order(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     """The pages with the load order of each record: file name, block offset, place in the task's share.
 

@@ -5,6 +5,7 @@ from test_invoice_pipeline import INVOICES, ITEMS, VOLUMES
 from test_usage_pipeline import METAL, RESOURCES, SERVERS, USAGE
 
 from cloudtally import programs
+from cloudtally.sources import landing
 
 NOW = dt.datetime(2024, 3, 1, 12, 5)
 
@@ -50,6 +51,27 @@ def test_two_runs_at_one_time_and_default_months(spark, land, tmp_path):
     assert len(info) == 2 and {r.as_of for r in info} == {"12:05 UTC on Mar 01, 2024"}
 
 
+def test_compacted_landing_gives_the_same_reports(spark, land, tmp_path):
+    folder, store = land("invoices", INVOICES), str(tmp_path / "store")
+    for entity, records in (("invoice_items", ITEMS), ("instance_usage", USAGE), ("resources", RESOURCES)):
+        land(entity, records)
+    programs.compact_landing(spark, folder, store)
+    plain = programs.invoice_analysis(spark, folder, str(tmp_path / "a"), "2024-01", "2024-02", NOW, ["Detail", "CategoryDetail"])
+    pruned = programs.invoice_analysis(
+        spark, folder, str(tmp_path / "b"), "2024-01", "2024-02", NOW, ["Detail", "CategoryDetail"], store=store
+    )
+    for name, path in plain.items():
+        rows = sorted(map(str, spark.read.parquet(path).collect()))
+        assert rows and rows == sorted(map(str, spark.read.parquet(pruned[name]).collect()))
+    plain = programs.usage_report(spark, folder, str(tmp_path / "a"), "2024-01", "2024-02", NOW, ["VirtualServerSummary"])
+    pruned = programs.usage_report(spark, folder, str(tmp_path / "b"), "2024-01", "2024-02", NOW, ["VirtualServerSummary"], store=store)
+    rows = [sorted(map(str, spark.read.parquet(p["VirtualServerSummary"]).collect())) for p in (plain, pruned)]
+    assert rows[0] == rows[1]
+    for entity, column in (("invoice_items", "billing_cycle"), ("instance_usage", "month")):
+        plan = landing.read_months(spark, store, entity, "2024-01", "2024-01")._jdf.queryExecution().executedPlan().toString()
+        assert f"PartitionFilters: [isnotnull({column}" in plan
+
+
 def test_usage_programs(spark, land, tmp_path):
     folder = land("instance_usage", USAGE)
     land("resources", RESOURCES)
