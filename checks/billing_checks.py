@@ -113,14 +113,15 @@ def _(spark, sf_dir):
 @check(
     "provision_dates",
     f"""WITH {ALL_INVOICES} SELECT id, strftime(ts + INTERVAL 6 HOUR, '%Y-%m-%d') AS provision_date,
-    '' AS deprovision_date FROM inv""",
+    CASE WHEN id % 2 = 0 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d') ELSE '' END AS deprovision_date FROM inv""",
 )
 def _(spark, sf_dir):
     local_text = F.replace(F.col("createDate"), F.lit("+0000"), F.lit("-06:00"))
+    ended = F.when(F.col("id") % 2 == 0, F.replace(F.col("createDate"), F.lit("+0000"), F.lit("+0200")))
     return invoices(spark, sf_dir).select(
         "id",
         dates.provision_date(local_text).alias("provision_date"),
-        dates.provision_date(F.lit(None).cast("string")).alias("deprovision_date"),
+        dates.provision_date(ended).alias("deprovision_date"),
     )
 
 

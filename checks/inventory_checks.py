@@ -355,18 +355,57 @@ def _(spark, sf_dir):
     return report.filter("section = 1").select("id", "line", "value")
 
 
+def _headed(heads: list[tuple[str, int]], *before: str) -> str:
+    """SQL list: lines before a table, its column heads, and a rule under each."""
+    cells = " ".join(name[:width].ljust(width) for name, width in heads)
+    return "[" + ", ".join(f"'{line}'" for line in (*before, cells, " ".join("=" * width for _, width in heads))) + "]"
+
+
+_NETWORK = [("Iface", 6), ("MAC ", 17), ("IpAddress", 16), ("Speed", 5), ("Duplex", 6), ("Status", 8), ("Vlan", 5),
+            ("FQDN", 16), ("Vlan Name", 20), ("Router", 14), ("RouterIP", 16), ("VRF_ID", 8)]
+_NETWORK_LINE = _cells([("interface", 6), ("mac", 17), ('"primaryIpAddress"', 16), ("speed", 5), ('"duplexMode"', 6),
+                        ("status", 8), ("number", 5), ("vlan", 16), ('"vlanName"', 20), ("router", 14), ("router_ip", 16),
+                        ('"vrfId"', 8)])
+_COMPONENTS = [("Type   ", 15), ("Manufacturer", 15), ("Name", 20), ("Description", 30), ("Modify Date", 25), ("Serial Number", 15)]
+_COMPONENT_LINE = _cells([("'TYPE' || i", 15), ("'maker' || i", 15), ("segment", 20), ("'device ' || i", 30),
+                          ("'2024-01-01'", 25), ("CASE WHEN c % 2 = i THEN 'sn' || c END", 15)])
+_TRUNKS = [("Interface", 10), ("Vlan", 16), ("VlanName", 25)]
+_STORES = [("StorageType", 11), ("Address", 40), ("Gb", 10), ("IOPS", 10), ("Notes", 50)]
+_STORE_LINE = _cells([("type", 11), ("address", 40), ("CASE WHEN address IS NOT NULL THEN size END", 10),
+                      ("CASE WHEN address IS NOT NULL THEN iops END", 10), ("notes", 50)])
+
+
 @check(
     "server_report",
-    f"""{SERVERS}, stored AS ({_STORED}) SELECT hw.c AS id, s.section, count(*) AS lines FROM hw, (
-      SELECT c, 0 AS section, unnest(range(27 + least(n_front, 2) + least(n_front, 2) + n_back)) FROM hw
-      UNION ALL SELECT c, 1, number FROM trunk
-      UNION ALL SELECT c, 2, unnest(range(5 + CASE WHEN n_mgmt > 0 THEN 1 ELSE 0 END)) FROM hw
-      UNION ALL SELECT c, 3, unnest(range(5 + n_back)) FROM hw WHERE n_back > 0
-    ) AS s WHERE s.c = hw.c GROUP BY 1, 2""",
+    f"""{SERVERS}, stored AS ({_STORED}), network AS (
+      SELECT c, side, list({_NETWORK_LINE} ORDER BY n) AS lines FROM (SELECT *, CASE WHEN c % 13 <> 0 THEN nation * 100 +
+        CASE side WHEN 'front' THEN 1 WHEN 'back' THEN 2 ELSE 3 END END AS number FROM iface) GROUP BY ALL
+    ), component AS (
+      SELECT c, list({_COMPONENT_LINE} ORDER BY i) AS lines
+      FROM hw, (SELECT range AS i FROM range(2)) AS numbers WHERE i < n_front GROUP BY c
+    ), store AS (SELECT c, list({_STORE_LINE} ORDER BY i) AS lines FROM stored GROUP BY c
+    ), report AS (
+      SELECT s.c AS id, 0 AS section, list_concat([repeat('_', 114), '', 'Id              : ' || s.c, 'Hostname        : ' || host,
+          'Operating System: ' || "operatingSystem", 'OS Version      : ' || version,
+          'Gateway Member  : ' || CASE WHEN gateway THEN 'True' ELSE 'False' END, 'Datacenter      : ' || "datacenterName",
+          'Serial #        : serial' || s.c, 'Provision Date  : ' || provisioned, 'Notes           : n'],
+        {_headed(_COMPONENTS, "")}, coalesce(component.lines, []),
+        [repeat('_', 114)], {_headed(_NETWORK, "", "FRONTEND NETWORK")}, coalesce(front.lines, []),
+        {_headed(_NETWORK, "", "BACKEND NETWORK INTERFACE(S)")}, coalesce(back.lines, []),
+        {_headed(_TRUNKS, "", "TAGGED VLANS BY INTERFACE")}) AS lines
+      FROM server AS s LEFT JOIN component ON component.c = s.c
+        LEFT JOIN (FROM network WHERE side = 'front') AS front ON front.c = s.c
+        LEFT JOIN (FROM network WHERE side = 'back') AS back ON back.c = s.c
+      UNION ALL SELECT s.c, 2, list_concat({_headed(_NETWORK, "", "MGMT NETWORK")}, coalesce(mgmt.lines, []), [''])
+      FROM server AS s LEFT JOIN (FROM network WHERE side = 'mgmt') AS mgmt ON mgmt.c = s.c
+      UNION ALL SELECT c, 3, list_concat({_headed(_STORES, "", "NETWORK STORAGE ASSOCIATED WITH HARDWARE")}, lines, [''])
+      FROM store
+    ) SELECT id, section, CAST(generate_subscripts(lines, 1) - 1 AS BIGINT) AS line, unnest(lines) AS value FROM report""",
 )
 def _(spark, sf_dir):
+    """All text but the trunk lines, which have a query of their own."""
     report = inventory.server_report(hardware(spark, sf_dir), trunks(spark, sf_dir), allowed_storage(spark, sf_dir))
-    return report.groupBy("id", "section").agg(F.count("value").alias("lines"))
+    return report.filter("section <> 1")
 
 
 # --- accounts -------------------------------------------------------------------------------------------------
@@ -443,16 +482,21 @@ def _(spark, sf_dir):
     return base.select("id", nested.joined_notes(F.col("notes")).alias("notes"))
 
 
-def _plain_sql(column: str) -> str:
-    for pattern, replacement in text.MARKUP:
-        groups = replacement.replace("$", "\\\\")
-        column = f"regexp_replace({column}, '{pattern}', '{groups}', 'g')"
-    return column
-
-
-@check("plain_notes", f"SELECT doc_id, {_plain_sql('text')} AS plain FROM documents")
+@check(
+    "plain_notes",
+    """SELECT c_custkey AS id, 'Title of ' || c_name || chr(10) || 'item ' || c_mktsegment || ' and more' || chr(10)
+      || 'see docs, pic' || chr(10) || 'quoted now, soft (words) 3 * 4 * 5 snake_case_name' || chr(10) || 'it' || chr(10)
+      || 'step ' || c_custkey || chr(10) || chr(10) || 'x = 1' || chr(10) AS plain FROM customer""",
+)
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.plain_notes(F.col("text")).alias("plain"))
+    """Notes put together from plain text and markup; what is expected is the plain text alone."""
+    base = run(
+        spark, sf_dir,
+        r"""SELECT c_custkey AS id, concat('## Title of **', c_name, '**\n- item __', c_mktsegment, '__ and more\n',
+             'see [docs](http://x.y/z), ![pic](a.png)\n> quoted `now`, _soft_ (words) 3 * 4 * 5 snake_case_name\n* *it*\n',
+             '12. step ', c_custkey, '\n```sh\nx = 1\n```') AS notes FROM {customer}""",
+    )
+    return base.select("id", text.plain_notes(F.col("notes")).alias("plain"))
 
 
 @check(
