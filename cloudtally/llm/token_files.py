@@ -43,8 +43,8 @@ ENCODINGS = {
     "dictionary": {"parquet.enable.dictionary": "true"},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
-#: Pieces whose ids a worker keeps (twice as many at most), and the longest piece that it keeps.
-MEMO_PIECES = 300_000
+#: Pieces whose ids a worker keeps, and the longest piece that it keeps.
+MEMO_PIECES = 600_000
 MEMO_BYTES = 64
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -94,8 +94,7 @@ class Encoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.line_end = self._ids(["\n"])[0]
         self.marks: dict[str, bytes] = {"": b""}
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -112,12 +111,13 @@ class Encoder:
         mark = word[len(letters) :]
         if not letters.isalpha():
             return None
+        known = self.memo.get(letters.encode()) if mark and before else None
         ids = self.marks.get(mark)
         if ids is None:
             ids = self.marks[mark] = self._ids([mark])[0]
             if len(self.marks) > 10_000:
                 self.marks = {"": b""}
-        return self._word(before + letters) + ids
+        return (known or self._word(before + letters)) + ids
 
     def _simple(self, piece: bytes) -> bytes | None:
         """Ids of a piece of one word, or two on two lines, with the space before it; None if it is not."""
@@ -130,38 +130,26 @@ class Encoder:
         more = self._marked(second, "")
         return None if more is None else ids + self.line_end + more
 
-    def _learn(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def _learned(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Pieces and their ids, each with the space before it."""
-        rest = []
-        for piece in pieces:
-            ids = self._simple(piece)
-            if ids is None:
-                rest.append(piece)
-            else:
-                yield piece, ids
-        yield from zip(rest, self._ids([" " + p.decode() for p in rest]))
+        simple = self._simple
+        out = {piece: simple(piece) for piece in pieces}
+        rest = [piece for piece, ids in out.items() if ids is None]
+        out.update(zip(rest, self._ids([" " + p.decode() for p in rest])))
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text in UTF-8 as little-endian unsigned 32-bit integers."""
         pieces = [cut(text) for text in texts]
         heads = self._ids([p[0].decode() for p in pieces])
-        local: dict[bytes, bytes] = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
-        unknown, new, old = [], self.new, self.old
-        for piece in local:
-            ids = new.get(piece)
-            if ids is None:
-                ids = old.get(piece)
-                if ids is None:
-                    unknown.append(piece)
-                    continue
-                new[piece] = ids
-            local[piece] = ids
-        for piece, ids in self._learn(unknown):
-            local[piece] = ids
-            if len(piece) <= MEMO_BYTES:
-                new[piece] = ids
-        if len(new) >= MEMO_PIECES:
-            self.old, self.new = new, {}
+        distinct = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
+        known = list(map(self.memo.get, distinct))
+        learned = self._learned([piece for piece, ids in zip(distinct, known) if ids is None])
+        local = dict(zip(distinct, known))
+        local.update(learned)
+        self.memo.update((p, ids) for p, ids in learned.items() if len(p) <= MEMO_BYTES)
+        if len(self.memo) > MEMO_PIECES:  # keep what this batch has, and so what is frequent
+            self.memo = {p: ids for p, ids in local.items() if len(p) <= MEMO_BYTES}
         look = local.__getitem__
         return [head + b"".join(map(look, islice(p, 1, None))) for head, p in zip(heads, pieces)]
 
@@ -189,8 +177,8 @@ def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_i
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, BATCH_ROWS // 2):
-                some = batch.slice(low, BATCH_ROWS // 2)
+            for low in range(0, batch.num_rows, BATCH_ROWS):
+                some = batch.slice(low, BATCH_ROWS)
                 ids = [x + end for x in encoder.encode(bytes_of(some.column(len(columns))))]
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(counts)
