@@ -90,3 +90,63 @@ WITH l AS (
 SELECT k.doc_id, n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs, sha256(kept) AS kept_sha256
 FROM k LEFT JOIN e USING (doc_id)
 """
+
+OP2 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), w AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1),
+    lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS win FROM t
+), r AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1), (VALUES (0), (1), (2)) AS v(k)
+  GROUP BY doc_id
+), m AS (
+  SELECT t.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper,
+    len(regexp_extract_all(text, '[A-Za-z]')) AS n_letters
+  FROM t LEFT JOIN r ON r.doc_id = t.doc_id
+), b AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words AND n_symbols >= 20 THEN 4 ELSE 0 END
+    + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN n_letters >= 100 AND 100 * n_upper > 60 * n_letters THEN 16 ELSE 0 END
+    + CASE WHEN word_chars > 20 * n_words OR word_chars < 2 * n_words THEN 32 ELSE 0 END AS fail_bits
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
+  fail_bits & 7 = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits
+FROM b
+"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP8 = rf"""
+WITH items AS (
+  SELECT item_id, {_WORDS} AS ws FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS size, unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2),
+    lambda i: array_to_string(ws[i : i + least(13, len(ws)) - 1], ' '))) AS win
+  FROM items WHERE len(ws) > 0
+), docs AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), places AS (
+  SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS i,
+    unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i : i + size - 1], ' '))) AS win
+  FROM docs, (SELECT DISTINCT size FROM wins) WHERE len(ws) >= size
+), hits AS (
+  SELECT doc_id, item_id, i, places.size FROM places JOIN wins ON wins.win = places.win AND wins.size = places.size
+), words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT docs.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(ws) AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -119,7 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pfair_mix": op10_pfair_mix,
 }
 ORACLES: dict[str, str] = {
+    "op2_rule_ledger": oracles.OP2,
     "op5_line_runs": oracles.OP5,
     "op7_chat_parts": oracles.OP7,
+    "op8_fm_decontam": oracles.OP8,
     "op10_pfair_mix": oracles.OP10,
 }
