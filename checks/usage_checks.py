@@ -261,7 +261,44 @@ _instance_query("server_attributes", _BASE | _SERVER | _VOLUMES)
 _instance_query("join_cluster", _BASE | _CLUSTER | {"vpc": "vpc"})
 _instance_query("join_worker", _BASE | _WORKER | {"zone": "zone"})
 
+_OF_METAL = "CASE WHEN metal THEN {} ELSE 0 END"
+_DOCUMENT = {
+    "account_id": "'account'", "resource_group_id": "''", "pricing_country": "'USA'", "billing_country": "'USA'",
+    "currency_code": "'USD'", "plan_id": "plan_id", "plan_name": "plan_id", "billable": "true", "pricing_plan_id": "'pp'",
+    "pricing_region": "''", "region": "region", "service_name": "service_name",
+    "resource_group_name": "coalesce(group_name, '')", "instance_name": "instance_name",
+}
+_MORE_RESOURCE = {c: "''" for c in ("updated_at", "updated_by", "deleted_by", "restored_at", "restored_by", "rcLifecycleAction")}
+_MORE_RESOURCE |= {"type": _if_known("'resource_instance'")}
+_MORE_SERVER = {c: "''" for c in ("VSI_reservation_name", "VSI_dedicated_host", "VSI_gpu_manufacturer", "VSI_gpu_model")}
+_MORE_SERVER |= {c: "0" for c in ("VSI_gpu_memory", "VSI_gpu_count", "VSI_totalNetworkBandwidth", "VSI_totalVolumeBandwidth", "BM_bandwidth")}
+_MORE_SERVER |= {
+    "VSI_numaCount": _ON_SERVER.format("c % 3", "0"),
+    "VSI_manufacturer": _ON_SERVER.format("CASE WHEN metal THEN '' ELSE 'intel' END", "''"),
+    "VSI_totalBandwidth": _ON_SERVER.format("c % 10", "0"),
+    "VSI_bootVolumeCRN": _ON_SERVER.format("CASE WHEN c % 9 <> 0 THEN boot_crn ELSE '' END", "''"),
+    "VSI_bootVolumeName": _ON_SERVER.format("CASE WHEN c % 9 <> 0 THEN 'boot' ELSE '' END", "''"),
+    "BM_numberofSockets": _ON_SERVER.format(_OF_METAL.format("2"), "0"),
+    "BM_ThredsPerCore": _ON_SERVER.format(_OF_METAL.format("2"), "0"),
+    "BMnumberofCores": _ON_SERVER.format(_OF_METAL.format("c % 16"), "0"),
+    "BMnumberofSockets": _ON_SERVER.format(_OF_METAL.format("2"), "0"),
+    "BMthreadsPerCore": _ON_SERVER.format(_OF_METAL.format("2"), "0"),
+    "BMRawStorage": _ON_SERVER.format(_OF_METAL.format(
+        "CASE c % 4 WHEN 0 THEN 0.0 WHEN 3 THEN 300.0 + c % 7 ELSE 100.0 + c % 7 END"), "0"),
+    "lifecycle_state": _ON_SERVER.format("'stable'", "''"), "health_state": _ON_SERVER.format("'ok'", "''"),
+    "status": _ON_SERVER.format("'running'", "''"),
+    "OSVersion": _if_known("""CASE WHEN "OSName" IS NOT NULL THEN '9' END"""),
+}
+_MORE_CLUSTER = {
+    "cluster_version": "CASE WHEN cluster_name <> '' THEN '1.29' ELSE '' END",
+    "cluster_state": "CASE WHEN cluster_name <> '' THEN 'normal' ELSE '' END",
+    "cluster_status": "CASE WHEN cluster_name <> '' THEN 'ok' ELSE '' END",
+    "worker_state": "CASE WHEN worker_pool <> '' THEN 'deployed' ELSE '' END",
+    "worker_health": "CASE WHEN worker_pool <> '' THEN 'normal' ELSE '' END",
+    "worker_version": "CASE WHEN worker_pool <> '' THEN '1.29.1' ELSE '' END",
+}
 _DETAIL = _BASE | _RESOURCE | _CREATOR | _SERVER | _VOLUMES | _CLUSTER | _WORKER | _TAGS
+_DETAIL |= _DOCUMENT | _MORE_RESOURCE | _MORE_SERVER | _MORE_CLUSTER
 _DETAIL_SQL = ", ".join(f'{sql} AS "{column}"' for column, sql in _DETAIL.items())
 
 
@@ -269,12 +306,13 @@ _DETAIL_SQL = ", ".join(f'{sql} AS "{column}"' for column, sql in _DETAIL.items(
     "instances_detail",
     f"""{INSTANCES} SELECT {_DETAIL_SQL}, CASE WHEN m = 0 THEN 'GIGABYTE_HOURS' ELSE 'VCPU_HOURS' END AS metric,
       CASE WHEN m = 0 THEN 'GB_HOURS' ELSE 'HOURS' END AS unit, amount * 4 + m AS quantity, amount * (m + 1) AS cost,
-      amount * 2 AS rated_cost
+      amount * 2 AS rated_cost, amount * 4 + m AS rateable_quantity, ['p'] AS price, CAST([] AS STRUCT(discount DOUBLE)[]) AS discount,
+      CASE WHEN m = 0 THEN 'GIGABYTE_HOURS' ELSE 'VCPU_HOURS' END AS metric_name,
+      CASE WHEN m = 0 THEN 'GB_HOURS' ELSE 'HOURS' END AS unit_name
     FROM enriched, (SELECT range AS m FROM range(2)) AS numbers WHERE m < n_metrics""",
 )
 def _(spark, sf_dir):
-    rows = usage.metric_rows(instances(spark, sf_dir))
-    return rows.select(*_DETAIL, "metric", "unit", "quantity", "cost", "rated_cost")
+    return usage.metric_rows(instances(spark, sf_dir))
 
 
 def _usage_report(name, build, keys, cells, where):
