@@ -241,24 +241,27 @@ def encoded(docs: DataFrame, words: Words, keep: list[str], text: str = "text")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        look, end = _head(name, shared), len(shared.value)
-        symbols, sizes, tails, tail_sizes = [], [], [], []
+        look, end = _head(name, shared).get, len(shared.value)
+        symbols, sizes, tail_sizes = [], [], []
+        tail_words, tail_classes, tail_counts = [], [], []
         for raw in bytes_of(batch.column(len(keep))):
             tokens = tokens_of(raw)
-            found = [look.get(word, -1) for word in tokens]
-            if -1 in found:
-                tail = Counter(word for word, symbol in zip(tokens, found) if symbol < 0)
+            found = list(map(look, tokens))
+            if None in found:
+                tail = Counter([word for word, symbol in zip(tokens, found) if symbol is None])
                 classes = {word: word_class(word) for word in tail}
-                found = [s if s >= 0 else end + 1 + classes[w] for w, s in zip(tokens, found)]
-                tails += [(word, classes[word], n) for word, n in tail.items()]
+                found = [end + 1 + classes[w] if s is None else s for w, s in zip(tokens, found)]
+                tail_words += tail
+                tail_classes += classes.values()
+                tail_counts += tail.values()
                 tail_sizes.append(len(tail))
             else:
                 tail_sizes.append(0)
             found.append(end)
             symbols.append(np.array(found, np.int32))
             sizes.append(len(found))
-        columns = zip(*tails) if tails else ((), (), ())
-        fields = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.int64()))]
+        columns = (tail_words, pa.binary()), (tail_classes, pa.int32()), (tail_counts, pa.int64())
+        fields = [pa.array(values, kind) for values, kind in columns]
 
         def offsets(counts: list[int]) -> pa.Array:
             return pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
