@@ -11,7 +11,7 @@ from checks.billing_views import (
     INVOICE_CTE, ITEM_CTE, LINES_CTE, MONTHS, PART_CTE, invoices, items, lines, parts, volumes,
 )
 from checks.registry import check, pivot_sql
-from checks.tables import run, table
+from checks.tables import all_within, run, table
 from cloudtally.functions import charges, dates, nested, text
 from cloudtally.operators.lookup import distinct_values
 from cloudtally.operators.pivot import Measure, in_report_order, pivot_report
@@ -331,7 +331,7 @@ def _months_report(name, build, source, keys, cells, total="Total", fill=True, *
 
     @check(name, sql)
     def _(spark, sf_dir):
-        return build(lines(spark, sf_dir, **wanted), MONTHS)
+        return build(all_within(lines(spark, sf_dir, **wanted), "billing_month", MONTHS), MONTHS)
 
 
 _PARENTS = "SELECT * FROM line WHERE RecordType = 'Parent'"
@@ -405,7 +405,7 @@ _ON_IAAS = "(coalesce(INV_DIV, '') IN ('7D', 'SQ', '5M', 'U3', 'U6', 'U7') OR co
     ),
 )
 def _(spark, sf_dir):
-    return reports.top_sheet_iaas(lines(spark, sf_dir), parts(spark, sf_dir), MONTHS)
+    return reports.top_sheet_iaas(all_within(lines(spark, sf_dir), "billing_month", MONTHS), parts(spark, sf_dir), MONTHS)
 
 
 @check(
@@ -418,7 +418,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    return reports.top_sheet_paas(lines(spark, sf_dir), parts(spark, sf_dir), MONTHS)
+    return reports.top_sheet_paas(all_within(lines(spark, sf_dir), "billing_month", MONTHS), parts(spark, sf_dir), MONTHS)
 
 
 @check(
@@ -426,7 +426,7 @@ def _(spark, sf_dir):
     _sheet_sql("SELECT line.*, Category AS lineItemCategory FROM line WHERE Type = 'CREDIT'", "Total"),
 )
 def _(spark, sf_dir):
-    return reports.top_sheet_credit(lines(spark, sf_dir), MONTHS)
+    return reports.top_sheet_credit(all_within(lines(spark, sf_dir), "billing_month", MONTHS), MONTHS)
 
 
 @check(

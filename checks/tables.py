@@ -6,7 +6,10 @@ documents and runs the library on those, DuckDB works out the expected rows from
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels"]
@@ -24,13 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fill_cores(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores, dealt out to all of them; any other scan as it is.
+    """A given table dealt out to all cores, for the documents that are made of it once.
 
-    The given files have one row group each, so one task would do all the work that follows. A table of many
-    files or row groups is not shuffled.
+    The given files have one row group each, so one task would do all that work.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def all_within(df: DataFrame, column: str, months: Sequence[str]) -> DataFrame:
+    """Rows as they are; one of another month than the report's columns fails the query."""
+    known = F.col(column).isNull() | F.col(column).isin(list(months))
+    other = F.raise_error(F.concat(F.lit("no column for month "), F.col(column))).cast("string")
+    return df.withColumn(column, F.when(known, F.col(column)).otherwise(other))
 
 
 def run(spark: SparkSession, sf_dir: str, query: str, fact: str | None = None) -> DataFrame:

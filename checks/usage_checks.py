@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.billing_views import MONTHS
 from checks.registry import check, pivot_sql
-from checks.tables import duck, table
+from checks.tables import all_within, duck, table
 from checks.usage_views import (
     ACCOUNT_CTE, EVENT_BASE, INSTANCE_CTE, RESOURCE_BASE, TAG_SQL, USERS_SQL, WEEKS, account_documents,
     billing_instances, clusters, cloud_users, event_documents, images, initializations, instances, landed_resources,
@@ -59,7 +59,7 @@ for _name, _build, _keys, _cells in [
 
     @check(_name, pivot_sql(ACCOUNT_CTE, "SELECT * FROM account_row", _keys, _cells, "month", MONTHS))
     def _(spark, sf_dir, build=_build):
-        return build(usage.account_usage(account_documents(spark, sf_dir)), MONTHS)
+        return build(all_within(usage.account_usage(account_documents(spark, sf_dir)), "month", MONTHS), MONTHS)
 
 
 # --- instance usage -------------------------------------------------------------------------------------------
@@ -320,7 +320,7 @@ def _usage_report(name, build, keys, cells, where):
 
     @check(name, sql)
     def _(spark, sf_dir):
-        return build(usage.metric_rows(instances(spark, sf_dir)), WEEKS)
+        return build(all_within(usage.metric_rows(instances(spark, sf_dir)), "month", WEEKS), WEEKS)
 
 
 _SERVERS = "service_id IN ('is.instance', 'is.bare-metal-server')"

@@ -14,6 +14,7 @@ def parsed_usage(group: Column, text: Column) -> Column:
     """
     colon, dollar = F.instr(text, ":"), F.instr(text, "- $")
     after_colon = F.substr(text, colon)
+    # The number patterns and marks of charge descriptions.
     whole_number = F.regexp_extract(after_colon, r"\d+", 0).try_cast("double")
     fraction = F.replace(
         F.regexp_extract(after_colon, r"\d+([\.,]\d+)", 0), F.lit(","), F.lit(".")

@@ -13,6 +13,7 @@ from cloudtally.operators.pivot import Measure, pivot_report, totals_within
 from cloudtally.plans.invoice_lines import LINE_COLUMNS
 
 MONTH = "billing_month"
+# Fixed values, here and below: key lists and report names are the columns and names of the output.
 SHEET_KEYS = [
     "Portal_Invoice_Number", "Type", "Portal_Invoice_Date", "Service_Date_Start", "Service_Date_End", "dPart",
     "lineItemCategory",

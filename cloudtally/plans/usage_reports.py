@@ -11,6 +11,7 @@ from cloudtally.functions.charges import QUANTITY
 from cloudtally.operators.pivot import Measure, pivot_report, totals_within
 from cloudtally.plans.usage import BARE_METAL, KUBERNETES, VIRTUAL_SERVER, VOLUME
 
+# Fixed values, here and below: key lists and report names are the columns and names of the output.
 OBJECT_STORAGE = "Cloud Object Storage"
 VOLUME_METRIC = "GIGABYTE_HOURS"
 _MONEY_COLUMNS = ["quantity", "cost", "rated_cost"]
