@@ -133,5 +133,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     rows, groups = linked(flat, ["_place", "_id"], "_text", words)
     order = F.struct(F.col("_id").isNull(), "_id", "_place")
     first = rows.groupBy("fp").agg(F.min(order).alias("first")).join(groups, "fp")
-    chosen = first.groupBy("root").agg(F.min("first").alias("first")).select("first._place")
-    return placed.join(written(chosen), "_place", "left_semi").select("row.*")
+    least = first.groupBy("root").agg(F.min("first").alias("least")).select("root", F.col("least._place").alias("stays"))
+    named = groups.join(least, "root").select("fp", "stays")
+    dropped = rows.join(named, "fp").filter("_place != stays").select("_place")
+    return placed.join(written(dropped), "_place", "left_anti").select("row.*")

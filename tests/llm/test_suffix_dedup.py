@@ -63,10 +63,10 @@ def planted(rng):
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 21, 3000])
-def test_planted(spark, shard_bytes):
+def test_planted(spark, tmp_path, shard_bytes):
     docs = planted(random.Random(11))
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
-    df.write.mode("overwrite").parquet(folder := f"/tmp/llm-test-{random.getrandbits(60):x}")
+    df.write.parquet(folder := f"{tmp_path}/docs")
     rows = suffix_dedup.deduplicated(spark.read.parquet(folder), ["doc_id"], shard_bytes=shard_bytes).collect()
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows}
     assert got == dict(enumerate(brute(docs)))
