@@ -19,18 +19,17 @@ their own, ordered by text. Further columns of the input are not read. An empty
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import BATCH_ROWS, bounded_batches, bytes_of
+from cloudtally.llm.common import bounded_batches, bytes_of
 
 #: Row groups of 16 MB, pages of 64 KB or 200 documents: what a selective read opens at least.
 LAYOUT = {
@@ -44,10 +43,10 @@ ENCODINGS = {
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
 #: Pieces whose ids a worker keeps, and the longest piece that it keeps.
-MEMO_PIECES = 600_000
+MEMO_PIECES = 800_000
 MEMO_BYTES = 64
+JOINED_BYTES = 6 << 20
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than space and line end: the ASCII bytes, and how all other such characters begin in UTF-8.
 _RARE_BYTES = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _RARE_STARTS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
@@ -60,11 +59,33 @@ def _rare(text: bytes) -> bool:
     return len(text.translate(None, _RARE_BYTES)) < len(text) or any(map(text.__contains__, _RARE_STARTS))
 
 
-def cut(text: bytes) -> list[bytes]:
-    """A text in UTF-8 at each single space between two characters that are not white space."""
-    if text[:1] == b" " or text[-1:] == b" " or any(map(text.__contains__, _BESIDE)) or _rare(text):
-        return [piece.encode() for piece in _CUT.split(text.decode())]
-    return text.split(b" ")
+def _cuts_at_spaces(text: bytes) -> bool:
+    """Whether every space of a text in UTF-8 stands between two characters that are not white space."""
+    return not (text[:1] == b" " or text[-1:] == b" " or any(map(text.__contains__, _BESIDE)) or _rare(text))
+
+
+def _all_bytes(column: pa.StringArray) -> list[bytes]:
+    """A string column without nulls in UTF-8, sliced from its buffer."""
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
+def _together(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to some megabytes of text: the larger a batch, the fewer distinct pieces per piece."""
+    some, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            size += batch.column(text).nbytes
+        if size >= JOINED_BYTES:
+            yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+            some, size = [], 0
+    if some:
+        yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
 
 
 def _byte_letters() -> list[str]:
@@ -138,20 +159,39 @@ class Encoder:
         out.update(zip(rest, self._ids([" " + p.decode() for p in rest])))
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text in UTF-8 as little-endian unsigned 32-bit integers."""
-        pieces = [cut(text) for text in texts]
-        heads = self._ids([p[0].decode() for p in pieces])
-        distinct = dict.fromkeys(chain.from_iterable(islice(p, 1, None) for p in pieces))
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in UTF-8, one after the other, and how many each has.
+
+        Texts are split, and their pieces told apart, as Arrow columns; Python sees each distinct piece of the batch
+        once. A text's first piece has no space before it, and a text that cannot be cut at its spaces is one piece.
+        """
+        plain = [_cuts_at_spaces(text) for text in texts]
+        column = pa.array([text if is_plain else b"" for text, is_plain in zip(texts, plain)], pa.binary())
+        lists = pc.split_pattern(column.cast(pa.string()), " ")
+        begins = lists.offsets.to_numpy()[:-1]
+        pieces = lists.values.dictionary_encode()
+        which, distinct = pieces.indices.to_numpy().astype(np.int64), _all_bytes(pieces.dictionary)
+        heads = [distinct[i] if is_plain else text for i, text, is_plain in zip(which[begins].tolist(), texts, plain)]
+        which[begins] = len(distinct) + np.arange(len(texts))
+        used = np.bincount(which, minlength=len(distinct))[: len(distinct)] > 0
+
         known = list(map(self.memo.get, distinct))
-        learned = self._learned([piece for piece, ids in zip(distinct, known) if ids is None])
-        local = dict(zip(distinct, known))
-        local.update(learned)
+        learned = self._learned([p for p, ids, u in zip(distinct, known, used.tolist()) if u and ids is None])
         self.memo.update((p, ids) for p, ids in learned.items() if len(p) <= MEMO_BYTES)
+        found = [learned.get(p, b"") if ids is None else ids for p, ids in zip(distinct, known)]
         if len(self.memo) > MEMO_PIECES:  # keep what this batch has, and so what is frequent
-            self.memo = {p: ids for p, ids in local.items() if len(p) <= MEMO_BYTES}
-        look = local.__getitem__
-        return [head + b"".join(map(look, islice(p, 1, None))) for head, p in zip(heads, pieces)]
+            self.memo = {p: ids for p, ids in zip(distinct, found) if ids and len(p) <= MEMO_BYTES}
+        found += self._ids([head.decode() for head in heads])
+
+        table = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        places = np.cumsum(sizes) - sizes
+        sizes, places = sizes[which], places[which]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        values = table[np.repeat(places - ends + sizes, sizes) + np.arange(total)]
+        counts = np.add.reduceat(sizes, begins) if len(begins) else sizes
+        return values, counts
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -172,29 +212,26 @@ def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_i
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "_text")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    end = np.array([end_id], "<u4").tobytes()
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for low in range(0, batch.num_rows, BATCH_ROWS):
-                some = batch.slice(low, BATCH_ROWS)
-                ids = [x + end for x in encoder.encode(bytes_of(some.column(len(columns))))]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(counts)
-                offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
-                values = pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *some.columns[: len(columns)],
-                        pa.ListArray.from_arrays(offsets, values),
-                        pa.array(counts),
-                        pa.array(np.full(len(ids), part, np.int32)),
-                        pa.array(before + ends - counts),
-                    ],
-                    names=[*columns, "tokens", "n_tokens", "part", "part_offset"],
-                )
-                before += int(ends[-1])
+        for some in _together(batches, len(columns)):
+            ids, counts = encoder.encode(bytes_of(some.column(len(columns))))
+            ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            ends = np.cumsum(counts)
+            offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+            values = pa.array(ids.astype(np.uint32, copy=False).view(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *some.columns[: len(columns)],
+                    pa.ListArray.from_arrays(offsets, values),
+                    pa.array(counts),
+                    pa.array(np.full(len(counts), part, np.int32)),
+                    pa.array(before + ends - counts),
+                ],
+                names=[*columns, "tokens", "n_tokens", "part", "part_offset"],
+            )
+            before += int(ends[-1])
 
     return rows.mapInArrow(over, f"{schema}, tokens array<int>, n_tokens long, part int, part_offset long")
 
