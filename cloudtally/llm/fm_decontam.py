@@ -232,7 +232,14 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterat
         yield block
 
 
-def found_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+def found_spans(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
     """``row``, ``n_words``, ``spans`` (hit words, merged, end exclusive), ``items`` (their ids as sorted strings)."""
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     span = "array<struct<begin:int,end:int>>"

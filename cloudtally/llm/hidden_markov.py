@@ -329,7 +329,8 @@ def _round(rows: DataFrame, model: Model, symbols: np.ndarray) -> Model:
             if part.any():
                 numbers.append(number)
                 counts.append(part.astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(counts, pa.binary())], names=["block", "counts"])
+        columns = [pa.array(numbers, pa.int32()), pa.array(counts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -391,7 +392,14 @@ def _symbol_scores(rows: DataFrame, model: Model, words: Words, keep: list[str])
     return rows.select(*keep, "symbols").mapInArrow(over, schema)
 
 
-def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head_words: int = HEAD_WORDS, states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+def scored(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    head_words: int = HEAD_WORDS,
+    states: int = STATES,
+    rounds: int = ROUNDS,
+) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     placed = docs.select(
         F.monotonically_increasing_id().alias("place"),

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import chat_parts, fm_decontam, hidden_markov, line_runs, oracles, pfair_mix, rule_ledger, secret_scan, simhash_links, suffix_dedup, token_files
+from cloudtally.llm import (
+    chat_parts,
+    fm_decontam,
+    hidden_markov,
+    line_runs,
+    oracles,
+    pfair_mix,
+    rule_ledger,
+    secret_scan,
+    simhash_links,
+    suffix_dedup,
+    token_files,
+)
 from cloudtally.llm.common import shared_folder, written
 
 TOKENIZER = "byte_bpe_50k.json"

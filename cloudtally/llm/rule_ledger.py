@@ -130,8 +130,8 @@ def ablation(rows: DataFrame, policy: list[str], rules: list[Rule] = RULES) -> D
     mask = mask_of(policy, rules)
     own = [r for r in rules if r.name in policy]
     counts = rows.groupBy(F.col("fail_bits").bitwiseAND(F.lit(mask)).alias("bits")).agg(F.count("*").alias("n"))
-    listed = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(1 << r.bit).cast("long").alias("bit")) for r in own]))
-    each = counts.withColumn("r", listed).select("bits", "n", "r.*")
+    listed = [F.struct(F.lit(r.name).alias("rule"), F.lit(1 << r.bit).cast("long").alias("bit")) for r in own]
+    each = counts.withColumn("r", F.explode(F.array(*listed))).select("bits", "n", "r.*")
     rest = F.col("bits").bitwiseAND(F.lit(mask) - F.col("bit"))
     fails = F.col("bits").bitwiseAND(F.col("bit")) != 0
 

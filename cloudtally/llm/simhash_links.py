@@ -58,7 +58,8 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", words: in
 
     def compute(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = np.array([fingerprint(t, words) for t in bytes_of(batch.column(len(keep)))], np.uint64)
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(values.view(np.int64))], names=[*keep, "fp"])
+        columns = [*batch.columns[: len(keep)], pa.array(values.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=[*keep, "fp"])
 
     schema = "".join(f"`{c}` {kinds[c]}, " for c in keep) + "fp long"
     return map_batches(docs.select(*keep, text), compute, schema)
@@ -89,10 +90,13 @@ def links(fps: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of the distinct values ``fp`` at ``MAX_BITS`` or fewer differing bits; each once."""
     half = F.lit((1 << 32) - 1)
     cells = fps.select("fp", _counts(F.col("fp")).alias("v"))
-    cells = cells.select("fp", "v", F.posexplode(F.array(F.col("v").bitwiseAND(half), F.shiftrightunsigned("v", 32))).alias("side", "cell"))
+    halves = F.array(F.col("v").bitwiseAND(half), F.shiftrightunsigned("v", 32))
+    cells = cells.select("fp", "v", F.posexplode(halves).alias("side", "cell"))
     ups = [_one_more(F.col("cell"), i) for i in range(16)]
     looks = F.filter(F.array(F.col("cell"), *ups), lambda c: c.isNotNull())
-    probes = cells.select(F.col("fp").alias("p"), F.col("v").alias("w"), "side", F.col("cell").alias("home"), F.explode(looks).alias("cell"))
+    probes = cells.select(
+        F.col("fp").alias("p"), F.col("v").alias("w"), "side", F.col("cell").alias("home"), F.explode(looks).alias("cell")
+    )
     pairs = cells.join(probes, ["side", "cell"])
     differ = F.col("fp").bitwiseXOR(F.col("p"))
     near = (_manhattan(F.col("v"), F.col("w")) <= MAX_BITS) & (F.bit_count(differ) <= MAX_BITS)
@@ -101,7 +105,12 @@ def links(fps: DataFrame) -> DataFrame:
     return found.select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b")).distinct()
 
 
-def linked(docs: DataFrame, keep: list[str], text: str = "text", words: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
+def linked(
+    docs: DataFrame,
+    keep: list[str],
+    text: str = "text",
+    words: int = SHINGLE_WORDS,
+) -> tuple[DataFrame, DataFrame]:
     """``(rows, groups)``: the columns ``keep`` and ``fp`` of each document, and for each ``fp`` its ``root``.
 
     ``root`` is the same for all fingerprints that links connect. Both are written tables.
@@ -114,7 +123,12 @@ def linked(docs: DataFrame, keep: list[str], text: str = "text", words: int = SH
     return rows, written(groups)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = SHINGLE_WORDS,
+) -> DataFrame:
     """``(doc_id, fp, component_id)``: for each document the smallest id that links reach from it, its own included."""
     rows, groups = linked(docs, [doc_id], text, words)
     first = rows.groupBy("fp").agg(F.min(doc_id).alias("first")).join(groups, "fp")

@@ -353,7 +353,8 @@ def deduplicated(docs: DataFrame, keep: list[str], text: str = "text", shard_byt
 
     Documents are told apart by their place in the table, so it must read alike twice.
     """
-    placed = docs.select(F.monotonically_increasing_id().alias("place"), *[F.col(c).alias(f"k_{c}") for c in keep], F.col(text).alias("text"))
+    kept = [F.col(c).alias(f"k_{c}") for c in keep]
+    placed = docs.select(F.monotonically_increasing_id().alias("place"), *kept, F.col(text).alias("text"))
     spans = repeated_spans(placed.select("place", "text"), shard_bytes)
     spans = written(spans.distinct().groupBy("place").agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
     rows = placed.join(spans, "place", "left").select("spans", "text", *[f"k_{c}" for c in keep])

@@ -204,7 +204,14 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0, keep: Sequence[str] = ()) -> DataFrame:
+def encoded(
+    docs: DataFrame,
+    tokenizer_path: str,
+    order: Sequence[str] = ("doc_id",),
+    text: str = "text",
+    end_id: int = 0,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Documents in ascending order with their ids; one shuffle, of the texts by range of the order."""
     bounded_batches(docs.sparkSession)
     columns = [*order, *keep]
@@ -236,7 +243,16 @@ def encoded(docs: DataFrame, tokenizer_path: str, order: Sequence[str] = ("doc_i
     return rows.mapInArrow(over, f"{schema}, tokens array<int>, n_tokens long, part int, part_offset long")
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, order: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0, keep: Sequence[str] = (), encoding: str = "dictionary") -> None:
+def write_tokens(
+    docs: DataFrame,
+    folder: str,
+    tokenizer_path: str,
+    order: Sequence[str] = ("doc_id",),
+    text: str = "text",
+    end_id: int = 0,
+    keep: Sequence[str] = (),
+    encoding: str = "dictionary",
+) -> None:
     """Write the token table of ``docs``, with the columns ``keep``."""
     rows = encoded(docs, tokenizer_path, order, text, end_id, keep)
     rows.write.options(**LAYOUT, **ENCODINGS[encoding]).parquet(folder)
