@@ -142,9 +142,14 @@ class Encoder:
 
     def _simple(self, piece: bytes) -> bytes | None:
         """Ids of a piece of one word, or two on two lines, with the space before it; None if it is not."""
+        id_bytes, tokenize = self.id_bytes, self.tokenize
         if piece.isalpha():  # ASCII letters stand for themselves
-            return b"".join([self.id_bytes[t.id] for t in self.tokenize(self.space + piece.decode())])
-        word, line_end, second = piece.decode().partition("\n")
+            return b"".join([id_bytes[t.id] for t in tokenize(self.space + piece.decode())])
+        text = piece.decode()
+        if text.isalpha():
+            spelled = piece.decode("latin-1").translate(self.letters)
+            return b"".join([id_bytes[t.id] for t in tokenize(self.space + spelled)])
+        word, line_end, second = text.partition("\n")
         ids = self._marked(word, " ")
         if not line_end or ids is None:
             return ids
