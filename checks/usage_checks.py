@@ -409,13 +409,13 @@ def _(spark, sf_dir):
     pivot_sql(
         "event AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events)",
         "SELECT event_type AS resource_name, '2024-01' AS month, cents FROM event", ["resource_name"],
-        {"cost": "CAST(SUM([cents]) AS DOUBLE) / 1000000000000"}, "month", ["2024-01"],
+        {"cost": "CAST(SUM([cents]) AS DOUBLE) / 100000000000"}, "month", ["2024-01"],
     ),
 )
 def _(spark, sf_dir):
     """Costs of about a billionth each add up exactly."""
     rows = table(spark, sf_dir, "events").selectExpr(
         "event_type as resource_name", "'2024-01' as month",
-        "cast(round(value * 100) as bigint) / 1000000000000D as cost",
+        "cast(round(value * 100) as bigint) / 100000000000D as cost",
     )
     return reports.usage_summary(rows, ["2024-01"])

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 TOTAL_FLAG = "is_total"
 TOTAL_COLUMN = "Total"
+# Decimals of a finer sum that a report shows: landed doubles carry noise beyond them.
+SHOWN_DECIMALS = 11
 
 
 @dataclass(frozen=True)
@@ -178,6 +180,8 @@ def _finish(wide: DataFrame, keys: Sequence[str], cells, fill: bool) -> DataFram
     out = [f"`{k}`" for k in keys]
     for name, column in columns.items():
         kind = "double" if isinstance(kinds[column], (T.DecimalType, T.DoubleType)) else "bigint"
-        value = f"CAST(`{column}` AS {kind})"
+        fine = isinstance(kinds[column], T.DecimalType) and kinds[column].scale > SHOWN_DECIMALS
+        shown = f"bround(`{column}`, {SHOWN_DECIMALS})" if fine else f"`{column}`"
+        value = f"CAST({shown} AS {kind})"
         out.append(f"coalesce({value}, 0) AS `{name}`" if fill else f"{value} AS `{name}`")
     return wide.selectExpr(*out)
