@@ -22,19 +22,22 @@ VIRTUAL_SERVER_GROUP = "Virtual Servers and Attached Services"
 
 def money(text: Column) -> Column:
     """API amount text as an exact decimal; NULL if missing. Text that is no amount, or too large, fails the run."""
-    read = text.try_cast(MONEY)
-    failed = F.raise_error(F.concat(F.lit("not an amount: "), text.cast("string"))).cast(MONEY)
-    return F.when(text.isNull() | read.isNotNull(), read).otherwise(failed)
+    return _read(text, MONEY)
+
+
+def _read(text: Column, kind: str) -> Column:
+    failed = F.raise_error(F.concat(F.lit("not an amount: "), text.cast("string"))).cast(kind)
+    return F.coalesce(text.try_cast(kind), F.when(text.isNotNull(), failed))
 
 
 def positive(text: Column) -> Column:
     """Whether an amount is above zero, however small; a missing one is not."""
-    return F.coalesce((text.try_cast("double") > 0) & money(text).isNotNull(), F.lit(False))
+    return F.coalesce(_read(text, "double") > 0, F.lit(False))
 
 
 def zero(text: Column) -> Column:
     """Whether an amount is zero; a missing one is not."""
-    return F.coalesce((text.try_cast("double") == 0) & money(text).isNotNull(), F.lit(False))
+    return F.coalesce(_read(text, "double") == 0, F.lit(False))
 
 
 def charge(amount: Column) -> Column:
