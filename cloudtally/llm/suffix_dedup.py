@@ -15,8 +15,8 @@ Hashes of pieces (no bytes) are counted first, so only pieces whose hash other t
 partition is cut into shards of about that many bytes with whole parts. In a shard, the suffix array of all pieces'
 bytes is refined as by Larsson and Sadakane: suffixes are sorted by eight bytes, then groups of equal ones, and only
 those, by the rank of the suffix further on, doubling up to ``LENGTH``. Common prefixes of neighbours follow as by
-Kasai: a suffix whose neighbour follows the last one's neighbour shares one byte less; others are compared. A start is
-repeated if its neighbour shares ``LENGTH`` bytes or more.
+Kasai: a suffix whose neighbour follows the last one's neighbour shares one byte less; others, and those where the last
+one shared none, are compared. A start is repeated if its neighbour shares ``LENGTH`` bytes or more.
 
 *Merging.* A group in several parts is judged once more across shards: each shard gives a 128-bit fingerprint of each of
 its distinct strings in such a group, packed by ranges of fingerprints; for each range, binary search tells those that
@@ -147,11 +147,29 @@ def suffix_array(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) ->
     return order[chosen[order]]
 
 
+def _compared(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that suffixes at ``a`` share with those at ``b``; 0 where ``b`` is negative."""
+    n = len(text)
+    padded = np.concatenate((text, np.zeros(16, np.uint8)))
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    shared = np.zeros(len(a), np.int64)
+    live = np.flatnonzero(b >= 0)
+    a, b = a[live], b[live]
+    while len(live):
+        differ = words[np.minimum(a, n)] != words[np.minimum(b, n)]
+        equal = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
+        equal = np.minimum(equal, n - np.maximum(a, b))
+        shared[live] += equal
+        on = equal == 8
+        live, a, b = live[on], a[on] + 8, b[on] + 8
+    return shared
+
+
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Bytes that each suffix of ``order`` shares with the one before it; 0 for the first.
 
     As by Kasai, in text order: if the neighbour of a suffix follows the neighbour of the suffix one byte before, they
-    share one byte less. Only the others are compared, eight bytes at a time.
+    share one byte less, if any are left. Only the others are compared, eight bytes at a time.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
@@ -161,22 +179,23 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     follows = np.zeros(len(listed), bool)
     follows[1:] = (listed[1:] == listed[:-1] + 1) & (neighbour[1:] == neighbour[:-1] + 1) & (neighbour[:-1] >= 0)
     heads = np.flatnonzero(~follows)
-    padded = np.concatenate((text, np.zeros(16, np.uint8)))
-    shared = np.zeros(len(heads), np.int64)
-    live = np.flatnonzero(neighbour[heads] >= 0)
-    a, b = listed[heads[live]], neighbour[heads[live]]
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    while len(live):
-        differ = words[np.minimum(a, n)] != words[np.minimum(b, n)]
-        equal = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
-        equal = np.minimum(equal, n - np.maximum(a, b))
-        shared[live] += equal
-        on = equal == 8
-        live, a, b = live[on], a[on] + 8, b[on] + 8
-    head = np.cumsum(~follows) - 1
+    ends = np.concatenate((heads[1:], [len(listed)]))
+    all_heads, all_shared = [], []
+    while len(heads):
+        shared = _compared(text, listed[heads], neighbour[heads])
+        all_heads.append(heads)
+        all_shared.append(shared)
+        # A chain whose bytes are used up, as after an edit, is compared anew: at most once for each first byte.
+        heads = heads + shared + 1
+        heads, ends = heads[heads < ends], ends[heads < ends]
     lengths = np.zeros(n, np.int64)
-    # What follows a head loses a byte a step; where nothing is left, the neighbours differ in their first byte.
-    lengths[listed] = np.maximum(shared[head] - (np.arange(len(listed)) - heads[head]), 0)
+    if all_heads:
+        heads, shared = np.concatenate(all_heads), np.concatenate(all_shared)
+        by = np.argsort(heads, kind="stable")
+        heads, shared = heads[by], shared[by]
+        sizes = np.diff(np.concatenate((heads, [len(listed)])))
+        # What follows a head loses a byte a step.
+        lengths[listed] = np.repeat(shared + heads, sizes) - np.arange(len(listed))
     return lengths[order]
 
 

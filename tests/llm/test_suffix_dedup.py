@@ -72,6 +72,27 @@ def test_planted(spark, tmp_path, shard_bytes):
     assert got == dict(enumerate(brute(docs)))
 
 
+def edited_pair(rng):
+    """Near copies whose edited bytes are neighbours in the order: no other text has them."""
+    p, s = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (450, 900))
+    return p + "1" + s, p + "2" + s
+
+
+def test_prefixes_after_an_edit():
+    raws = [t.encode() for t in edited_pair(random.Random(5))]
+    piece, offset, _, repeated = suffix_dedup.repeated_starts(raws, np.array([len(r) - LENGTH + 1 for r in raws]))
+    counts = Counter(r[i : i + LENGTH] for r in raws for i in range(len(r) - LENGTH + 1))
+    want = [counts[raws[p][i : i + LENGTH]] > 1 for p, i in zip(piece.tolist(), offset.tolist())]
+    assert repeated.tolist() == want
+
+
+def test_copies_with_an_edit(spark, docs):
+    texts = edited_pair(random.Random(5))
+    rows = suffix_dedup.deduplicated(docs(texts), ["doc_id"]).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows}
+    assert got == dict(enumerate(brute(texts)))
+
+
 def test_segments_of_a_long_text(monkeypatch):
     rng = random.Random(2)
     monkeypatch.setattr(suffix_dedup, "SEGMENT_BYTES", 1000)
