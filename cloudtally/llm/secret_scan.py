@@ -3,22 +3,29 @@ r"""Secrets in texts: fixed patterns, and strings that two character Markov mode
 *Patterns* (``base_spans``): an assignment of six characters or more to a name for a secret, an access key id, a run of
 24 hex digits or more. Matches of one kind are leftmost and do not overlap.
 
-*Models.* Both are chains over the characters ``A-Za-z0-9+/_=-``, one state for all others: one of random strings,
-trained on what the patterns found, and one of ordinary identifiers, trained on all other text. Tasks count pairs of
-neighbouring characters of all documents; the two tables of ``STATES`` squared counts come to the driver. Part of the
-random model is uniform, so strings over other alphabets than those seen count as random too.
+*Models.* Both are chains over the characters ``A-Za-z0-9+/_=-``, one state for all others, trained on labelled samples
+of ``SAMPLES`` strings each, the same in every run (``labelled_counts``): random strings over the alphabets of
+``RANDOM_ALPHABETS``; and identifiers, which are names, words and paths of ``data/identifiers.txt`` alone, joined by
+``_``, ``-``, ``/`` or capitals, with numbers, dates and versions, and characters that repeat. No text of the corpus
+takes part, so undetected secrets do not. Part of the random model is uniform, so strings over other alphabets count as
+random too. ``trained(pair_counts(docs))`` gives models of what the patterns find in a corpus and leave of it instead.
 
-*Scan.* A run of ``MIN_CHARS`` of these characters or more, with a letter and a digit, that overlaps no pattern match,
-is a span of kind ``random`` if its log-likelihood ratio of the two models is over ``MIN_RATIO`` a character.
+*Scan.* A run of ``MIN_CHARS`` (20) of these characters or more that overlaps no pattern match is a span of kind
+``random`` if its log-likelihood ratio of the two models is over ``MIN_RATIO`` a character, whatever its characters.
+Shorter runs are left to the patterns.
 
 Offsets are code points, end exclusive. Null and empty texts have no spans. Rows that repeat an id, or have none, are
-scanned each; all columns of a document go along in ``row``. An empty table gives no rows, and models of no counts.
+scanned each; all columns of a document go along in ``row``. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from dataclasses import dataclass
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +48,20 @@ STATES = len(ALPHABET) + 1
 UNIFORM, BACK_OFF, PSEUDO = 0.2, 5.0, 0.1
 MIN_CHARS = 20
 MIN_RATIO = 1.0
+SAMPLES = 20_000
+SAMPLE_SEED = 4
+RANDOM_ALPHABETS = [
+    string.digits + "abcdef",
+    string.digits + "ABCDEF",
+    string.ascii_lowercase,
+    string.ascii_uppercase,
+    string.ascii_uppercase + "234567",
+    string.ascii_lowercase + string.digits,
+    string.ascii_letters,
+    string.ascii_letters + string.digits,
+    string.ascii_letters + string.digits + "+/",
+    string.ascii_letters + string.digits + "-_",
+]
 _RUN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 
 _STATE = np.zeros(256, np.int64)
@@ -105,9 +126,50 @@ def pair_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out.reshape(2, STATES, STATES)
 
 
+def identifier_names() -> list[str]:
+    """Names, words and paths of the bundled sample."""
+    lines = (Path(__file__).parent.parent / "data" / "identifiers.txt").read_text().splitlines()
+    return [line for line in lines if not line.startswith("#")]
+
+
+def _number(rng: random.Random) -> str:
+    year = rng.randint(1990, 2039)
+    return rng.choice([
+        str(rng.randint(0, 9)),
+        str(rng.randint(10, 99)),
+        str(rng.randint(100, 99999)),
+        str(year),
+        f"{year}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}",
+        f"v{rng.randint(1, 20)}",
+    ])
+
+
+def identifier(names: list[str], rng: random.Random) -> str:
+    """A name alone, several joined by a mark, most of them with a number, or several joined by capitals."""
+    kind, parts = rng.random(), [rng.choice(names) for _ in range(rng.randint(2, 4))]
+    if kind < 0.5:
+        return parts[0]
+    if kind < 0.6:
+        return "".join(p.strip("_").capitalize() for p in parts)
+    if kind < 0.9:
+        parts.insert(rng.randint(1, len(parts)), _number(rng))
+    return rng.choice("_-/").join(parts)
+
+
+@lru_cache
+def labelled_counts() -> np.ndarray:
+    """Pair counts of the labelled samples: 0 identifiers, 1 random strings. Shape: 2, states, states."""
+    rng, names = random.Random(SAMPLE_SEED), identifier_names()
+    ordinary = [identifier(names, rng) for _ in range(SAMPLES)]
+    ordinary += [chr(c) * n for c in ALPHABET for n in range(8, 64, 2)]
+    drawn = [rng.choices(RANDOM_ALPHABETS[i % len(RANDOM_ALPHABETS)], k=rng.randint(20, 64)) for i in range(SAMPLES)]
+    samples = "\n".join(ordinary), "\n".join(map("".join, drawn))
+    return np.array([_pairs(s.encode()) for s in samples], float).reshape(2, STATES, STATES)
+
+
 @dataclass
 class Models:
-    """``ratio[a, b]``: log of how much likelier b follows a in a random string than in ordinary text."""
+    """``ratio[a, b]``: log of how much likelier b follows a in a random string than in ordinary ones."""
 
     ratio: np.ndarray
 
@@ -131,11 +193,10 @@ def random_spans(raw: bytes, base: list[Span], models: Models) -> list[Span]:
     for match in _RUN.finditer(raw):
         begin, end = match.span()
         run = match[0]
-        if run.isalpha() or run.isdigit() or any(a < end and begin < b for a, b, _ in base):
+        if any(a < end and begin < b for a, b, _ in base):
             continue
-        if any(48 <= c <= 57 for c in run) and any(c >= 65 and c != 95 for c in run):
-            if models.per_character(run) > MIN_RATIO:
-                out.append((begin, end, 3))
+        if models.per_character(run) > MIN_RATIO:
+            out.append((begin, end, 3))
     return out
 
 
@@ -149,7 +210,7 @@ def code_points(raw: bytes, spans: list[Span]) -> list[Span]:
 
 def scanned(docs: DataFrame, models: Models | None = None, text: str = "text") -> DataFrame:
     """``row`` and ``spans``: all spans by begin and kind, those of patterns and models alike."""
-    models = models or trained(pair_counts(docs, text))
+    models = models or trained(labelled_counts())
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))
 

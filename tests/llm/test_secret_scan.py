@@ -68,6 +68,34 @@ def test_models_on_held_out_strings(spark):
     assert all([s.kind for s in r.spans] == (["assign", "hex"] if r.row.doc_id >= 60 else []) for r in rows)
 
 
+WORDS = """kubernetes terraform warehouse ledger voucher tariff shipment freight courier pallet harvest orchard turbine
+battery charger pavement bicycle commuter ferry glacier meadow thunder lantern copper velvet saddle harbour anchor
+Rechnungsstelle Zahlungsziel entrepot livraison almacen reparto magazzino spedizione""".split()
+
+
+def test_labelled_models():
+    """Strings of every alphabet, without digits too, and identifiers of names that no sample has."""
+    rng, names = random.Random(8), set(secret_scan.identifier_names())
+    assert not names & set(WORDS)
+    models = secret_scan.trained(secret_scan.labelled_counts())
+    hit = lambda s: secret_scan.random_spans(f"x {s} y".encode(), [], models) == [(2, 2 + len(s), 3)]
+    for letters in secret_scan.RANDOM_ALPHABETS:
+        drawn = ["".join(rng.choices(letters, k=40)) for _ in range(300)]
+        assert sum(map(hit, drawn)) >= 0.93 * len(drawn), letters
+    held = [n for n in (secret_scan.identifier(WORDS, rng) for _ in range(6000)) if len(n) >= 20]
+    assert len(held) > 1500 and any(c.isdigit() for n in held for c in n)
+    assert sum(map(hit, held)) <= 0.01 * len(held)
+    assert not any(map(hit, ["-" * 60, "=" * 40, "0" * 30, *[c * 51 for c in "aeiouxzQ7"]]))
+
+
+def test_strings_without_digits_are_found(spark, docs):
+    rng = random.Random(3)
+    keys = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=48)) for _ in range(40)]
+    rows = secret_scan.scanned(docs([f"the key is {k} said the warehouse_manager-2024 twice" for k in keys])).collect()
+    found = [[(s.kind, s.begin, s.end) for s in r.spans] for r in rows]
+    assert sum(f == [("random", 11, 59)] for f in found) >= 36 and all(len(f) <= 1 for f in found)
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = secret_scan.scanned(odd_docs).collect()
     assert len(rows) == odd_docs.count() and not any(r.spans for r in rows)
