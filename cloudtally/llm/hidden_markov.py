@@ -10,8 +10,8 @@ broadcast, carries the words that any join would be skewed by, and the rest of t
 joined as a table.
 
 *Training.* ``STATES`` hidden states. In each of ``ROUNDS`` rounds, tasks run the scaled forward and backward recursions
-over segments of ``SEGMENT`` tokens, add up expected counts in blocks of symbols, and blocks are summed over the
-partitions by a shuffle; every training token takes part in every round.
+over whole texts, add up expected counts in blocks of symbols, and blocks are summed over the partitions by a shuffle;
+every training token takes part in every round.
 
 *Scores.* The scaled forward recursion over whole texts gives the exact probability of the symbol sequence; the words of
 classes add theirs. ``base_score`` is the unigram score: the sum of log10((c + 0.1) / (N + 0.1 * (V + 1))).
@@ -45,7 +45,8 @@ FREQUENCY_STEPS = 32
 CLASSES = 64
 STATES = 8
 ROUNDS = 4
-SEGMENT = 128
+#: Tokens that the recursions of training run over at a time.
+PACKED = 1 << 20
 BLOCK = 1024
 #: Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 500_000
@@ -88,57 +89,59 @@ def refitted(first: np.ndarray, moves: np.ndarray, emits: np.ndarray, symbols: n
     )
 
 
-def segments(sequences: list[np.ndarray], size: int = SEGMENT) -> Iterator[np.ndarray]:
-    """Equally long pieces of sequences, stacked; what a sequence has left over makes shorter ones."""
-    by_length: dict[int, list[np.ndarray]] = {}
-    for symbols in sequences:
-        for low in range(0, len(symbols), size):
-            piece = symbols[low : low + size]
-            # Padded to a multiple of eight by -1, so that few lengths differ.
-            by_length.setdefault(-(-len(piece) // 8) * 8, []).append(piece)
-    for length, pieces in sorted(by_length.items()):
-        for low in range(0, len(pieces), 4096):
-            some = pieces[low : low + 4096]
-            out = np.full((length, len(some)), -1, np.int32)
-            for column, piece in enumerate(some):
-                out[: len(piece), column] = piece
-            yield out
+@dataclass
+class Packed:
+    """Sequences side by side, longest first: symbols time by time, and how many sequences are left at each time."""
+
+    symbols: np.ndarray
+    live: np.ndarray
+
+
+def segments(sequences: list[np.ndarray], size: int = PACKED) -> Iterator[Packed]:
+    """Whole sequences packed, those of like length together: ``size`` tokens a block, more if one is longer."""
+    ordered = sorted((s for s in sequences if len(s)), key=len, reverse=True)
+    lengths = np.array([len(s) for s in ordered], np.int64)
+    block = (np.cumsum(lengths) - lengths) // size
+    edges = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(ordered)]
+    for low, high in zip(edges, edges[1:]):
+        some = lengths[low:high]
+        live = np.searchsorted(-some, -np.arange(some[0]), side="left")
+        time = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+        symbols = np.empty(len(time), np.int32)
+        symbols[(np.cumsum(live) - live)[time] + np.repeat(np.arange(len(some)), some)] = np.concatenate(ordered[low:high])
+        yield Packed(symbols, live)
 
 
-def expected(model: Model, block: np.ndarray, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Counts of first states and moves, and the log-likelihood, of stacked segments (time x segments).
+def expected(model: Model, block: Packed, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Counts of first states and moves, and the log-likelihood, of packed sequences.
 
-    Adds counts of symbols by state to ``emitted``. Places of -1 follow a segment and count nothing.
+    Adds counts of symbols by state to ``emitted``.
     """
-    length, n = block.shape
-    moves = model.moves.astype(np.float32)
-    emits = np.concatenate((model.emits, np.ones((1, model.emits.shape[1]), np.float32)))
-    seen = emits[block]
-    alpha = np.empty_like(seen)
-    scale = np.empty((length, n), np.float32)
-    now = seen[0] * model.first.astype(np.float32)
-    for t in range(length):
-        if t:
-            now = (alpha[t - 1] @ moves) * seen[t]
-        scale[t] = now.sum(1)
-        alpha[t] = now / scale[t][:, None]
-    beta = np.ones((n, moves.shape[0]), np.float32)
+    live = block.live.tolist()
+    begins = (np.cumsum(block.live) - block.live).tolist()
+    moves, first = model.moves.astype(np.float32), model.first.astype(np.float32)
+    back, ones = np.ascontiguousarray(moves.T), np.ones(len(first), np.float32)
+    seen = model.emits[block.symbols]
+    alpha, scale = np.empty_like(seen), np.empty(len(seen), np.float32)
+    before = 0
+    for a, n in zip(begins, live):
+        now = (alpha[before : before + n] @ moves if a else first) * seen[a : a + n]
+        total = np.matmul(now, ones, out=scale[a : a + n])
+        np.divide(now, total[:, None], out=alpha[a : a + n])
+        before = a
+    seen /= scale[:, None]
+    beta = np.ones_like(seen)
     counted = np.zeros(moves.shape)
-    inside = block >= 0
-    for t in range(length - 1, -1, -1):
-        gamma = alpha[t] * beta
-        if t:
-            right = seen[t] * beta / scale[t][:, None]
-            live = inside[t][:, None]
-            counted += (alpha[t - 1].T @ (right * live)) * moves
-            beta = right @ moves.T
-        alpha[t] = gamma
-    flat, weights = block.ravel(), alpha.reshape(-1, moves.shape[0])
-    inner = flat >= 0
-    flat = flat[inner]
-    for state in range(moves.shape[0]):
-        emitted[:, state] += np.bincount(flat, weights=weights[inner, state], minlength=len(emitted))
-    return alpha[0].sum(0).astype(float), counted, float(np.log(scale[inside]).sum())
+    for t in range(len(live) - 1, 0, -1):
+        a, n, before = begins[t], live[t], begins[t - 1]
+        right = seen[a : a + n] * beta[a : a + n]
+        counted += alpha[before : before + n].T @ right
+        np.matmul(right, back, out=beta[before : before + n])
+    alpha *= beta
+    alpha /= (alpha @ ones)[:, None]
+    for state in range(len(first)):
+        emitted[:, state] += np.bincount(block.symbols, weights=alpha[:, state], minlength=len(emitted))
+    return alpha[: live[0]].sum(0).astype(float), counted * moves, float(np.log(scale).sum(dtype=np.float64))
 
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:

@@ -71,6 +71,36 @@ def test_recursions_against_all_paths():
         assert got == pytest.approx(sum(p[number] / p[0] for p in paths), rel=1e-4)
 
 
+def test_long_texts_are_one_sequence():
+    """A text of several thousand tokens has one first state, and all its moves count."""
+    model, rng = a_model(), np.random.default_rng(1)
+    sequences = [rng.integers(0, 5, n) for n in (3000, 129, 1, 700, 128)]
+    first, moves, emits, score = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)), 0.0
+    for symbols in sequences:
+        alpha, beta = np.zeros((len(symbols), 3)), np.ones((len(symbols), 3))
+        for t, s in enumerate(symbols):
+            alpha[t] = (alpha[t - 1] @ model.moves if t else model.first) * model.emits[s]
+            score += math.log(alpha[t].sum())
+            alpha[t] /= alpha[t].sum()
+        for t in range(len(symbols) - 1, 0, -1):
+            right = model.emits[symbols[t]] * beta[t]
+            pair = alpha[t - 1][:, None] * model.moves * right
+            moves += pair / pair.sum()
+            beta[t - 1] = model.moves @ right
+            beta[t - 1] /= beta[t - 1].sum()
+        gamma = alpha * beta
+        gamma /= gamma.sum(1, keepdims=True)
+        first += gamma[0]
+        np.add.at(emits, symbols, gamma)
+    for size in (100, 1000, hidden_markov.PACKED):
+        emitted, found = np.zeros((5, 3)), [0, 0, 0]
+        for block in hidden_markov.segments(sequences, size):
+            found = [a + b for a, b in zip(found, hidden_markov.expected(model, block, emitted))]
+        for got, want in zip((*found, emitted), (first, moves, score, emits)):
+            assert got == pytest.approx(want, rel=1e-3)
+    assert list(hidden_markov.segments([])) == []
+
+
 def test_symbols_sum_to_one():
     model = a_model()
     total = sum(10 ** hidden_markov.log10_likelihoods(model, [np.array(s) for s in product(range(5), repeat=4)]))
