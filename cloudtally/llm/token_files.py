@@ -101,14 +101,13 @@ class Encoder:
     The vocabulary's split pattern always cuts before a single space between two characters that are not white space,
     so a text's ids are those of its pieces in turn. It also cuts where a run of letters ends, and around a line end
     between two such characters; a piece of one or two words goes to the model word by word, any other through the
-    whole tokenizer.
+    whole tokenizer, which gives the string of a special token in a text that token's id.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.letters = dict(enumerate(_byte_letters()))
         self.space = self.letters[32]
         self.tokenize = self.tokenizer.model.tokenize

@@ -42,6 +42,16 @@ def test_any_text(texts):
     assert encoded(texts) == plain(texts)
 
 
+def test_special_tokens_in_texts():
+    """As the library's plain call has them: one id each."""
+    mark = "<|endoftext|>"
+    texts = [mark, f"a {mark} b", f"word{mark}word", f"a\n{mark}", f"{mark}\nb c", f"a  {mark}  b", f"x,{mark}{mark}. y", f"\t{mark} é"]
+    plain_call = Tokenizer.from_file(PATH)
+    want = [plain_call.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [plain_call.token_to_id(mark)]
+    assert encoded(texts) == want
+
+
 def expected(docs):
     rows, start = [], 0
     ordered = sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
