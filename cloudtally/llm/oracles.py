@@ -150,3 +150,26 @@ SELECT docs.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(ws) AS contaminated
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_sum(list_transform(generate_series(1, len(a.e)), lambda i: a.e[i] * r.e[i])) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""

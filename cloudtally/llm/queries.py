@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cloudtally.llm import (
     chat_parts,
     fm_decontam,
+    hard_negatives,
     hidden_markov,
     line_runs,
     oracles,
@@ -118,6 +119,13 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mixed(_table(spark, sf_dir, "documents"), ["doc_id", "source"])
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives in the windows of each anchor's positives; anchors are the ids that 100 divides."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
@@ -129,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_decontam": op8_fm_decontam,
     "op9_hidden_markov": op9_hidden_markov,
     "op10_pfair_mix": op10_pfair_mix,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op2_rule_ledger": oracles.OP2,
@@ -136,4 +145,5 @@ ORACLES: dict[str, str] = {
     "op7_chat_parts": oracles.OP7,
     "op8_fm_decontam": oracles.OP8,
     "op10_pfair_mix": oracles.OP10,
+    "op12_hard_negatives": oracles.OP12,
 }
