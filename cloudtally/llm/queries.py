@@ -19,6 +19,7 @@ from cloudtally.llm import (
     rule_ledger,
     secret_scan,
     simhash_links,
+    spelling_variants,
     suffix_dedup,
     token_files,
 )
@@ -126,6 +127,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, of which some are damaged, with their forms and roots."""
+    docs = _table(spark, sf_dir, "documents")
+    return spelling_variants.variants(docs, damage=spelling_variants.DAMAGE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
@@ -138,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hidden_markov": op9_hidden_markov,
     "op10_pfair_mix": op10_pfair_mix,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {
     "op2_rule_ledger": oracles.OP2,
