@@ -22,6 +22,7 @@ from cloudtally.llm import (
     spelling_variants,
     suffix_dedup,
     token_files,
+    toxic_grammar,
 )
 from cloudtally.llm.common import shared_folder, written
 
@@ -120,6 +121,15 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mixed(_table(spark, sf_dir, "documents"), ["doc_id", "source"])
 
 
+def op11_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by a model of the labels outside of fold 0."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxic_grammar.learned(docs, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxic_grammar.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return toxic_grammar.scored(docs, model, ["doc_id"]).select("doc_id", held_out, "score", predicted)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Negatives in the windows of each anchor's positives; anchors are the ids that 100 divides."""
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -144,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_decontam": op8_fm_decontam,
     "op9_hidden_markov": op9_hidden_markov,
     "op10_pfair_mix": op10_pfair_mix,
+    "op11_toxic_grammar": op11_toxic_grammar,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
