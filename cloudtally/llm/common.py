@@ -1,4 +1,4 @@
-"""What the text operators share: the shared folder, written tables, bounded Arrow batches."""
+"""What the text operators share: the shared folder, written tables, rows with numbers, bounded Arrow batches."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that one Arrow batch holds at most; with texts of 100 KB that is 100 MB.
 BATCH_ROWS = 1000
@@ -35,6 +36,15 @@ def written(df: DataFrame, folder: str | None = None, partition_by: Iterable[str
     return spark.read.schema(schema).parquet(folder)
 
 
+def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``place``, a number of each row's own, and ``columns``, written once.
+
+    Rows that repeat an id, or have none, are told apart by it at every read: a number that a read works out anew
+    depends on how many cores the splits of that read are packed for.
+    """
+    return written(docs.select(F.monotonically_increasing_id().alias("place"), *columns))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small; texts have no upper length."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

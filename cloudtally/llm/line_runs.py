@@ -12,7 +12,7 @@ form one run. So a run of ``WINDOW`` lines or more goes exactly if each of its w
 place or several, in the same text or another.
 
 Texts of fewer lines than a window lose none. Null texts are empty. Rows that repeat an id, or have none (null comes
-first), are told apart by their place, so the table must read alike twice; repeated rows count as copies. Other columns
+first), are told apart by a number that is written with their texts; repeated rows count as copies. Other columns
 are not read. An empty table gives no rows. All of it is DataFrame code; a window that many texts share is a minimum
 that combines before the shuffle and a join that AQE splits.
 """
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import written
+from cloudtally.llm.common import numbered, written
 
 WINDOW = 3
 
@@ -62,9 +62,7 @@ def later_windows(rows: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_removed``, ``n_runs``, ``kept`` (the text that stays)."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("place"), F.col(doc_id).alias("id"), F.col(text).alias("text")
-    )
+    rows = numbered(docs, F.col(doc_id).alias("id"), F.col(text).alias("text"))
     later = later_windows(rows).groupBy("place").agg(F.collect_set("at").alias("ats"))
     both = _lines(rows.join(later, "place", "left"))
     covered = f"array_distinct(flatten(transform(coalesce(ats, array()), a -> sequence(a, a + {WINDOW - 1}))))"

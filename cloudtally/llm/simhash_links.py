@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import bytes_of, map_batches, written
+from cloudtally.llm.common import bytes_of, map_batches, numbered, written
 from cloudtally.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -138,11 +138,11 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest id (none: last; ties: the first read).
+    """``docs`` with one row of each group: that of the smallest id (none: last; ties: the first written).
 
-    Rows are told apart by their place in the table, so it must read alike twice, as a written one does.
+    Rows are told apart by a number that is written with them.
     """
-    placed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_place"))
+    placed = numbered(docs, F.struct("*").alias("row")).withColumnRenamed("place", "_place")
     flat = placed.select("_place", F.col(f"row.{doc_id}").alias("_id"), F.col(f"row.{text}").alias("_text"))
     rows, groups = linked(flat, ["_place", "_id"], "_text", words)
     order = F.struct(F.col("_id").isNull(), "_id", "_place")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import bounded_batches, bytes_of, map_batches, written
+from cloudtally.llm.common import bounded_batches, bytes_of, map_batches, numbered, written
 
 LENGTH = 400
 GRAM = 32
@@ -370,10 +370,13 @@ def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def deduplicated(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``keep``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the bytes that stay).
 
-    Documents are told apart by their place in the table, so it must read alike twice.
+    Documents are told apart by a number that is written with their texts. Kept columns of those four names fail.
     """
+    clash = {"n_bytes", "n_removed", "n_spans", "kept"}.intersection(c.lower() for c in keep)
+    if clash:
+        raise ValueError(f"kept columns with names of the result: {', '.join(sorted(clash))}")
     kept = [F.col(c).alias(f"k_{c}") for c in keep]
-    placed = docs.select(F.monotonically_increasing_id().alias("place"), *kept, F.col(text).alias("text"))
+    placed = numbered(docs, *kept, F.col(text).alias("text"))
     spans = repeated_spans(placed.select("place", "text"), shard_bytes)
     spans = written(spans.distinct().groupBy("place").agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
     rows = placed.join(spans, "place", "left").select("spans", "text", *[f"k_{c}" for c in keep])
