@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch holds at most; with texts of 100 KB that is 100 MB.
+#: Rows and bytes that one Arrow batch holds at most; a longer text is a batch of its own.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,10 +47,12 @@ def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small; texts have no upper length."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keep Arrow batches of whole texts small, for this session from now on: plans read the setting when they run."""
+    rows, size = (f"spark.sql.execution.arrow.{name}" for name in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if spark.conf.get(size) != f"{BATCH_BYTES}b":
+        spark.conf.set(size, f"{BATCH_BYTES}b")
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

@@ -42,9 +42,9 @@ ENCODINGS = {
     "dictionary": {"parquet.enable.dictionary": "true"},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
-#: Pieces whose ids a worker keeps, and the longest piece that it keeps.
-MEMO_PIECES = 800_000
-MEMO_BYTES = 64
+#: Bytes of pieces and ids that a worker keeps, and the longest piece that it keeps.
+MEMO_BYTES = 24 << 20
+MEMO_PIECE = 64
 JOINED_BYTES = 6 << 20
 
 #: White space other than space and line end: the ASCII bytes, and how all other such characters begin in UTF-8.
@@ -95,6 +95,37 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
+class Memo:
+    """Pieces and their ids as Arrow and numpy columns, of a bounded number of bytes."""
+
+    def __init__(self):
+        self.pieces = pa.array([], pa.string())
+        self.ids = np.zeros(0, "<u4")
+        self.ends = np.zeros(1, np.int64)
+
+    def ids_at(self, at: np.ndarray) -> list[bytes | None]:
+        """Ids of the pieces at these places; None where a place is negative."""
+        ends = self.ends
+        spans = zip(at.tolist(), ends[at].tolist(), ends[at + 1].tolist())
+        return [self.ids[a:b].tobytes() if i >= 0 else None for i, a, b in spans]
+
+    def add(self, pieces: pa.StringArray, ids: list[bytes]) -> None:
+        """More pieces; beyond the bound the new ones alone stay, which hold the frequent ones again before long."""
+        short = pc.less_equal(pc.binary_length(pieces), MEMO_PIECE)
+        some = [i for i, keep in zip(ids, short.to_pylist()) if keep]
+        sizes = np.fromiter(map(len, some), np.int64, len(some)) // 4
+        pieces, ids = pieces.filter(short), np.frombuffer(b"".join(some), "<u4")
+        if self.nbytes + pieces.nbytes + ids.nbytes > MEMO_BYTES:
+            self.__init__()
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    @property
+    def nbytes(self) -> int:
+        return self.pieces.nbytes + self.ids.nbytes + self.ends.nbytes
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, with a memo of pieces.
 
@@ -114,7 +145,7 @@ class Encoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.line_end = self._ids(["\n"])[0]
         self.marks: dict[str, bytes] = {"": b""}
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -125,13 +156,12 @@ class Encoder:
         word = word.encode().decode("latin-1").translate(self.letters)
         return b"".join([self.id_bytes[t.id] for t in self.tokenize(word)])
 
-    def _marked(self, word: str, before: str) -> bytes | None:
-        """Ids of a run of letters with marks after it; None if it is anything else."""
+    def _marked(self, word: str, before: str, known: bytes | None = None) -> bytes | None:
+        """Ids of a run of letters with marks after it; None if it is anything else. ``known``: ids of the letters."""
         letters = word.rstrip(_MARKS)
         mark = word[len(letters) :]
         if not letters.isalpha():
             return None
-        known = self.memo.get(letters.encode()) if mark and before else None
         ids = self.marks.get(mark)
         if ids is None:
             ids = self.marks[mark] = self._ids([mark])[0]
@@ -139,8 +169,11 @@ class Encoder:
                 self.marks = {"": b""}
         return (known or self._word(before + letters)) + ids
 
-    def _simple(self, piece: bytes) -> bytes | None:
-        """Ids of a piece of one word, or two on two lines, with the space before it; None if it is not."""
+    def _simple(self, piece: bytes, known: bytes | None) -> bytes | None:
+        """Ids of a piece of one word, or two on two lines, with the space before it; None if it is not.
+
+        ``known`` has the ids of the piece without the marks at its end.
+        """
         id_bytes, tokenize = self.id_bytes, self.tokenize
         if piece.isalpha():  # ASCII letters stand for themselves
             return b"".join([id_bytes[t.id] for t in tokenize(self.space + piece.decode())])
@@ -149,18 +182,21 @@ class Encoder:
             spelled = piece.decode("latin-1").translate(self.letters)
             return b"".join([id_bytes[t.id] for t in tokenize(self.space + spelled)])
         word, line_end, second = text.partition("\n")
-        ids = self._marked(word, " ")
+        ids = self._marked(word, " ", None if line_end else known)
         if not line_end or ids is None:
             return ids
         more = self._marked(second, "")
         return None if more is None else ids + self.line_end + more
 
-    def _learned(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Pieces and their ids, each with the space before it."""
-        simple = self._simple
-        out = {piece: simple(piece) for piece in pieces}
-        rest = [piece for piece, ids in out.items() if ids is None]
-        out.update(zip(rest, self._ids([" " + p.decode() for p in rest])))
+    def _learned(self, pieces: pa.StringArray) -> list[bytes]:
+        """Ids of pieces, each with the space before it."""
+        bare = pc.utf8_rtrim(pieces, characters=_MARKS)
+        at = pc.fill_null(pc.index_in(bare, value_set=self.memo.pieces), -1).to_numpy()
+        raw, simple = _all_bytes(pieces), self._simple
+        out = [simple(piece, known) for piece, known in zip(raw, self.memo.ids_at(at))]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._ids([" " + raw[i].decode() for i in rest])):
+            out[i] = ids
         return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,22 +210,30 @@ class Encoder:
         lists = pc.split_pattern(column.cast(pa.string()), " ")
         begins = lists.offsets.to_numpy()[:-1]
         pieces = lists.values.dictionary_encode()
-        which, distinct = pieces.indices.to_numpy().astype(np.int64), _all_bytes(pieces.dictionary)
-        heads = [distinct[i] if is_plain else text for i, text, is_plain in zip(which[begins].tolist(), texts, plain)]
+        which, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
+        first = _all_bytes(distinct.take(pieces.indices.take(pa.array(begins))))
+        heads = [piece if is_plain else text for piece, text, is_plain in zip(first, texts, plain)]
         which[begins] = len(distinct) + np.arange(len(texts))
         used = np.bincount(which, minlength=len(distinct))[: len(distinct)] > 0
 
-        known = list(map(self.memo.get, distinct))
-        learned = self._learned([p for p, ids, u in zip(distinct, known, used.tolist()) if u and ids is None])
-        self.memo.update((p, ids) for p, ids in learned.items() if len(p) <= MEMO_BYTES)
-        found = [learned.get(p, b"") if ids is None else ids for p, ids in zip(distinct, known)]
-        if len(self.memo) > MEMO_PIECES:  # keep what this batch has, and so what is frequent
-            self.memo = {p: ids for p, ids in zip(distinct, found) if ids and len(p) <= MEMO_BYTES}
-        found += self._ids([head.decode() for head in heads])
-
-        table = np.frombuffer(b"".join(found), "<u4")
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.memo.pieces), -1).to_numpy()
+        new = used & (at < 0)
+        fresh = distinct.filter(pa.array(new))
+        learned = self._learned(fresh)
+        kept, known = self.memo.ids, self.memo.ends
+        found = learned + self._ids([head.decode() for head in heads])
+        table = np.concatenate((kept, np.frombuffer(b"".join(found), "<u4")))
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        places = np.cumsum(sizes) - sizes
+        starts = len(kept) + np.cumsum(sizes) - sizes
+
+        # Where the ids of each distinct piece, then of each head, stand in the table; of a piece not used, nowhere.
+        places, counts = np.zeros((2, len(distinct) + len(texts)), np.int64)
+        old = np.flatnonzero(at >= 0)
+        places[old], counts[old] = known[at[old]], known[at[old] + 1] - known[at[old]]
+        own = np.concatenate((np.flatnonzero(new), len(distinct) + np.arange(len(texts))))
+        places[own], counts[own] = starts, sizes
+        self.memo.add(fresh, learned)
+        sizes = counts
         sizes, places = sizes[which], places[which]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -243,6 +287,7 @@ def encoded(
                 names=[*columns, "tokens", "n_tokens", "part", "part_offset"],
             )
             before += int(ends[-1])
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(over, f"{schema}, tokens array<int>, n_tokens long, part int, part_offset long")
 
