@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Parts that a run asks for a hot key to be split into, and so the copies made of a dimension row; none if unset.
 SPREAD_SETTING = "spark.cloudtally.lookup.spread"
@@ -28,8 +29,18 @@ def _pick_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick)
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one loaded last. ``order`` must rank the rows of a key without ties.
 
-    An aggregate rather than a window, so that many copies of one key are reduced before the shuffle.
+    An aggregate rather than a window, so that many copies of one key are reduced before the shuffle. If one number
+    gives the order (never null), a hash aggregate finds each key's last number from the keys alone, and only the rows
+    that have it are fetched; ``df`` is read twice and must read alike, as a written table does. Any other order is
+    found in one read, by an aggregate that sorts.
     """
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.NumericType):
+        present = df.filter(_all_present(keys))
+        last = present.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(order[0]).alias("_last"))
+        same = F.col(order[0]) == F.col("_last")
+        for key in keys:
+            same = same & (F.col(key) == F.col(f"_{key}"))
+        return present.join(last, same, "left_semi")
     return _pick_by_key(df, keys, order, F.max_by)
 
 

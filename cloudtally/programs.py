@@ -30,14 +30,13 @@ from cloudtally.plans.usage_reports import billing_usage_report_set, usage_repor
 from cloudtally.session import work_folder
 from cloudtally.sources.landing import (
     LOAD_ORDER,
-    compact,
     read_accounts,
     read_entity,
     read_in_load_order,
     read_latest,
-    read_months,
     read_part_descriptions,
 )
+from cloudtally.sources.store import compact, read_months
 from cloudtally.sources.snapshots import load_snapshot, new_run, save_snapshot, save_snapshot_by_month, write_reports
 
 

@@ -6,17 +6,17 @@ missing. ``load_order`` columns rank repeated records of a key (last one wins).
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cloudtally import schemas
-from cloudtally.functions import dates
 from cloudtally.functions.text import first_csv_column
 from cloudtally.operators.lookup import latest_by_key
+from cloudtally.session import work_folder
 
 ENTITIES: dict[str, str] = {
     "invoices": schemas.INVOICES,
@@ -45,6 +45,7 @@ ENTITIES: dict[str, str] = {
 }
 
 LOAD_ORDER = ["load_file", "load_offset", "load_row"]
+LOAD_PLACE = "load_place"
 
 
 def _pages(spark: SparkSession, folder: str, entity: str) -> DataFrame | None:
@@ -62,60 +63,50 @@ def read_entity(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     return spark.createDataFrame([], ENTITIES[entity]) if pages is None else pages
 
 
-def compact(spark: SparkSession, landing: str, store: str) -> None:
-    """Write the entities that grow by the month as Parquet under ``store``, in partitions by month.
+def load_order(pages: DataFrame) -> DataFrame:
+    """A read of page files with the load order of each record: file name, block offset, place in the task's share.
 
-    Usage goes by its month, invoices by the billing cycle of their date, items by that of their invoice. Landed JSON
-    is parsed once; reports of some months then read those alone.
+    The place holds for this one read. Name page files so that they sort in load order.
     """
-    for entity in ("account_usage", "instance_usage"):
-        _compacted(read_entity(spark, landing, entity), store, entity, "month")
-    created = dates.local_time(dates.required_instant(F.col("createDate")))
-    invoices = read_entity(spark, landing, "invoices").withColumn(CYCLE, dates.billing_month(created))
-    _compacted(invoices, store, "invoices", CYCLE)
-    cycles = spark.read.schema(invoices.schema).parquet(f"{store}/invoices").select(F.col("id").alias("_invoice"), CYCLE)
-    items = read_entity(spark, landing, "invoice_items")
-    cycles = cycles.groupBy("_invoice").agg(F.min(CYCLE).alias(CYCLE))
-    _compacted(items.join(cycles, F.col("invoiceId") == F.col("_invoice"), "left").drop("_invoice"), store, "invoice_items", CYCLE)
-
+    return pages.select(
+        *pages.columns,
+        F.col("_metadata.file_path").alias("load_file"),
+        F.col("_metadata.file_block_start").alias("load_offset"),
+        F.monotonically_increasing_id().alias("load_row"),
+    )
 
-CYCLE = "billing_cycle"
 
+def read_in_load_order(spark: SparkSession, folder: str, entity: str) -> DataFrame:
+    """The pages with the load order of each record."""
+    pages = _pages(spark, folder, entity)
+    if pages is None:
+        return spark.createDataFrame([], f"{ENTITIES[entity]}, load_file string, load_offset long, load_row long")
+    return load_order(pages)
 
-def _compacted(rows: DataFrame, store: str, entity: str, month: str) -> None:
-    rows = rows.hint("rebalance", F.col(month))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(month).parquet(f"{store}/{entity}")
 
+def with_load_place(rows: DataFrame) -> DataFrame:
+    """Adds the load order of a written table as one number (``load_place``): rank of the file's name, offset, place.
 
-def read_months(spark: SparkSession, store: str, entity: str, first: str, last: str) -> DataFrame:
-    """An entity that ``compact`` wrote, its partitions from month ``first`` to ``last`` alone."""
-    month = CYCLE if entity in ("invoices", "invoice_items") else "month"
-    schema = StructType.fromDDL(ENTITIES[entity])
-    if month not in schema.names:
-        schema = schema.add(month, "string")
-    rows = spark.read.schema(schema).parquet(f"{store}/{entity}").filter(F.col(month).between(first, last))
-    return rows.drop(CYCLE) if month == CYCLE else rows
+    The names go through the driver, as many as it lists for a read of the pages.
+    """
+    files = sorted(r[0] for r in rows.select("load_file").distinct().collect())
+    ranks = rows.sparkSession.createDataFrame(list(enumerate(files)), "_rank long, load_file string")
+    number = "decimal(38,0)"
+    place = F.col("_rank").cast(number) * F.lit(f"1{0:024}").cast("decimal(25,0)")
+    place = place + F.col("load_offset").cast(number) * F.lit(10**11).cast("decimal(12,0)") + F.col("load_row")
+    return rows.join(ranks, "load_file").withColumn(LOAD_PLACE, place.cast(number)).drop("_rank")
 
 
-def read_in_load_order(spark: SparkSession, folder: str, entity: str) -> DataFrame:
-    """The pages with the load order of each record: file name, block offset, place in the task's share.
+def read_latest(spark: SparkSession, folder: str, entity: str, key: str, staging: str | None = None) -> DataFrame:
+    """One record per key, the one landed last.
 
-    Name page files so that they sort in load order.
+    The pages are parsed once into ``staging`` (a folder of the work folder), as two reads follow: keys, then records.
     """
-    pages = _pages(spark, folder, entity)
-    if pages is None:
-        return spark.createDataFrame([], f"{ENTITIES[entity]}, load_file string, load_offset long, load_row long")
-    return pages.select(
-        *pages.columns,
-        F.col("_metadata.file_path").alias("load_file"),
-        F.col("_metadata.file_block_start").alias("load_offset"),
-        F.monotonically_increasing_id().alias("load_row"),
-    )
-
-
-def read_latest(spark: SparkSession, folder: str, entity: str, key: str) -> DataFrame:
-    """One record per key, the one landed last."""
-    return latest_by_key(read_in_load_order(spark, folder, entity), [key], LOAD_ORDER).drop(*LOAD_ORDER)
+    staging = staging or f"{work_folder(spark)}/cloudtally/latest-{uuid.uuid4().hex}"
+    pages = read_in_load_order(spark, folder, entity)
+    pages.write.parquet(f"{staging}/{entity}")
+    rows = spark.read.schema(pages.schema).parquet(f"{staging}/{entity}")
+    return latest_by_key(with_load_place(rows), [key], [LOAD_PLACE]).select(*[c for c in rows.columns if c not in LOAD_ORDER])
 
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:

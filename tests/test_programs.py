@@ -5,7 +5,7 @@ from test_invoice_pipeline import INVOICES, ITEMS, VOLUMES
 from test_usage_pipeline import METAL, RESOURCES, SERVERS, USAGE
 
 from cloudtally import programs
-from cloudtally.sources import landing
+from cloudtally.sources import store as store_module
 
 NOW = dt.datetime(2024, 3, 1, 12, 5)
 
@@ -68,7 +68,7 @@ def test_compacted_landing_gives_the_same_reports(spark, land, tmp_path):
     rows = [sorted(map(str, spark.read.parquet(p["VirtualServerSummary"]).collect())) for p in (plain, pruned)]
     assert rows[0] == rows[1]
     for entity, column in (("invoice_items", "billing_cycle"), ("instance_usage", "month")):
-        plan = landing.read_months(spark, store, entity, "2024-01", "2024-01")._jdf.queryExecution().executedPlan().toString()
+        plan = store_module.read_months(spark, store, entity, "2024-01", "2024-01")._jdf.queryExecution().executedPlan().toString()
         assert f"PartitionFilters: [isnotnull({column}" in plan
 
 
