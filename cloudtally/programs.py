@@ -2,7 +2,12 @@
 
 Each program writes its core table once into the shared work folder (partitioned by month where it has one) and
 builds all selected reports from that table, so that no report repeats the joins and a lost executor costs no more than
-the tasks it ran. Joined dimensions are written too: Spark then knows their size when it plans the lookups.
+the tasks it ran. Joined dimensions are written too: Spark then knows their size when it plans the lookups. These tables
+go when the program ends; with ``keep``, a folder, the core tables stay there as a saved run, and with ``saved``, the
+folder of such a run, a program reads them instead of the landing and reports on the months that they hold.
+
+With ``store``, a folder that ``compact_landing`` fills, a program reads only the partitions of its months from there, and
+the dimensions that are kept there; ``RunInfo`` then tells how many landed lines of each entity were rejected.
 """
 
 from __future__ import annotations
@@ -27,7 +32,6 @@ from cloudtally.plans import inventory, storage, usage
 from cloudtally.plans.invoice_lines import invoice_lines
 from cloudtally.plans.invoice_reports import invoice_report_set
 from cloudtally.plans.usage_reports import billing_usage_report_set, usage_report_set
-from cloudtally.session import work_folder
 from cloudtally.sources.landing import (
     LOAD_ORDER,
     read_accounts,
@@ -36,23 +40,14 @@ from cloudtally.sources.landing import (
     read_latest,
     read_part_descriptions,
 )
-from cloudtally.sources.store import compact, read_months
-from cloudtally.sources.snapshots import load_snapshot, new_run, save_snapshot, save_snapshot_by_month, write_reports
+from cloudtally.sources.runs import Run, program_run, sweep
+from cloudtally.sources.snapshots import new_run, write_reports
+from cloudtally.sources.store import Compacted, compact, has_dimension, read_dimension, read_months, rejected_lines
 
 
 SERVER_REPORT = "ServerReport"
 
 
-def _saved(df: DataFrame, name: str, run: str, month: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    folder = f"{work_folder(spark)}/cloudtally/{run}"
-    if month:
-        save_snapshot_by_month(df, folder, name, month)
-    else:
-        save_snapshot(df, folder, name)
-    return load_snapshot(spark, folder, name, df.schema)
-
-
 def _billing_day(now: dt.datetime) -> dt.date:
     """The day of ``now`` (UTC unless it says otherwise) where billing takes place."""
     at = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
@@ -63,15 +58,44 @@ def _asked(start: str | None, end: str | None, default: tuple[str, str]) -> tupl
     return start or default[0], end or default[1]
 
 
-def compact_landing(spark: SparkSession, landing: str, store: str) -> None:
-    """Landed invoices and usage as Parquet by month, for the programs' ``store``."""
-    compact(spark, landing, store)
+def compact_landing(
+    spark: SparkSession, landing: str, store: str, max_rejects: int = 0, dimensions: bool = False
+) -> dict[str, Compacted]:
+    """Take landed pages that are new into the programs' ``store``: invoices and usage by month, and with
+    ``dimensions`` the entities with a key. Up to ``max_rejects`` lines of an entity may be left out as unreadable."""
+    sweep(spark)
+    return compact(spark, landing, store, max_rejects, dimensions)
 
 
 def _by_month(spark: SparkSession, landing: str, store: str | None, entity: str, first: str, last: str) -> DataFrame:
     return read_months(spark, store, entity, first, last) if store else read_entity(spark, landing, entity)
 
 
+class _Dimensions:
+    """Keyed entities: from the store where it has them, else from all landed pages."""
+
+    def __init__(self, run: Run, landing: str, store: str | None):
+        self.run, self.landing, self.store = run, landing, store
+
+    def _kept(self, entity: str) -> bool:
+        return bool(self.store) and has_dimension(self.run.spark, self.store, entity)
+
+    def latest(self, entity: str, key: str) -> DataFrame:
+        if self._kept(entity):
+            return read_dimension(self.run.spark, self.store, entity)
+        return read_latest(self.run.spark, self.landing, entity, key, f"{self.run.staging}/latest")
+
+    def in_load_order(self, entity: str) -> DataFrame:
+        """Of a kept entity the latest records alone, which is all that the order decides."""
+        if self._kept(entity):
+            return read_dimension(self.run.spark, self.store, entity, load_columns=True)
+        return read_in_load_order(self.run.spark, self.landing, entity)
+
+
+def _rejected(spark: SparkSession, store: str | None, entities: Iterable[str]) -> dict[str, int] | None:
+    return {e: rejected_lines(spark, store, e) for e in entities} if store else None
+
+
 def _report_months(saved: DataFrame, column: str, start: str, end: str) -> list[str]:
     """The months asked for and any other the table holds: an invoice at the very end of the window bills one month
     later. A table holds at most one month more than its window, and the column is its partition column."""
@@ -94,6 +118,8 @@ def invoice_analysis(
     parents_only: bool = False,
     months: int = 1,
     store: str | None = None,
+    keep: str | None = None,
+    saved: str | None = None,
 ) -> dict[str, str]:
     """Invoice reports for the billing cycles ``start`` .. ``end`` (``YYYY-MM``).
 
@@ -101,25 +127,30 @@ def invoice_analysis(
     of ``invoice_lines``. With ``store``, a folder that ``compact_landing`` wrote, only these months are read (and the
     one after, in which an invoice at the very end of the window falls).
     """
-    run = new_run(now)
+    name = new_run(now)
     start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
-    volumes = read_entity(spark, landing, "network_storage") if storage_notes else None
-    cycles = start, add_month_text(end, 1)
-    lines = invoice_lines(
-        _by_month(spark, landing, store, "invoices", *cycles),
-        _by_month(spark, landing, store, "invoice_items", *cycles),
-        volumes, start, end,
-        child_one_time, not parents_only,
-    )
-    saved = _saved(lines, "invoice_lines", run, "billing_month")
-    built = invoice_report_set(
-        saved,
-        read_part_descriptions(spark, part_file),
-        _report_months(saved, "billing_month", start, end),
-        read_entity(spark, landing, "account"),
-        read_entity(spark, landing, "classic_users"),
-    )
-    return write_reports(built, output, now, reports, file_format, run)
+    with program_run(spark, "invoice_analysis", name, keep, saved, start=start, end=end) as run:
+        start, end = run.facts["start"], run.facts["end"]
+        cycles = start, add_month_text(end, 1)
+
+        def built_lines() -> DataFrame:
+            return invoice_lines(
+                _by_month(spark, landing, store, "invoices", *cycles),
+                _by_month(spark, landing, store, "invoice_items", *cycles),
+                read_entity(spark, landing, "network_storage") if storage_notes else None,
+                start, end, child_one_time, not parents_only,
+            )
+
+        lines = run.table("invoice_lines", built_lines, "billing_month")
+        built = invoice_report_set(
+            lines,
+            run.table("part_descriptions", lambda: read_part_descriptions(spark, part_file)),
+            _report_months(lines, "billing_month", start, end),
+            run.table("account", lambda: read_entity(spark, landing, "account")),
+            run.table("classic_users", lambda: read_entity(spark, landing, "classic_users")),
+        )
+        rejected = _rejected(spark, store, ("invoices", "invoice_items"))
+        return write_reports(built, output, now, reports, file_format, name, rejected)
 
 
 def invoice_usage(
@@ -133,23 +164,29 @@ def invoice_usage(
     file_format: str = "parquet",
     months: int = 1,
     store: str | None = None,
+    keep: str | None = None,
+    saved: str | None = None,
 ) -> dict[str, str]:
     """Usage behind the invoices of the cycles ``start`` .. ``end``: it took place two months earlier."""
-    run = new_run(now)
+    name = new_run(now)
     start, end = _asked(start, end, default_invoice_months(_billing_day(now), months))
     months = month_list(*usage_months_for_invoices(start, end))
-    wanted = F.col("month").isin(months)
-    account = usage.account_usage(_by_month(spark, landing, store, "account_usage", months[0], months[-1]).filter(wanted))
-    account = _saved(account, "account_usage", run, "month")
-    instances = usage.metric_rows(
-        usage.billing_instances(
-            _by_month(spark, landing, store, "instance_usage", months[0], months[-1]).filter(wanted),
-            read_latest(spark, landing, "resources", "crn"),
-            read_latest(spark, landing, "tags", "crn"),
-        )
-    )
-    built = billing_usage_report_set(account, _saved(instances, "billing_instances", run, "month"), months)
-    return write_reports(built, output, now, reports, file_format, run)
+    with program_run(spark, "invoice_usage", name, keep, saved, months=months) as run:
+        months = run.facts["months"]
+        wanted = F.col("month").isin(months)
+        dimensions = _Dimensions(run, landing, store)
+
+        def usage_of(entity: str) -> DataFrame:
+            return _by_month(spark, landing, store, entity, months[0], months[-1]).filter(wanted)
+
+        def built_instances() -> DataFrame:
+            resources, tags = dimensions.latest("resources", "crn"), dimensions.latest("tags", "crn")
+            return usage.metric_rows(usage.billing_instances(usage_of("instance_usage"), resources, tags))
+
+        account = run.table("account_usage", lambda: usage.account_usage(usage_of("account_usage")), "month")
+        built = billing_usage_report_set(account, run.table("billing_instances", built_instances, "month"), months)
+        rejected = _rejected(spark, store, ("account_usage", "instance_usage"))
+        return write_reports(built, output, now, reports, file_format, name, rejected)
 
 
 def usage_report(
@@ -163,49 +200,61 @@ def usage_report(
     file_format: str = "parquet",
     months: int = 1,
     store: str | None = None,
+    keep: str | None = None,
+    saved: str | None = None,
 ) -> dict[str, str]:
     """Account and instance usage reports for the months ``start`` .. ``end``; without them the last ``months``."""
-    run = new_run(now)
+    name = new_run(now)
     months = month_list(*_asked(start, end, default_usage_months(_billing_day(now), months)))
-    wanted = F.col("month").isin(months)
-    ordered_roles = read_in_load_order(spark, landing, "user_roles").withColumn("place", F.struct(*LOAD_ORDER))
-    users = usage.cloud_users(read_latest(spark, landing, "cloud_users", "iam_id"), ordered_roles, "place")
-    users = _saved(users, "users", run)
-    servers = latest_by_key(
-        usage.union_servers(
-            read_in_load_order(spark, landing, "virtual_servers"),
-            read_in_load_order(spark, landing, "bare_metal_servers"),
-        ),
-        ["crn"],
-        ["bare_metal", *LOAD_ORDER],
-    ).drop(*LOAD_ORDER)
-    dimension = usage.instance_dimension(
-        read_latest(spark, landing, "resources", "crn"),
-        read_latest(spark, landing, "tags", "crn"),
-        users,
-        servers,
-        read_latest(spark, landing, "images", "id"),
-        read_latest(spark, landing, "initializations", "id"),
-    )
-    clusters = usage.named_clusters(
-        read_latest(spark, landing, "clusters", "id"), read_latest(spark, landing, "vpcs", "id")
-    )
-    clusters = _saved(clusters, "clusters", run)
-    workers = usage.named_workers(
-        read_latest(spark, landing, "workers", "id"), clusters, read_latest(spark, landing, "subnets", "id")
-    )
-    instances = usage.metric_rows(
-        usage.enriched_instances(
-            _by_month(spark, landing, store, "instance_usage", months[0], months[-1]).filter(wanted),
-            _saved(dimension, "instance_dimension", run),
-            clusters,
-            _saved(workers, "workers", run),
-        )
-    )
-    account = usage.account_usage(_by_month(spark, landing, store, "account_usage", months[0], months[-1]).filter(wanted))
-    account = _saved(account, "account_usage", run, "month")
-    built = usage_report_set(account, _saved(instances, "instances", run, "month"), months, users)
-    return write_reports(built, output, now, reports, file_format, run)
+    with program_run(spark, "usage_report", name, keep, saved, months=months) as run:
+        months = run.facts["months"]
+        wanted = F.col("month").isin(months)
+        dimensions = _Dimensions(run, landing, store)
+
+        def usage_of(entity: str) -> DataFrame:
+            return _by_month(spark, landing, store, entity, months[0], months[-1]).filter(wanted)
+
+        def built_users() -> DataFrame:
+            roles = read_in_load_order(spark, landing, "user_roles").withColumn("place", F.struct(*LOAD_ORDER))
+            return usage.cloud_users(dimensions.latest("cloud_users", "iam_id"), roles, "place")
+
+        def built_instances() -> DataFrame:
+            servers = latest_by_key(
+                usage.union_servers(
+                    dimensions.in_load_order("virtual_servers"), dimensions.in_load_order("bare_metal_servers")
+                ),
+                ["crn"],
+                ["bare_metal", *LOAD_ORDER],
+            ).drop(*LOAD_ORDER)
+            dimension = usage.instance_dimension(
+                dimensions.latest("resources", "crn"),
+                dimensions.latest("tags", "crn"),
+                users,
+                servers,
+                dimensions.latest("images", "id"),
+                dimensions.latest("initializations", "id"),
+            )
+            named = usage.named_clusters(dimensions.latest("clusters", "id"), dimensions.latest("vpcs", "id"))
+            clusters = run.table("clusters", lambda: named)
+            return usage.metric_rows(
+                usage.enriched_instances(
+                    usage_of("instance_usage"),
+                    run.table("instance_dimension", lambda: dimension),
+                    clusters,
+                    run.table(
+                        "workers",
+                        lambda: usage.named_workers(
+                            dimensions.latest("workers", "id"), clusters, dimensions.latest("subnets", "id")
+                        ),
+                    ),
+                )
+            )
+
+        users = run.table("users", built_users)
+        account = run.table("account_usage", lambda: usage.account_usage(usage_of("account_usage")), "month")
+        built = usage_report_set(account, run.table("instances", built_instances, "month"), months, users)
+        rejected = _rejected(spark, store, ("account_usage", "instance_usage"))
+        return write_reports(built, output, now, reports, file_format, name, rejected)
 
 
 def hardware_inventory(
@@ -215,31 +264,40 @@ def hardware_inventory(
     now: dt.datetime,
     reports: Iterable[str] | None = None,
     file_format: str = "parquet",
+    store: str | None = None,
+    keep: str | None = None,
+    saved: str | None = None,
 ) -> dict[str, str]:
     """Inventory tables and counts, and the server report as text files that read on from one to the next."""
-    run = new_run(now)
-    hardware = _saved(read_latest(spark, landing, "hardware", "id"), "hardware", run)
-    trunks = _saved(read_entity(spark, landing, "trunks"), "trunks", run)
-    built = inventory.inventory_report_set(hardware, trunks)
-    wanted = [*built, SERVER_REPORT] if reports is None else list(reports)
-    paths = write_reports(built, output, now, [r for r in wanted if r != SERVER_REPORT], file_format, run)
-    if SERVER_REPORT in wanted:
-        lines = inventory.server_report(hardware, trunks, read_latest(spark, landing, "allowed_storage", "id"))
-        text = {SERVER_REPORT: lambda: lines.orderBy("id", "section", "line").select("value")}
-        paths |= write_reports(text, output, now, file_format="text", run=run)
-    return paths
+    name = new_run(now)
+    with program_run(spark, "hardware_inventory", name, keep, saved) as run:
+        dimensions = _Dimensions(run, landing, store)
+        hardware = run.table("hardware", lambda: dimensions.latest("hardware", "id"))
+        trunks = run.table("trunks", lambda: read_entity(spark, landing, "trunks"))
+        built = inventory.inventory_report_set(hardware, trunks)
+        wanted = [*built, SERVER_REPORT] if reports is None else list(reports)
+        paths = write_reports(built, output, now, [r for r in wanted if r != SERVER_REPORT], file_format, name)
+        if keep or SERVER_REPORT in wanted:
+            allowed = run.table("allowed_storage", lambda: dimensions.latest("allowed_storage", "id"))
+        if SERVER_REPORT in wanted:
+            lines = inventory.server_report(hardware, trunks, allowed)
+            text = {SERVER_REPORT: lambda: lines.orderBy("id", "section", "line").select("value")}
+            paths |= write_reports(text, output, now, file_format="text", run=name)
+        return paths
 
 
 def account_storage(
-    spark: SparkSession, landing: str, account_file: str, output: str, now: dt.datetime
+    spark: SparkSession, landing: str, account_file: str, output: str, now: dt.datetime, store: str | None = None
 ) -> dict[str, str]:
     """Storage of each listed account as JSON records, and a summary of the accounts that failed."""
-    run = new_run(now)
-    accounts = read_accounts(spark, account_file)
-    errors = read_entity(spark, landing, "fetch_errors")
-    allowed = _saved(read_latest(spark, landing, "allowed_storage", "id"), "allowed_storage", run)
-    built = {
-        "HardwareStorage": lambda: storage.account_records(accounts, allowed, errors),
-        "AccountSummary": lambda: storage.account_summary(accounts, errors),
-    }
-    return write_reports(built, output, now, file_format="json", run=run)
+    name = new_run(now)
+    with program_run(spark, "account_storage", name) as run:
+        dimensions = _Dimensions(run, landing, store)
+        accounts = read_accounts(spark, account_file)
+        errors = read_entity(spark, landing, "fetch_errors")
+        allowed = run.table("allowed_storage", lambda: dimensions.latest("allowed_storage", "id"))
+        built = {
+            "HardwareStorage": lambda: storage.account_records(accounts, allowed, errors),
+            "AccountSummary": lambda: storage.account_summary(accounts, errors),
+        }
+        return write_reports(built, output, now, file_format="json", run=name)

@@ -56,11 +56,12 @@ def write_reports(
     selected: Iterable[str] | None = None,
     file_format: str = "parquet",
     run: str | None = None,
+    rejected: Mapping[str, int] | None = None,
 ) -> dict[str, str]:
     """Write each selected report as its own dataset under ``<folder>/<report>/run_ts=<run>``.
 
     A report that is not selected is never built. Pivots are written in key order, totals last. The run's as-of text
-    goes to the dataset ``RunInfo`` next to them, with the paths.
+    goes to the dataset ``RunInfo`` next to them, with the paths, and with the ``rejected`` landed lines by entity.
     """
     run = run or new_run(now)
     names = list(reports) if selected is None else list(selected)
@@ -77,7 +78,8 @@ def write_reports(
         writer.format(file_format).save(path)
         paths[name] = path
     if paths:
-        rows = [(name, path, as_of_text(now)) for name, path in paths.items()]
-        info = report.sparkSession.createDataFrame(rows, "report string, path string, as_of string")
+        rows = [(name, path, as_of_text(now), rejected) for name, path in paths.items()]
+        schema = "report string, path string, as_of string, rejected map<string,long>"
+        info = report.sparkSession.createDataFrame(rows, schema)
         info.coalesce(1).write.mode("append").json(f"{folder}/RunInfo/run_ts={run}")
     return paths

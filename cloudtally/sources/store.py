@@ -21,7 +21,6 @@ A page counts as taken in when its ledger row says ``done``, written last. One c
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -32,9 +31,9 @@ from pyspark.sql.types import StructType
 
 from cloudtally.functions import dates
 from cloudtally.operators.lookup import latest_by_key
-from cloudtally.session import work_folder
 from cloudtally.sources import folders
 from cloudtally.sources.landing import ENTITIES, LOAD_ORDER, LOAD_PLACE, load_order, with_load_place
+from cloudtally.sources.runs import leased
 
 CYCLE = "billing_cycle"
 #: Entities that grow by the month, and the column of their month.
@@ -100,6 +99,11 @@ def rejects(spark: SparkSession, store: str, entity: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder).join(known, ["load_file", "batch"], "left_semi").drop("batch")
 
 
+def rejected_lines(spark: SparkSession, store: str, entity: str) -> int:
+    """How many lines of an entity's pages are not in the store."""
+    return ledger(spark, store, entity).filter("state != 'begun'").agg(F.sum("rejects")).first()[0] or 0
+
+
 def _landed(spark: SparkSession, landing: str, entity: str) -> DataFrame:
     """``page`` (as rows name it), ``path``, ``length``, ``modified`` of all landed pages; no page is opened."""
     columns = ["page string", "path string", "length long", "modified timestamp"]
@@ -127,8 +131,8 @@ def _parsed(spark: SparkSession, landing: str, entity: str, paths: Sequence[str]
 class _Batch:
     """The new pages of an entity, parsed once into the work folder, and their way into the store."""
 
-    def __init__(self, spark: SparkSession, landing: str, store: str, entity: str, every: bool = False):
-        self.spark, self.store, self.entity = spark, store, entity
+    def __init__(self, spark: SparkSession, landing: str, store: str, entity: str, folder: str, every: bool = False):
+        self.spark, self.store, self.entity, self.folder = spark, store, entity, folder
         self.known = ledger(spark, store, entity)
         # The paths of pages that are new since the last compaction: Spark's own listing of a read holds them too.
         listed = _landed(spark, landing, entity)
@@ -136,7 +140,6 @@ class _Batch:
         fresh = listed if every else listed.join(done, ["page", "length", "modified"], "left_anti")
         self.pages = fresh.collect()
         self.number = (self.known.agg(F.max("batch")).first()[0] or 0) + 1
-        self.folder = f"{work_folder(spark)}/cloudtally/compaction-{uuid.uuid4().hex}"
         if self.pages:
             self.fresh = spark.createDataFrame([p.asDict() for p in self.pages], fresh.schema)
             self.old = self.known.join(self.fresh.select("page"), "page", "left_semi").collect()
@@ -183,9 +186,6 @@ class _Batch:
             F.coalesce("months", F.array().cast("array<string>")).alias("months"),
         ).coalesce(1).write.mode("append").parquet(f"{self.store}/_ledger/{self.entity}")
 
-    def close(self) -> None:
-        folders.delete(self.spark, self.folder)
-
 
 def _with_cycle(rows: DataFrame) -> DataFrame:
     created = dates.local_time(dates.required_instant(F.col("createDate")))
@@ -240,27 +240,24 @@ def _add_months(batch: _Batch, month: str, place: Callable[[DataFrame], DataFram
 
 def add_months(spark: SparkSession, landing: str, store: str, entity: str, max_rejects: int = 0) -> Compacted:
     """Take new pages of an entity that grows by the month into its months. Invoices go before their items."""
-    batch = _Batch(spark, landing, store, entity)
-    try:
+    with leased(spark, "compaction") as folder:
+        batch = _Batch(spark, landing, store, entity, folder)
         if not batch.pages:
             return Compacted(entity, 0)
         items = entity == "invoice_items"
         place = _by_invoice(spark, store) if items else _with_cycle if entity == "invoices" else (lambda rows: rows)
         return _add_months(batch, MONTHLY[entity], place, max_rejects, items)
-    finally:
-        batch.close()
 
 
 def merge_dimension(spark: SparkSession, landing: str, store: str, entity: str, max_rejects: int = 0) -> Compacted:
     """Merge new pages of an entity with a key into a new version of it; the one before goes when it is written."""
-    batch = _Batch(spark, landing, store, entity)
-    try:
+    with leased(spark, "compaction") as folder:
+        batch = _Batch(spark, landing, store, entity, f"{folder}/new")
         if not batch.pages:
             return Compacted(entity, 0)
         changed = any(page.state == "done" for page in batch.old)
         if changed:
-            batch.close()
-            batch = _Batch(spark, landing, store, entity, every=True)
+            batch = _Batch(spark, landing, store, entity, f"{folder}/all", every=True)
         bad, rows = batch.refuse(max_rejects), batch.records
         now, path = _version(spark, store, entity), f"{store}/{entity}"
         if now and not changed:
@@ -272,8 +269,6 @@ def merge_dimension(spark: SparkSession, landing: str, store: str, entity: str,
             if name.startswith("version=") and int(name.partition("=")[2]) < now:
                 folders.delete(spark, f"{path}/{name}")
         return Compacted(entity, len(batch.pages), batch.records.count(), bad)
-    finally:
-        batch.close()
 
 
 def _version(spark: SparkSession, store: str, entity: str) -> int:
@@ -281,6 +276,11 @@ def _version(spark: SparkSession, store: str, entity: str) -> int:
     return ledger(spark, store, entity).filter("state = 'done'").agg(F.max("batch")).first()[0] or 0
 
 
+def has_dimension(spark: SparkSession, store: str, entity: str) -> bool:
+    """Whether the store keeps a version of an entity."""
+    return _version(spark, store, entity) > 0
+
+
 def read_dimension(spark: SparkSession, store: str, entity: str, load_columns: bool = False) -> DataFrame:
     """One record per key, the one landed last; ``load_columns`` adds where it came from."""
     schema = StructType.fromDDL(ENTITIES[entity])

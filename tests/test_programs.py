@@ -1,10 +1,12 @@
 import datetime as dt
 
+import pytest
 from test_inventory_pipeline import BARE, FULL, TRUNKS, storage_record
 from test_invoice_pipeline import INVOICES, ITEMS, VOLUMES
 from test_usage_pipeline import METAL, RESOURCES, SERVERS, USAGE
 
 from cloudtally import programs
+from cloudtally.sources import runs
 from cloudtally.sources import store as store_module
 
 NOW = dt.datetime(2024, 3, 1, 12, 5)
@@ -106,3 +108,95 @@ def test_inventory_programs(spark, land, tmp_path):
     stored = {r.accountId: r for r in spark.read.json(f"{output}/HardwareStorage").collect()}
     assert stored["a1"].hardwareId == 1 and stored["a2"].hardwareId is None
     assert spark.read.json(f"{output}/AccountSummary").first().total == 2
+
+
+def kept_files(folder):
+    return sorted(p.name for p in folder.rglob("*") if p.is_file()) if folder.exists() else []
+
+
+def report_rows(spark, paths):
+    return {name: sorted(map(str, spark.read.parquet(path).collect())) for name, path in paths.items()}
+
+
+def test_reports_from_a_saved_run(spark, land, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "work_folder", lambda _: str(tmp_path / "work"))
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    land("account", [{"id": 1, "companyName": "co"}])
+    land("instance_usage", USAGE)
+    land("resources", RESOURCES)
+    land("hardware", [BARE, FULL])
+    out, keep, nowhere = str(tmp_path / "out"), str(tmp_path / "keep"), str(tmp_path / "nowhere")
+    calls = {
+        programs.invoice_analysis: ("2024-01", "2024-02"),
+        programs.usage_report: ("2024-01", "2024-02"),
+        programs.invoice_usage: ("2024-03", "2024-04"),
+    }
+    for program, months in calls.items():
+        first = program(spark, folder, out, *months, NOW, keep=f"{keep}/{program.__name__}")
+        (saved,) = runs.saved_runs(spark, f"{keep}/{program.__name__}")
+        second = program(spark, nowhere, out, None, None, NOW, saved=saved)
+        assert first.keys() == second.keys() and len(first) >= 3
+        assert report_rows(spark, first) == report_rows(spark, second)
+    names = ["HW_Detail", "ProcessorPivot"]
+    first = programs.hardware_inventory(spark, folder, out, NOW, names, keep=f"{keep}/hardware")
+    (saved,) = runs.saved_runs(spark, f"{keep}/hardware")
+    assert report_rows(spark, first) == report_rows(
+        spark, programs.hardware_inventory(spark, nowhere, out, NOW, names, saved=saved)
+    )
+    assert kept_files(tmp_path / "work") == []
+    with pytest.raises(runs.NoSavedRun, match="not of usage_report"):
+        programs.usage_report(spark, nowhere, out, None, None, NOW, saved=saved)
+    with pytest.raises(runs.NoSavedRun, match="no manifest"):
+        programs.usage_report(spark, nowhere, out, None, None, NOW, saved=out)
+    rows = spark.read.parquet(f"{saved}/hardware")
+    rows.limit(1).write.mode("append").parquet(f"{saved}/hardware")
+    with pytest.raises(runs.NoSavedRun, match="3 rows, not 2"):
+        programs.hardware_inventory(spark, nowhere, out, NOW, names, saved=saved)
+
+
+def test_nothing_is_left_of_a_run_and_other_runs_are_untouched(spark, land, tmp_path, monkeypatch):
+    work = tmp_path / "work"
+    monkeypatch.setattr(runs, "work_folder", lambda _: str(work))
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    with runs.leased(spark, "other") as other:
+        spark.range(3).write.parquet(f"{other}/table")
+        before = kept_files(work)
+        programs.invoice_analysis(spark, folder, str(tmp_path / "out"), "2024-01", "2024-02", NOW, ["Detail"])
+        with pytest.raises(ValueError, match="unknown"):
+            programs.invoice_analysis(spark, folder, str(tmp_path / "out"), "2024-01", "2024-02", NOW, ["Nothing"])
+        assert kept_files(work) == before
+    assert kept_files(work) == []
+
+
+def test_sweep(spark, tmp_path, monkeypatch):
+    work = tmp_path / "work"
+    monkeypatch.setattr(runs, "work_folder", lambda _: str(work))
+    root = work / "cloudtally"
+    for name in ("alive", "dead", "unknown"):
+        spark.range(3).write.parquet(str(root / name / "table"))
+    runs.renew(spark, str(root / "alive"))
+    plain = runs._clock
+    monkeypatch.setattr(runs, "_clock", lambda: plain() - 2 * runs.LEASE)
+    runs.renew(spark, str(root / "dead"))
+    monkeypatch.setattr(runs, "_clock", plain)
+    assert runs.sweep(spark) == ["dead"]
+    assert sorted(p.name for p in root.iterdir()) == ["alive", "unknown"]
+
+
+def test_store_with_dimensions_and_rejects(spark, land, tmp_path):
+    folder, store = land("instance_usage", USAGE), str(tmp_path / "store")
+    land("resources", RESOURCES)
+    land("virtual_servers", SERVERS)
+    land("bare_metal_servers", METAL)
+    (tmp_path / "landing" / "instance_usage" / "torn.json").write_text('{"month": "2024-01", "usa')
+    found = programs.compact_landing(spark, folder, store, max_rejects=1, dimensions=True)
+    assert found["instance_usage"].rejects == 1 and found["resources"].pages == 1
+    (tmp_path / "landing" / "instance_usage" / "torn.json").unlink()
+    names = ["Instances_Detail", "VirtualServerSummary", "BMServerSummary"]
+    plain = programs.usage_report(spark, folder, str(tmp_path / "a"), "2024-01", "2024-02", NOW, names)
+    stored = programs.usage_report(spark, folder, str(tmp_path / "b"), "2024-01", "2024-02", NOW, names, store=store)
+    assert report_rows(spark, plain) == report_rows(spark, stored)
+    info = spark.read.json(str(tmp_path / "b" / "RunInfo")).first()
+    assert info.rejected.instance_usage == 1 and info.rejected.account_usage == 0
