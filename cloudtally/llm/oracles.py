@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cloudtally.llm import pfair_mix
+from cloudtally.llm import pfair_mix, rule_ledger
 
 OP7 = r"""
 WITH m AS (
@@ -24,44 +24,43 @@ FROM t GROUP BY conv_id
 """
 
 OP10 = f"""
-WITH RECURSIVE c AS (
-  SELECT CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key, count(*) AS n FROM documents GROUP BY 1
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key,
+    row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS number
+  FROM documents
+), b AS (
+  SELECT *, number // {pfair_mix.BLOCK_DOCS} AS block, number % {pfair_mix.BLOCK_DOCS} AS place FROM d
 ), s AS (
-  SELECT key, sqrt(n) AS w, row_number() OVER (ORDER BY key) - 1 AS i FROM c
-), p AS (
-  SELECT greatest({pfair_mix.PERIOD}, 2 * count(*)) AS period, count(*) AS k, sum(w) AS total FROM s
-), sh AS (
-  SELECT key, i, period, k, w / total * (period - k) AS share FROM s, p
-), u AS (
-  SELECT key, i, period, 1 + CAST(floor(share) AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY floor(share) - share, i)
-    <= (SELECT max(period - k) - sum(floor(share)) FROM sh) THEN 1 ELSE 0 END AS u
-  FROM sh
+  SELECT key, sqrt(count(*)) AS w, max(block) + 1 AS blocks, row_number() OVER (ORDER BY key) - 1 AS i FROM b GROUP BY key
+), f AS (
+  SELECT key, i, blocks, CAST(round(w / (SELECT max(w) FROM s) * {pfair_mix.FINE}) AS BIGINT) AS fine FROM s
+), g AS (
+  SELECT key, i, blocks, greatest(fine, (SELECT CAST(sum(fine) AS BIGINT) FROM f) // {pfair_mix.PERIOD} + 1) AS fine FROM f
 ), a AS (
-  SELECT list(u ORDER BY i) AS us, max(period) AS period FROM u
+  SELECT list(fine ORDER BY i) AS us, CAST(sum(fine) AS BIGINT) AS total FROM g
+), h AS (
+  SELECT least(max((blocks * total + fine - 1) // fine),
+    greatest({pfair_mix.PERIOD}, max((total + fine - 1) // fine))) AS slots FROM g, a
 ), e AS (
   SELECT 0 AS t, list_transform(us, lambda x: 0) AS done, CAST(-1 AS BIGINT) AS pick FROM a
   UNION ALL
-  SELECT t + 1, list_transform(done, lambda d, j: CASE WHEN j - 1 = g THEN d + 1 ELSE d END), g
+  SELECT t + 1, list_transform(done, lambda d, j: CASE WHEN j - 1 = p THEN d + 1 ELSE d END), p
   FROM (
     SELECT t, done, list_min(list_transform(range(len(us)), lambda j: CASE
-      WHEN done[j + 1] < us[j + 1] AND (done[j + 1] * period) // us[j + 1] <= t
-      THEN (((done[j + 1] + 1) * period + us[j + 1] - 1) // us[j + 1]) * 1000000 + j END)) % 1000000 AS g, period
+      WHEN (done[j + 1] * total) // us[j + 1] <= t
+      THEN (((done[j + 1] + 1) * total + us[j + 1] - 1) // us[j + 1]) * 1000000 + j END)) % 1000000 AS p
     FROM e, a
-  ) WHERE t < period
-), slots AS (
-  SELECT u.key, u.u, u.period, e.t - 1 AS slot, row_number() OVER (PARTITION BY u.i ORDER BY e.t) - 1 AS unit
-  FROM e JOIN u ON u.i = e.pick
-), d AS (
-  SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key,
-    row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS number
-  FROM documents
-), b AS (
-  SELECT *, number // {pfair_mix.BLOCK_DOCS} AS block, number % {pfair_mix.BLOCK_DOCS} AS place FROM d
+  ) WHERE t < (SELECT slots FROM h)
+), x AS (
+  SELECT g.key, e.t - 1 AS slot, row_number() OVER (PARTITION BY g.i ORDER BY e.t) - 1 AS unit,
+    count(*) OVER (PARTITION BY g.i) AS units
+  FROM e JOIN g ON g.i = e.pick
+), y AS (
+  SELECT DISTINCT key, units FROM x
 )
-SELECT doc_id, source, block, place, block * period // u AS release,
-  ((block + 1) * period + u - 1) // u AS deadline, block // u * period + slot AS slot, u AS units, period
-FROM b JOIN (SELECT DISTINCT key, u, period FROM slots) USING (key)
-  JOIN (SELECT key, unit, slot FROM slots) AS x ON x.key = b.key AND x.unit = block % u
+SELECT doc_id, source, block, place, block // y.units * slots + x.unit * total // fine AS release,
+  block // y.units * slots + ((x.unit + 1) * total + fine - 1) // fine AS deadline, block // y.units * slots + x.slot AS slot
+FROM b JOIN g USING (key) JOIN y USING (key) JOIN x ON x.key = b.key AND x.unit = block % y.units, a, h
 """
 
 OP5 = r"""
@@ -173,3 +172,19 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
 QUALIFY rank <= 10
 """
+
+_RULES = ", ".join(
+    f"('{version}', '{rule.name}', {1 << rule.bit}, {rule_ledger.mask_of(policy)})"
+    for version, policy in rule_ledger.POLICIES.items()
+    for rule in rule_ledger.RULES
+    if rule.name in policy
+)
+OP2_ABLATION = f"""
+WITH l AS ({OP2}), r(policy, rule, bit, mask) AS (VALUES {_RULES})
+SELECT policy, rule,
+  CAST(count(*) FILTER (fail_bits & bit <> 0) AS BIGINT) AS n_failed,
+  CAST(count(*) FILTER (fail_bits & mask = bit) AS BIGINT) AS n_failed_alone,
+  CAST(count(*) FILTER (fail_bits & (mask - bit) = 0) AS BIGINT) AS n_kept_without,
+  bit_or(fail_bits & mask) AS any_bits
+FROM l, r GROUP BY policy, rule
+"""

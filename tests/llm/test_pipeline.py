@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -32,20 +33,17 @@ def plain_mix(docs):
         sources.setdefault("1" + source, []).append(i)
     keys = sorted(sources)
     weights = [len(sources[k]) ** 0.5 for k in keys]
-    period = max(pfair_mix.PERIOD, 2 * len(keys))
-    share = [w / sum(weights) * (period - len(keys)) for w in weights]
-    units = [1 + int(s) for s in share]
-    for i in sorted(range(len(keys)), key=lambda i: (int(share[i]) - share[i], i))[: period - sum(units)]:
-        units[i] += 1
+    fine = [round(w / max(weights) * pfair_mix.FINE) for w in weights]
+    exact = [Fraction(w, sum(fine)) for w in fine]
+    blocks = [-(-len(sources[k]) // pfair_mix.BLOCK_DOCS) for k in keys]
     slots = {}
-    for slot, i in enumerate(edf(units, period)):
+    for slot, i in enumerate(edf(exact, max(-(-n // w) for n, w in zip(blocks, exact)))):
         slots.setdefault(keys[i], []).append(slot)
     placed = []
-    for key, u in zip(keys, units):
+    for key in keys:
         ordered = sorted(sources[key], key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
         for n, i in enumerate(ordered):
-            block = n // pfair_mix.BLOCK_DOCS
-            placed.append((block // u * period + slots[key][block % u], n % pfair_mix.BLOCK_DOCS, i))
+            placed.append((slots[key][n // pfair_mix.BLOCK_DOCS], n % pfair_mix.BLOCK_DOCS, i))
     return [i for _, _, i in sorted(placed)]
 
 
