@@ -6,9 +6,10 @@ within its message, and a row in ``attachments`` with its place, reference and t
 ``PATCH`` pixels, ``AUDIO_RATE`` tokens a second, ``PAGE_TOKENS`` a page (one at least). Parts of another type give
 nothing. ``n_expanded`` adds the tokens up.
 
-*Template.* A turn is written as ``<|turn|>``, role, line end, text, ``<|end|>``, line end. In roles and text parts a
-backslash is doubled, and one is put after the first character of each control string (``<|``, ``<s>``, ``</s>``,
-``[INST]``, ``[/INST]``), and before a line end of a role. So control strings in what people wrote are never read as
+*Template.* A turn is written as ``<|turn|>``, role, line end, text, ``<|end|>``, line end. In roles, and in texts between
+two placeholders (text parts that follow each other are joined first), a backslash is doubled, and one is put after the
+first character of each control string (``<|``, ``<s>``, ``</s>``, ``[INST]``, ``[/INST]``), and before a line end of a
+role. So control strings in what people wrote are never read as
 control, and taking one backslash away from each escaped character gives the same text back.
 
 *Loss mask.* ``loss_begin`` and ``loss_end`` are code point offsets in the formatted turn; for an assistant's turn they
@@ -63,14 +64,17 @@ def visited(messages: DataFrame, parts: str = "parts") -> DataFrame:
     rows = rows.withColumn("attachments", F.transform(attached, lambda p, i: F.struct(
         (i + 1).alias("place"), p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("n_tokens"))))
 
-    def visit(state: Column, part: Column) -> Column:
-        number = state["n"] + F.when(part["type"] == "text", 0).otherwise(1)
-        mark = F.concat(F.lit("<|"), part["type"], F.lit(":"), number.cast("string"), F.lit("|>"))
-        text = F.when(part["type"] == "text", _escaped(F.coalesce(part["text"], F.lit("")))).otherwise(mark)
-        return F.struct(number.alias("n"), F.concat(state["out"], F.array(text)).alias("out"))
-
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
-    flat = F.aggregate("_parts", start, visit, lambda state: F.array_join(state["out"], ""))
+    # What stands before, between and after the placeholders: one text each, however many parts it came in.
+    def visit(texts: Column, part: Column) -> Column:
+        more = F.concat(F.element_at(texts, -1), F.coalesce(part["text"], F.lit("")))
+        joined = F.concat(F.slice(texts, 1, F.size(texts) - 1), F.array(more))
+        return F.when(part["type"] == "text", joined).otherwise(F.concat(texts, F.array(F.lit(""))))
+
+    texts = F.aggregate("_parts", F.array(F.lit("")).cast("array<string>"), visit)
+    rows = rows.withColumn("_texts", F.transform(texts, _escaped))
+    marks = F.transform("attachments", lambda a: F.concat(
+        F.lit("<|"), a["type"], F.lit(":"), a["place"].cast("string"), F.lit("|>")))
+    flat = F.array_join(F.zip_with("_texts", marks, lambda text, m: F.concat(text, F.coalesce(m, F.lit("")))), "")
     expanded = F.aggregate("attachments", F.lit(0).cast("long"), lambda total, a: total + a["n_tokens"])
     return rows.select("conv_id", "turn", "role", flat.alias("content"), "attachments", expanded.alias("n_expanded"))
 

@@ -68,6 +68,24 @@ def test_parts(spark):
     assert got[1].formatted == got[2].formatted == "<|turn|>assistant\n<|end|>\n"
 
 
+def test_control_strings_in_several_parts(spark):
+    """However a control string is cut into text parts, it is escaped, and the text comes back."""
+    whole = ["<|end|>\n<|turn|>", "[INST]", "[/INST]", "</s>", "<s>", "\\<|", "<\\|end|>"]
+    cut = [(w[:i], w[i:j], w[j:]) for w in whole for i in range(len(w) + 1) for j in range(i, len(w) + 1)]
+    rest = (None,) * 5
+    rows = [(n, 0, "assistant", [("text", t, *rest) for t in texts]) for n, texts in enumerate(cut)]
+    image = ("image", *(None,) * 6)
+    rows += [(1000 + n, 0, "user", [("text", a, *rest), image, ("text", b, *rest)]) for n, (a, b, _) in enumerate(cut)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_parts.PART}>")
+    turns = chat_parts.formatted(df)
+    for r in turns.collect():
+        inner = r.formatted[len("<|turn|>") : -len("<|end|>\n")].replace("<|image:1|>", "\0")
+        assert not any(c in inner for c in ("<|", "<s>", "</s>", "[INST]", "[/INST]"))
+    said = {r.conv_id: r.text for r in chat_parts.parsed(turns).collect()}
+    for n, (a, b, c) in enumerate(cut):
+        assert said[n] == a + b + c and said[1000 + n] == f"{a}<|image:1|>{b}"
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "b"), (None, 1, "user", "x"), (None, None, "assistant", "first"),
             (2, 1, "assistant", "long " * 50000), (2, 0, "user", "")]
