@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +43,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger of all documents with the verdicts of two policies."""
-    rows = rule_ledger.ledger(_table(spark, sf_dir, "documents"))
+    """The verdicts of two policies on the stored ledger of all documents."""
+    rows = rule_ledger.stored(_table(spark, sf_dir, "documents"), ["doc_id"])
     base = rule_ledger.failed(rule_ledger.POLICIES["base-1"])
     own = rule_ledger.failed(rule_ledger.POLICIES[QUALITY_POLICY])
     columns = ["row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return rows.select(*columns, base.alias("base_failed"), (~base & ~own).alias("kept"), "fail_bits")
 
 
+def op2_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, from one stored ledger of all documents."""
+    rows = rule_ledger.stored(_table(spark, sf_dir, "documents"), ["doc_id"])
+    found = [
+        rule_ledger.ablation(rows, policy).select(F.lit(version).alias("policy"), "*")
+        for version, policy in rule_ledger.POLICIES.items()
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
 def op3_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of each document."""
     rows = simhash_links.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -146,6 +157,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_rule_ledger": op2_rule_ledger,
+    "op2_rule_ablation": op2_rule_ablation,
     "op3_simhash_links": op3_simhash_links,
     "op4_secret_scan": op4_secret_scan,
     "op5_line_runs": op5_line_runs,
@@ -160,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op2_rule_ledger": oracles.OP2,
+    "op2_rule_ablation": oracles.OP2_ABLATION,
     "op5_line_runs": oracles.OP5,
     "op7_chat_parts": oracles.OP7,
     "op8_fm_decontam": oracles.OP8,

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import bytes_of, map_batches
+from cloudtally.llm.common import bytes_of, map_batches, written
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters"]
@@ -111,6 +111,14 @@ def ledger(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> Da
     return measured(docs, text).withColumn("fail_bits", reduce(Column.bitwiseOR, bits, F.lit(0).cast("long")))
 
 
+def stored(docs: DataFrame, keep: list[str], rules: list[Rule] = RULES, text: str = "text", folder: str | None = None) -> DataFrame:
+    """The ledger without its texts, written to ``folder`` (none given: the shared one): ``row`` holds the columns
+    ``keep``. Policies and ablations read it, pruned to their columns, as often as they like."""
+    rows = ledger(docs, rules, text)
+    row = F.struct(*[F.col(f"row.{c}").alias(c) for c in keep]).alias("row")
+    return written(rows.select(row, *MEASURES, "fail_bits"), folder)
+
+
 def mask_of(policy: list[str], rules: list[Rule] = RULES) -> int:
     bits = {r.name: r.bit for r in rules}
     return sum(1 << bits[name] for name in set(policy))
