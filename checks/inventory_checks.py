@@ -454,7 +454,11 @@ def _(spark, sf_dir):
     CASE WHEN c_custkey % 2 = 0 THEN 'm@b' ELSE '' END AS "masterUserEmail", '' AS "masterUserIamId" FROM customer""",
 )
 def _(spark, sf_dir):
-    base = run(
+    return account_detail(account_records(spark, sf_dir))
+
+
+def account_records(spark, sf_dir):
+    return run(
         spark, sf_dir,
         """SELECT c_custkey AS id, c_name AS companyName, 'a@b' AS email, 'x' AS bluemixAccountId,
              false AS proofOfConceptAccountFlag, struct(c_mktsegment AS name) AS accountStatus,
@@ -465,7 +469,6 @@ def _(spark, sf_dir):
              CASE WHEN c_custkey % 2 = 0 THEN struct('m@b' AS email, CAST(NULL AS STRING) AS iamId) END AS masterUser
            FROM {customer}""",
     )
-    return account_detail(base)
 
 
 @check(
@@ -512,7 +515,11 @@ def _(spark, sf_dir):
       AS "lastLoginAttemptSuccessFlag" FROM supplier""",
 )
 def _(spark, sf_dir):
-    base = run(
+    return classic_users(user_records(spark, sf_dir))
+
+
+def user_records(spark, sf_dir):
+    return run(
         spark, sf_dir,
         """SELECT 1 AS accountId, s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'co' END AS companyName,
              s_name AS displayName, 'f' AS firstName, 'l' AS lastName, 'c' AS createDate, 'm' AS modifyDate,
@@ -525,4 +532,3 @@ def _(spark, sf_dir):
              ELSE CAST(array() AS array<struct<createDate: string, ipAddress: string, successFlag: boolean>>)
              END AS loginAttempts FROM {supplier}""",
     )
-    return classic_users(base)

@@ -165,11 +165,17 @@ TAG_SQL = """SELECT 'crn-' || CAST(c_custkey * 3 AS VARCHAR) AS crn,
 
 
 def cloud_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    roles = run(spark, sf_dir, ROLE_BASE).selectExpr(
+    return usage.cloud_users(user_documents(spark, sf_dir), role_documents(spark, sf_dir), "seq")
+
+
+def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, USER_BASE).withColumn("invitedOn", F.lit(None).cast("string"))
+
+
+def role_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, ROLE_BASE).selectExpr(
         "email", "seq", "role AS `GTM Role`", "org AS OrgName", "geo AS Geo", "market AS Market"
     )
-    users = run(spark, sf_dir, USER_BASE).withColumn("invitedOn", F.lit(None).cast("string"))
-    return usage.cloud_users(users, roles, "seq")
 
 
 USERS_SQL = f"""SELECT iam_id, firstname, lastname, u.state, u.email, coalesce(r.role, '') AS role,
@@ -254,14 +260,20 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run(
+    return usage.named_clusters(cluster_documents(spark, sf_dir), vpcs(spark, sf_dir))
+
+
+def cluster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(
         spark, sf_dir,
         """SELECT concat('cluster', n_nationkey) AS id, n_name AS name, 'us-south' AS region,
              CAST(n_nationkey % 6 AS BIGINT) AS workerCount, '1.29' AS masterKubeVersion, 'normal' AS state,
              'ok' AS status, array(concat('vpc-id-', n_regionkey), 'other') AS vpcs FROM {nation}""",
     )
-    vpcs = run(spark, sf_dir, "SELECT concat('vpc-id-', r_regionkey) AS id, r_name AS name FROM {region}")
-    return usage.named_clusters(base, vpcs)
+
+
+def vpcs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, "SELECT concat('vpc-id-', r_regionkey) AS id, r_name AS name FROM {region}")
 
 
 def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +281,11 @@ def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _workers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run(
+    return usage.named_workers(worker_documents(spark, sf_dir), clusters(spark, sf_dir), subnets(spark, sf_dir))
+
+
+def worker_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(
         spark, sf_dir,
         """SELECT concat('cluster', s_nationkey) AS cluster, concat('w', s_suppkey) AS id,
              struct('deployed' AS actualState) AS lifecycle, struct('normal' AS state) AS health,
@@ -278,8 +294,10 @@ def _workers(spark: SparkSession, sf_dir: str) -> DataFrame:
              array(struct(concat('sn-', s_suppkey % 25) AS subnetID, concat('10.1.0.', s_suppkey) AS ipAddress))
                AS networkInterfaces FROM {supplier}""",
     )
-    subnets = run(spark, sf_dir, "SELECT concat('sn-', n_nationkey) AS id, n_name AS name FROM {nation}")
-    return usage.named_workers(base, clusters(spark, sf_dir), subnets)
+
+
+def subnets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, "SELECT concat('sn-', n_nationkey) AS id, n_name AS name FROM {nation}")
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
