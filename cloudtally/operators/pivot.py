@@ -62,6 +62,17 @@ def pivot_report(
     and totals are both made of these reduced rows. Distinct counts shuffle by group and value, so that no task
     holds all values of a hot group.
     """
+    reduced = reduced_rows(df, keys, measures, month, months)
+    return report_of_reduced(reduced, keys, measures, month is not None, months, total, fill, total_of_nothing)
+
+
+def reduced_rows(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Measure], month: str | None = None, months: Sequence[str] = ()
+) -> DataFrame:
+    """Rows reduced to one per key and month (``_month``), and per counted value (``_counted``).
+
+    They add up: reduced rows of several inputs make one report, if no line is in two of them.
+    """
     counted = {m.source for m in measures if m.kind == "distinct"}
     if len(counted) > 1:
         raise ValueError("distinct counts of one column only")
@@ -71,17 +82,41 @@ def pivot_report(
     grain = [F.col(c) for c in keys] + ([F.col(month).alias("_month")] if month else [])
     grain += [F.col(c).alias("_counted") for c in counted]
     sums = [m.reduced() for m in measures if m.kind != "distinct"]
-    reduced = keyed.groupBy(*grain).agg(*sums) if sums else keyed.select(*grain).distinct()
+    return keyed.groupBy(*grain).agg(*sums) if sums else keyed.select(*grain).distinct()
+
+
+def with_bitmaps(reduced: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Reduced rows whose counted values are whole numbers, as bitmaps: one row per key, month and bucket of 32,768
+    numbers (``_bucket``, ``_bits``). Bitmaps are merged by OR, so totals are counted without their values."""
+    grain = [*keys, *(["_month"] if "_month" in reduced.columns else [])]
+    bucket = F.bitmap_bucket_number("_counted").alias("_bucket")
+    sums = [m.combined() for m in measures if m.kind != "distinct"]
+    return reduced.groupBy(*grain, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_counted")).alias("_bits"), *sums)
+
+
+def report_of_reduced(
+    reduced: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    monthly: bool,
+    months: Sequence[str] = (),
+    total: str | None = "Total",
+    fill: bool = True,
+    total_of_nothing: bool = False,
+) -> DataFrame:
+    """The report of ``reduced_rows``, or of ``with_bitmaps``; see ``pivot_report``."""
     if total_of_nothing:
         reduced = reduced.unionByName(_blank_row(reduced))
-
     flag = []
     if total:
-        reduced = _repeat_for_totals(reduced, keys, total, month is not None)
+        reduced = _repeat_for_totals(reduced, keys, total, monthly)
         flag = [TOTAL_FLAG]
+    if "_bits" in reduced.columns:
+        reduced = _counted_bits(reduced, [*keys, *flag, *(["_month"] if monthly else [])], measures)
+        measures = [Measure(m.name) for m in measures]
     grouped = reduced.groupBy(*keys, *flag)
     combined = [m.combined() for m in measures]
-    if not month:
+    if not monthly:
         return _finish(grouped.agg(*combined), [*keys, *flag], [m.name for m in measures], fill)
     slots = [*months, TOTAL_COLUMN] if total else list(months)
     # With one aggregate Spark names the columns after the slot alone.
@@ -91,6 +126,16 @@ def pivot_report(
     return _finish(wide, [*keys, *flag], cells, fill)
 
 
+def _counted_bits(rows: DataFrame, cell: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """One row per cell and bucket: its bitmaps merged, then counted; sums added up."""
+    merged = rows.groupBy(*cell, "_bucket").agg(
+        F.bitmap_or_agg("_bits").alias("_bits"), *[F.sum(m.name).alias(m.name) for m in measures if m.kind != "distinct"]
+    )
+    # A row without bits (``total_of_nothing``) counts nothing.
+    count = F.coalesce(F.bitmap_count("_bits"), F.lit(0).cast("long"))
+    return merged.withColumns({m.name: count for m in measures if m.kind == "distinct"}).drop("_bits", "_bucket")
+
+
 def totals_within(
     df: DataFrame,
     outer: str,

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions import charges, nested, text
 from cloudtally.operators.lookup import lookup_join
-from cloudtally.operators.pivot import Measure, pivot_report, totals_within
+from cloudtally.operators.partials import Pivot
+from cloudtally.operators.pivot import Measure
 from cloudtally.plans.invoice_lines import LINE_COLUMNS
 
 MONTH = "billing_month"
@@ -34,29 +35,91 @@ def invoice_detail(lines: DataFrame) -> DataFrame:
     return lines.select(*[F.col(c).cast("double").alias(c) if c in amounts else F.col(c) for c in LINE_COLUMNS])
 
 
+def _parents(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("RecordType") == "Parent")
+
+
+def _object_storage(lines: DataFrame) -> DataFrame:
+    rows = lines.filter((F.col("RecordType") == "Child") & (F.col("childParentProduct") == OBJECT_STORAGE_PRODUCT))
+    return rows.withColumn("childUsage", F.col("childUsage").cast(charges.QUANTITY))
+
+
+def _file_storage(lines: DataFrame) -> DataFrame:
+    """File storage of any invoice type and recurring endurance storage."""
+    return lines.filter(
+        (F.col("Category") == "Storage As A Service")
+        | ((F.col("Category") == "Endurance") & (F.col("Type") == "RECURRING"))
+    )
+
+
+def _servers(category: str, hourly: bool, parents_only: bool = False) -> Callable[[DataFrame], DataFrame]:
+    def rows(lines: DataFrame) -> DataFrame:
+        found = lines.filter((F.col("Category") == category) & (F.col("Hourly") == F.lit(hourly)))
+        return found.filter(F.col("RecordType") == "Parent") if parents_only else found
+
+    return rows
+
+
+CATEGORY_GROUPS = Pivot(
+    "CategoryGroupSummary", _parents, ["Type", "dPart", "Category_Group", "Category"], _AMOUNT, MONTH
+)
+CATEGORIES = Pivot("CategoryDetail", _parents, ["Type", "Category_Group", "Category", "Description"], _AMOUNT, MONTH)
+# Empty cells stay empty.
+CLASSIC_OBJECT_STORAGE = Pivot(
+    "Classic_COS", _object_storage,
+    ["Type", "Category_Group", "childParentProduct", "Category", "Description"],
+    [Measure("usageQty", column="childUsage"), Measure("totalUsageCharge", column="childTotalRecurringCharge")],
+    MONTH, fill=False,
+)
+STORAGE = Pivot(
+    "StoragePivot", _file_storage, ["location", "Category", "billing_notes", "storage_notes", "Description"], [_RECURRING],
+    MONTH, total=None,
+)
+
+
+def server_pivots(parents_only: bool = False) -> list[Pivot]:
+    hours = Measure("TotalHours", column="Hours")
+    kinds = [
+        ("HrlyVirtualServers", "Computing Instance", True, ["Description", "OS"], [_QTY, hours, _RECURRING]),
+        ("MnthlyVirtualServers", "Computing Instance", False, ["Description", "OS"], [_QTY, _RECURRING]),
+        ("HrlyBaremetalServers", "Server", True, ["Description", "OS"], [_QTY, _RECURRING]),
+        ("MthlyBaremetalServers", "Server", False, ["location", "Description", "OS"], [_QTY, _RECURRING]),
+    ]
+    return [
+        Pivot(name, _servers(category, hourly, parents_only), keys, measures, MONTH, total=None)
+        for name, category, hourly, keys, measures in kinds
+    ]
+
+
+def sheet_pivots(parts: DataFrame) -> list[Pivot]:
+    """The top sheets: one a month, all in one table with the month as its first key. A month without lines still
+    shows its total on the infrastructure sheet."""
+    def iaas(lines: DataFrame) -> DataFrame:
+        return iaas_sheet_rows(lines, parts).select(MONTH, *SHEET_KEYS, "totalAmount")
+
+    return [
+        Pivot("TopSheet_IaaS", iaas, SHEET_KEYS, _AMOUNT, MONTH, within=True, empty_months=True),
+        Pivot("TopSheet_PaaS", lambda lines: paas_sheet_rows(lines, parts), SHEET_KEYS, _AMOUNT, MONTH, "All", within=True),
+        Pivot("TopSheet_Credit", credit_sheet_rows, SHEET_KEYS, _AMOUNT, MONTH, within=True),
+    ]
+
+
+def invoice_pivots(parts: DataFrame) -> list[Pivot]:
+    """All reports on invoice lines that are made by the month."""
+    return [CATEGORY_GROUPS, CATEGORIES, CLASSIC_OBJECT_STORAGE, *sheet_pivots(parts), STORAGE, *server_pivots()]
+
+
 def category_group_summary(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    return pivot_report(
-        lines.filter(F.col("RecordType") == "Parent"),
-        ["Type", "dPart", "Category_Group", "Category"], _AMOUNT, MONTH, months,
-    )
+    return CATEGORY_GROUPS.report(lines, months)
 
 
 def category_detail(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    return pivot_report(
-        lines.filter(F.col("RecordType") == "Parent"),
-        ["Type", "Category_Group", "Category", "Description"], _AMOUNT, MONTH, months,
-    )
+    return CATEGORIES.report(lines, months)
 
 
 def object_storage_detail(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Usage and charges of classic object storage; empty cells stay empty."""
-    rows = lines.filter((F.col("RecordType") == "Child") & (F.col("childParentProduct") == OBJECT_STORAGE_PRODUCT))
-    return pivot_report(
-        rows.withColumn("childUsage", F.col("childUsage").cast(charges.QUANTITY)),
-        ["Type", "Category_Group", "childParentProduct", "Category", "Description"],
-        [Measure("usageQty", column="childUsage"), Measure("totalUsageCharge", column="childTotalRecurringCharge")],
-        MONTH, months, fill=False,
-    )
+    """Usage and charges of classic object storage."""
+    return CLASSIC_OBJECT_STORAGE.report(lines, months)
 
 
 def with_part_description(rows: DataFrame, parts: DataFrame, own: str) -> DataFrame:
@@ -68,10 +131,6 @@ def with_part_description(rows: DataFrame, parts: DataFrame, own: str) -> DataFr
     return found.withColumn("lineItemCategory", F.coalesce("_described", own, F.lit(""))).drop("_described")
 
 
-def _in_months(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    return lines.filter(F.col(MONTH).isin(list(months)))
-
-
 def iaas_sheet_rows(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """Lines of the infrastructure invoice: metered children of its divisions and all parents but platform ones.
 
@@ -102,70 +161,36 @@ def credit_sheet_rows(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("Type") == "CREDIT").withColumn("lineItemCategory", F.col("Category"))
 
 
-def _sheet(rows: DataFrame, months: Sequence[str], total: str) -> DataFrame:
-    """One sheet per billing month, all in one table with the month as its first key."""
-    return totals_within(_in_months(rows, months), MONTH, SHEET_KEYS, ["totalAmount"], total)
-
-
-def _empty_months(rows: DataFrame, months: Sequence[str]) -> DataFrame:
-    """A row without an amount for each report month (a plan parameter)."""
-    blank = rows.sparkSession.range(1).withColumn(MONTH, F.explode(F.array(*[F.lit(m) for m in months])))
-    return blank.select(MONTH, F.lit(None).cast(rows.schema["totalAmount"].dataType).alias("totalAmount"))
-
-
 def top_sheet_iaas(lines: DataFrame, parts: DataFrame, months: Sequence[str]) -> DataFrame:
-    """The infrastructure sheet; a month without lines still shows its total."""
-    rows = iaas_sheet_rows(lines, parts).select(MONTH, *SHEET_KEYS, "totalAmount")
-    return totals_within(
-        _in_months(rows, months), MONTH, SHEET_KEYS, ["totalAmount"], always=_empty_months(rows, months)
-    )
+    return sheet_pivots(parts)[0].report(lines, months)
 
 
 def top_sheet_paas(lines: DataFrame, parts: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _sheet(paas_sheet_rows(lines, parts), months, "All")
+    return sheet_pivots(parts)[1].report(lines, months)
 
 
 def top_sheet_credit(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _sheet(credit_sheet_rows(lines), months, "Total")
+    return sheet_pivots(None)[2].report(lines, months)
 
 
 def storage_pivot(lines: DataFrame, months: Sequence[str]) -> DataFrame:
-    """File storage of any invoice type and recurring endurance storage."""
-    rows = lines.filter(
-        (F.col("Category") == "Storage As A Service")
-        | ((F.col("Category") == "Endurance") & (F.col("Type") == "RECURRING"))
-    )
-    return pivot_report(
-        rows, ["location", "Category", "billing_notes", "storage_notes", "Description"], [_RECURRING], MONTH, months,
-        total=None,
-    )
-
-
-def _servers(lines, months, category, hourly, keys, measures, parents_only) -> DataFrame:
-    rows = lines.filter((F.col("Category") == category) & (F.col("Hourly") == F.lit(hourly)))
-    if parents_only:
-        rows = rows.filter(F.col("RecordType") == "Parent")
-    return pivot_report(rows, keys, measures, MONTH, months, total=None)
+    return STORAGE.report(lines, months)
 
 
 def hourly_virtual_servers(lines: DataFrame, months: Sequence[str], parents_only: bool = False) -> DataFrame:
-    measures = [_QTY, Measure("TotalHours", column="Hours"), _RECURRING]
-    return _servers(lines, months, "Computing Instance", True, ["Description", "OS"], measures, parents_only)
+    return server_pivots(parents_only)[0].report(lines, months)
 
 
 def monthly_virtual_servers(lines: DataFrame, months: Sequence[str], parents_only: bool = False) -> DataFrame:
-    return _servers(
-        lines, months, "Computing Instance", False, ["Description", "OS"], [_QTY, _RECURRING], parents_only
-    )
+    return server_pivots(parents_only)[1].report(lines, months)
 
 
 def hourly_bare_metal(lines: DataFrame, months: Sequence[str], parents_only: bool = False) -> DataFrame:
-    return _servers(lines, months, "Server", True, ["Description", "OS"], [_QTY, _RECURRING], parents_only)
+    return server_pivots(parents_only)[2].report(lines, months)
 
 
 def monthly_bare_metal(lines: DataFrame, months: Sequence[str], parents_only: bool = False) -> DataFrame:
-    keys = ["location", "Description", "OS"]
-    return _servers(lines, months, "Server", False, keys, [_QTY, _RECURRING], parents_only)
+    return server_pivots(parents_only)[3].report(lines, months)
 
 
 def account_detail(accounts: DataFrame) -> DataFrame:

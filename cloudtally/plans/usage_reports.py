@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloudtally.functions.charges import QUANTITY
-from cloudtally.operators.pivot import Measure, pivot_report, totals_within
+from cloudtally.operators.partials import Pivot
+from cloudtally.operators.pivot import Measure, totals_within
 from cloudtally.plans.usage import BARE_METAL, KUBERNETES, VIRTUAL_SERVER, VOLUME
 
 # Fixed values, here and below: key lists and report names are the columns and names of the output.
@@ -27,10 +28,6 @@ def _exact(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast(QUANTITY) for c in _MONEY_COLUMNS if c in rows.columns})
 
 
-def _report(rows, keys, measures, months: Sequence[str]) -> DataFrame:
-    return pivot_report(_exact(rows), keys, measures, "month", months)
-
-
 def _servers(usage: DataFrame) -> DataFrame:
     return usage.filter(F.col("service_id").isin(VIRTUAL_SERVER, BARE_METAL))
 
@@ -52,57 +49,92 @@ def _monthly_totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return totals_within(_exact(rows), "month", keys, ["rated_cost", "cost"])
 
 
+def _of_service(*services: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda usage: _exact(usage.filter(F.col("service_id").isin(*services)))
+
+
+def _sized_volumes(usage: DataFrame) -> DataFrame:
+    """Volumes by place and size; an unknown size is the key ''."""
+    sizes = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("volume_iops", "volume_capacity")}
+    return _exact(usage.filter(F.col("service_id") == VOLUME).withColumns(sizes))
+
+
+def _object_storage(usage: DataFrame) -> DataFrame:
+    return _exact(usage.filter(F.col("service_name") == OBJECT_STORAGE))
+
+
+_PLACE = ["region", "vpc", "zone", "resource_group_name", "instance_profile"]
+#: Reports on account usage by the month.
+CLOUD_USAGE = Pivot("Cloud_Usage", _exact, ["resource_name"], [_RATED, _COST], "month")
+USAGE = Pivot("UsageSummary", _exact, ["resource_name"], [_COST], "month")
+METRIC_PLANS = Pivot("MetricPlanSummary", _exact, ["resource_name", "plan_name", "metric"], [_QUANTITY, _COST], "month")
+#: Reports on instance usage by the month.
+VIRTUAL_SERVERS = Pivot("VirtualServerSummary", _of_service(VIRTUAL_SERVER), _PLACE, [_INSTANCES, _COST], "month")
+BARE_METAL_SERVERS = Pivot("BMServerSummary", _of_service(BARE_METAL), _PLACE, [_INSTANCES, _COST], "month")
+SERVER_LIST = Pivot(
+    "ServerList", _of_service(VIRTUAL_SERVER, BARE_METAL),
+    ["region", "vpc", "instance_name", "instance_id", "instance_profile"], [_COST], "month",
+)
+SERVERS_BY_USER = Pivot(
+    "ServersByUser", _of_service(VIRTUAL_SERVER, BARE_METAL),
+    ["created_by_name", "region", "vpc", "instance_name", "service_name", "instance_profile", "provision_date",
+     "deprovision_date", "instance_state"], [_COST], "month",
+)
+VOLUMES = Pivot(
+    "VolumesSummary", _sized_volumes, ["region", "zone", "resource_group_name", "volume_iops", "volume_capacity"],
+    [_INSTANCES, _COST], "month",
+)
+BUCKETS = Pivot(
+    "COSBuckets", _object_storage, ["region", "resource_group_name", "instance_name", "plan_name", "metric", "unit"],
+    [_QUANTITY, _COST], "month",
+)
+CLUSTERS = Pivot(
+    "KubernetesSummary", _of_service(KUBERNETES),
+    ["region", "vpc", "cluster_name", "worker_pool", "worker_name", "zone", "worker_flavor", "created_by_name",
+     "instance_state"], [_COST], "month",
+)
+ACCOUNT_PIVOTS = [USAGE, METRIC_PLANS]
+INSTANCE_PIVOTS = [VIRTUAL_SERVERS, BARE_METAL_SERVERS, SERVER_LIST, SERVERS_BY_USER, VOLUMES, BUCKETS, CLUSTERS]
+
+
 def cloud_usage_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _report(usage, ["resource_name"], [_RATED, _COST], months)
+    return CLOUD_USAGE.report(usage, months)
 
 
 def usage_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _report(usage, ["resource_name"], [_COST], months)
+    return USAGE.report(usage, months)
 
 
 def metric_plan_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _report(usage, ["resource_name", "plan_name", "metric"], [_QUANTITY, _COST], months)
+    return METRIC_PLANS.report(usage, months)
 
 
 def server_list(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    keys = ["region", "vpc", "instance_name", "instance_id", "instance_profile"]
-    return _report(_servers(usage), keys, [_COST], months)
+    return SERVER_LIST.report(usage, months)
 
 
 def servers_by_user(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    keys = ["created_by_name", "region", "vpc", "instance_name", "service_name", "instance_profile", "provision_date",
-            "deprovision_date", "instance_state"]
-    return _report(_servers(usage), keys, [_COST], months)
+    return SERVERS_BY_USER.report(usage, months)
 
 
 def object_storage_instances(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    keys = ["region", "resource_group_name", "instance_name", "plan_name", "metric", "unit"]
-    return _report(usage.filter(F.col("service_name") == OBJECT_STORAGE), keys, [_QUANTITY, _COST], months)
-
-
-_PLACE = ["region", "vpc", "zone", "resource_group_name", "instance_profile"]
+    return BUCKETS.report(usage, months)
 
 
 def virtual_server_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _report(usage.filter(F.col("service_id") == VIRTUAL_SERVER), _PLACE, [_INSTANCES, _COST], months)
+    return VIRTUAL_SERVERS.report(usage, months)
 
 
 def bare_metal_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    return _report(usage.filter(F.col("service_id") == BARE_METAL), _PLACE, [_INSTANCES, _COST], months)
+    return BARE_METAL_SERVERS.report(usage, months)
 
 
 def volumes_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Volumes by place and size; an unknown size is the key ''."""
-    rows = usage.filter(F.col("service_id") == VOLUME)
-    sizes = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("volume_iops", "volume_capacity")}
-    keys = ["region", "zone", "resource_group_name", "volume_iops", "volume_capacity"]
-    return _report(rows.withColumns(sizes), keys, [_INSTANCES, _COST], months)
+    return VOLUMES.report(usage, months)
 
 
 def kubernetes_summary(usage: DataFrame, months: Sequence[str]) -> DataFrame:
-    keys = ["region", "vpc", "cluster_name", "worker_pool", "worker_name", "zone", "worker_flavor", "created_by_name",
-            "instance_state"]
-    return _report(usage.filter(F.col("service_id") == KUBERNETES), keys, [_COST], months)
+    return CLUSTERS.report(usage, months)
 
 
 def usage_report_set(

@@ -28,9 +28,10 @@ from cloudtally.functions.dates import (
     usage_months_for_invoices,
 )
 from cloudtally.operators.lookup import distinct_values, latest_by_key
+from cloudtally.operators.partials import add_months, kept_months, merged_report
 from cloudtally.plans import inventory, storage, usage
 from cloudtally.plans.invoice_lines import invoice_lines
-from cloudtally.plans.invoice_reports import invoice_report_set
+from cloudtally.plans.invoice_reports import invoice_pivots, invoice_report_set
 from cloudtally.plans.usage_reports import billing_usage_report_set, usage_report_set
 from cloudtally.sources.landing import (
     LOAD_ORDER,
@@ -153,6 +154,65 @@ def invoice_analysis(
         return write_reports(built, output, now, reports, file_format, name, rejected)
 
 
+def _spans(months: Iterable[str]) -> list[tuple[str, str]]:
+    """Months as spans without gaps."""
+    out: list[tuple[str, str]] = []
+    for month in sorted(months):
+        if out and add_month_text(out[-1][1], 1) == month:
+            out[-1] = out[-1][0], month
+        else:
+            out.append((month, month))
+    return out
+
+
+def invoice_summaries(
+    spark: SparkSession,
+    landing: str,
+    output: str,
+    start: str | None,
+    end: str | None,
+    now: dt.datetime,
+    partials: str,
+    reports: Iterable[str] | None = None,
+    refresh: Iterable[str] = (),
+    part_file: str | None = None,
+    file_format: str = "parquet",
+    months: int = 1,
+    store: str | None = None,
+) -> dict[str, str]:
+    """The invoice pivots of ``invoice_analysis`` from month partials that are kept in ``partials``.
+
+    Lines are read of the months alone that have no partials yet, or are named in ``refresh`` (an open month).
+    """
+    name = new_run(now)
+    wanted = month_list(*_asked(start, end, default_invoice_months(_billing_day(now), months)))
+    with program_run(spark, "invoice_summaries", name) as run:
+        pivots = invoice_pivots(run.table("part_descriptions", lambda: read_part_descriptions(spark, part_file)))
+        known = [pivot.name for pivot in pivots]
+        unknown = [r for r in reports or () if r not in known]
+        if unknown:
+            raise ValueError(f"unknown reports: {', '.join(unknown)}")
+        pivots = [p for p in pivots if reports is None or p.name in set(reports)]
+        todo = {p.name: (set(wanted) - set(kept_months(spark, p, partials))) | (set(refresh) & set(wanted)) for p in pivots}
+        for first, last in _spans(set().union(*todo.values())):
+            lines = run.table(
+                f"lines_{first}",
+                lambda: invoice_lines(
+                    _by_month(spark, landing, store, "invoices", first, add_month_text(last, 1)),
+                    _by_month(spark, landing, store, "invoice_items", first, add_month_text(last, 1)),
+                    None, first, last,
+                ),
+                "billing_month",
+            )
+            for pivot in pivots:
+                new = [m for m in month_list(first, last) if m in todo[pivot.name]]
+                if new:
+                    add_months(pivot, lines, new, partials)
+        built = {p.name: lambda p=p: merged_report(spark, p, wanted, partials) for p in pivots}
+        rejected = _rejected(spark, store, ("invoices", "invoice_items"))
+        return write_reports(built, output, now, None, file_format, name, rejected)
+
+
 def invoice_usage(
     spark: SparkSession,
     landing: str,
