@@ -68,15 +68,27 @@ WITH l AS (
   SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
 ), f AS (
-  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-), w AS (
-  SELECT doc_id, p, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c
+), v AS (
+  SELECT doc_id, p, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c, lead(line, 3) OVER d AS x,
+    lead(line, 4) OVER d AS y, lag(line) OVER d AS l1, lag(line, 2) OVER d AS l2,
+    CASE WHEN n >= 50 THEN 1 WHEN n + lead(n) OVER d >= 50 THEN 2 WHEN lead(n, 2) OVER d IS NOT NULL THEN 3 END AS size
   FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), w AS (
+  SELECT doc_id, p, size, l1, l2, CASE size WHEN 1 THEN [a] WHEN 2 THEN [a, b] ELSE [a, b, c] END AS lines,
+    CASE size WHEN 1 THEN b WHEN 2 THEN c ELSE x END AS r1, CASE size WHEN 1 THEN c WHEN 2 THEN x ELSE y END AS r2
+  FROM v WHERE size IS NOT NULL
 ), g AS (
-  SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS nth FROM w WHERE c IS NOT NULL
+  SELECT *, row_number() OVER o AS nth, first_value({'l1': l1, 'l2': l2, 'r1': r1, 'r2': r2}) OVER o AS o
+  FROM w WINDOW o AS (PARTITION BY lines ORDER BY doc_id, p)
+), m AS (
+  SELECT doc_id, p - CASE WHEN l1 = o.l1 THEN CASE WHEN l2 = o.l2 THEN 2 ELSE 1 END ELSE 0 END AS first_line,
+    p + size + CASE WHEN r1 = o.r1 THEN CASE WHEN r2 = o.r2 THEN 2 ELSE 1 END ELSE 0 END AS past
+  FROM g WHERE nth > 1
 ), r AS (
-  SELECT DISTINCT doc_id, p + k AS p FROM g, (VALUES (0), (1), (2)) AS t(k) WHERE nth > 1
+  SELECT DISTINCT doc_id, unnest(range(first_line, past)) AS p FROM m
 ), e AS (
   SELECT doc_id, count(*) AS n_removed,
     count(*) FILTER (NOT EXISTS (SELECT 1 FROM r AS q WHERE q.doc_id = r.doc_id AND q.p = r.p - 1)) AS n_runs

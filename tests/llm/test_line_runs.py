@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 from cloudtally.llm import line_runs
@@ -11,15 +12,28 @@ def brute(docs):
         lines = (text or "").split("\n")
         filled[place] = lines, [i for i, line in enumerate(lines) if line.strip(" \t\n\r\x0b\x0c")]
     order = sorted(filled, key=lambda p: (docs[p][0] is not None, docs[p][0] or 0, p))
-    seen, out = set(), {}
+    first, out = {}, {}
     for place in order:
         lines, numbers = filled[place]
+        text = [lines[i] for i in numbers]
         gone = set()
-        for at in range(len(numbers) - 2):
-            window = tuple(lines[i] for i in numbers[at : at + 3])
-            if window in seen:
-                gone.update(range(at, at + 3))
-            seen.add(window)
+        for at in range(len(text)):
+            words, size = 0, 0
+            while at + size < len(text) and size < 3 and words < 50:
+                words, size = words + len(re.findall("[^ \\t-\\r]+", text[at + size])), size + 1
+            if size < 3 and words < 50:
+                continue
+            window = tuple(text[at : at + size])
+            if window not in first:
+                first[window] = text, at
+                continue
+            source, there = first[window]
+            low, high = 0, size
+            while low > -2 and at + low > 0 and there + low > 0 and text[at + low - 1] == source[there + low - 1]:
+                low -= 1
+            while high < size + 2 and at + high < len(text) and there + high < len(source) and text[at + high] == source[there + high]:
+                high += 1
+            gone.update(range(at + low, at + high))
         kept = [line for i, line in enumerate(lines) if i not in {numbers[p] for p in gone}]
         out[place] = (docs[place][0], len(lines), len(gone), sum(p - 1 not in gone for p in gone), "\n".join(kept))
     return out
@@ -40,6 +54,30 @@ def test_runs(spark, tmp_path):
     check(spark.read.parquet(f"{tmp_path}/docs"))
 
 
+def test_long_lines_go_on_their_own(spark, docs):
+    """One or two lines of fifty words together are a run; the short lines around it go with it."""
+    long = " ".join(f"w{i}" for i in range(60))
+    half = " ".join(f"h{i}" for i in range(30))
+    texts = [
+        f"intro\na\n{long}\nb\nend", long, f"a\n{long}\nb", f"{half}\n{half} x", f"y\n{half}\n{half} x\nz", half,
+        f"{half}\nother", "a\nb", f"b\n{long}",
+    ]
+    df = docs(texts)
+    check(df)
+    left = {r.doc_id: r.kept for r in line_runs.deduplicated(df).collect()}
+    assert [left[i] for i in range(9)] == [texts[0], "", "", texts[3], "y\nz", half, texts[6], "a\nb", "b"]
+
+
+def test_no_line_goes_with_all_its_copies(spark):
+    rng = random.Random(4)
+    pool = [f"line {i}" for i in range(6)] + [" ".join(["long"] * n) for n in (26, 30, 55)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(1, 12))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(df)
+    kept = {line for r in line_runs.deduplicated(df).collect() for line in r.kept.split("\n")}
+    assert {line for t in texts for line in t.split("\n")} <= kept
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     check(odd_docs)
     assert line_runs.deduplicated(no_docs).count() == 0
