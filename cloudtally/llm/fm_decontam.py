@@ -4,7 +4,7 @@ Words are runs of ``0-9a-z`` and bytes from 0x80 on (``[^\\x00-\\x2F\\x3A-\\x60\
 window is 13 consecutive words of a benchmark item; an item of fewer words, but not none, is one window. A document
 word inside any occurrence of a window is hit; a document is contaminated if 5 % of its words or more are hit.
 
-A shard is one batch of documents. Its text is the sequence of its words that can take part in an occurrence: runs of
+A shard is some batches of documents, ``SHARD_BYTES`` of text or what a task has left. Its text is the sequence of its words that can take part in an occurrence: runs of
 words of the benchmark vocabulary at least as long as the shortest window, each ended by a separator. Its index is
 
 * the suffix array, by prefix doubling; a separator ends every comparison;
@@ -14,8 +14,11 @@ words of the benchmark vocabulary at least as long as the shortest window, each
 All windows search backward together, one word a step, each step two ranks per level of the wavelet matrix. The rows
 found are located by stepping back to a sampled position, and their spans are merged per document.
 
-Benchmark windows travel to the tasks in blocks of ``BLOCK_WORDS`` words; each block is one more pass over the
-documents, so what a task holds has an upper bound however large the benchmark is.
+Benchmark items are cut by Spark into pieces of at most ``PIECE_WORDS`` words, which overlap by a window less one, and
+packed into numbered blocks of at most ``BLOCK_WORDS`` words and a piece, written to the shared folder. The driver holds
+one block at a time, to broadcast it, and takes it back when the pass of that block over the documents is written; so
+neither driver nor tasks hold more, however large the benchmark or an item of it is. Of passes after the first only the
+documents with hits are kept, to be joined at the end.
 
 Null and empty texts have no words and no hits, and are clean. Rows that share an id are each judged on their own, and
 all columns of a document go along in ``row``. Items with no words never occur, items that share an id count once, and
@@ -25,19 +28,22 @@ items without an id are looked for but not listed. An empty benchmark finds noth
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import bytes_of, map_batches
+from cloudtally.llm.common import bounded_batches, bytes_of, map_batches, numbered, written
 
 WINDOW_WORDS = 13
 #: Hit words in percent from which on a document is contaminated.
 CONTAMINATED_PERCENT = 5
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
+PIECE_WORDS = 100_000
 SAMPLE = 16
 SHARD_BYTES = 16 << 20
 
@@ -173,27 +179,45 @@ class Phrases:
             windows = [w for w in found if len(w) == size]
             self.by_length[size] = np.array(windows, np.int64), [found[w] for w in windows]
 
-    def hits(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], list[object]]]:
+    def shard(self) -> Shard:
+        return Shard(self)
+
+
+class Shard:
+    """The runs of some documents' words that can take part in an occurrence; of the rest only the number is kept."""
+
+    def __init__(self, phrases: Phrases):
+        self.phrases = phrases
+        self.counts: list[int] = []
+        self.pieces: list[np.ndarray] = []
+        self.starts: list[int] = []
+        self.owner: list[int] = []
+
+    def add(self, words: list[bytes]) -> None:
+        """One more document."""
+        number, shortest = len(self.counts), self.phrases.shortest
+        self.counts.append(len(words))
+        if not shortest or len(words) < shortest:
+            return
+        look = self.phrases.vocabulary.get
+        symbols = np.fromiter((look(w, 0) for w in words), np.int64, len(words))
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], (symbols > 0).view(np.int8), [0]))))
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if b - a >= shortest:
+                self.pieces += [symbols[a:b].copy(), np.zeros(1, np.int64)]
+                self.starts.append(a)
+                self.owner.append(number)
+
+    def hits(self) -> list[tuple[list[tuple[int, int]], list[object]]]:
         """For each document the merged spans of hit words, end exclusive, and the items that occur in it."""
-        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-        items: list[set[int]] = [set() for _ in texts]
-        pieces, starts, owner = [], [], []
-        look = self.vocabulary.get
-        for number, words in enumerate(texts):
-            if len(words) < self.shortest or not self.shortest:
-                continue
-            symbols = np.fromiter((look(w, 0) for w in words), np.int64, len(words))
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], (symbols > 0).view(np.int8), [0]))))
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                if b - a >= self.shortest:
-                    pieces += [symbols[a:b], np.zeros(1, np.int64)]
-                    starts.append(a)
-                    owner.append(number)
+        spans: list[list[tuple[int, int]]] = [[] for _ in self.counts]
+        items: list[set[object]] = [set() for _ in self.counts]
+        pieces, starts, owner = self.pieces, self.starts, self.owner
         if pieces:
             lengths = np.array([len(p) for p in pieces[::2]]) + 1
             offsets = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            index = FMIndex(np.concatenate(pieces), len(self.vocabulary))
-            for size, (windows, owners) in self.by_length.items():
+            index = FMIndex(np.concatenate(pieces), len(self.phrases.vocabulary))
+            for size, (windows, owners) in self.phrases.by_length.items():
                 low, high = index.search(windows)
                 counts = high - low
                 which = np.repeat(np.arange(len(windows)), counts)
@@ -204,7 +228,8 @@ class Phrases:
                     begin = starts[p] + place
                     spans[owner[p]].append((begin, begin + size))
                     items[owner[p]].update(owners[w])
-        return [(merged(s), sorted({self.ids[i] for i in k}, key=str)) for s, k in zip(spans, items)]
+        ids = self.phrases.ids
+        return [(merged(s), sorted({ids[i] for i in k}, key=str)) for s, k in zip(spans, items)]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -218,18 +243,52 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple[object, list[bytes]]]]:
-    """Items in blocks of at most ``limit`` words (one item at least), streamed through the driver."""
-    block, size = [], 0
-    for row in benchmark.select(item_id, text).toLocalIterator():
-        words = words_of((row[1] or "").encode())
-        if block and size + len(words) > limit:
-            yield block
-            block, size = [], 0
-        block.append((row[0], words))
-        size += len(words)
-    if block:
-        yield block
+def _cut(words: list[bytes], most: int, window: int = WINDOW_WORDS) -> Iterator[list[bytes]]:
+    """Pieces of at most ``most`` words in which every window of an item lies whole."""
+    step = most - window + 1
+    for begin in range(0, max(1, len(words) - window + 1), step):
+        yield words[begin : begin + most]
+
+
+def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """One row per block: ``ids`` and ``words`` (joined by spaces) of its pieces. A written table."""
+    piece_words = max(WINDOW_WORDS, min(piece_words, limit))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, out, sizes = [], [], []
+        for name, raw in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
+            words = words_of(raw)
+            for piece in _cut(words, piece_words) if words else ():
+                ids.append(name)
+                out.append(b" ".join(piece))
+                sizes.append(len(piece))
+        columns = [pa.array(ids, pa.string()), pa.array(out, pa.binary()), pa.array(sizes, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "words", "size"])
+
+    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text"))
+    pieces = written(map_batches(items, cut, "id string, words binary, size long"))
+    total = pieces.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, words, size = [], [], 0
+        for batch in batches:
+            for name, piece, count in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if size + count > limit and words:
+                    yield _block(ids, words)
+                    ids, words, size = [], [], 0
+                ids.append(name)
+                words.append(piece)
+                size += count
+        if words:
+            yield _block(ids, words)
+
+    packed = pieces.repartition(max(1, -(-total // limit))).mapInArrow(pack, "ids array<string>, words array<binary>")
+    return written(packed.withColumn("block", F.monotonically_increasing_id()))
+
+
+def _block(ids: list[str | None], words: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array([ids], pa.list_(pa.string())), pa.array([words], pa.list_(pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, names=["ids", "words"])
 
 
 def found_spans(
@@ -239,62 +298,103 @@ def found_spans(
     item_id: str = "item_id",
     item_text: str = "text",
     block_words: int = BLOCK_WORDS,
+    piece_words: int = PIECE_WORDS,
 ) -> DataFrame:
     """``row``, ``n_words``, ``spans`` (hit words, merged, end exclusive), ``items`` (their ids as sorted strings)."""
-    kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    span = "array<struct<begin:int,end:int>>"
-    rows = docs.select(
-        F.struct("*").alias("row"),
-        F.col(text).alias("_text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(span).alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    schema = f"row {kind}, _text string, n_words long, spans {span}, items array<string>"
-    blocks = 0
-    for block in _blocks(benchmark, item_id, item_text, block_words):
-        rows = map_batches(rows, _searcher(rows.sparkSession, block), schema)
-        blocks += 1
-    if not blocks:
-        rows = map_batches(rows, _searcher(rows.sparkSession, []), schema)
-    return rows.drop("_text")
-
-
-_PHRASES: dict[str, Phrases] = {}
-
-
-def _searcher(spark: SparkSession, items: list[tuple[object, list[bytes]]]) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-    """Looks for the windows of a block of items; a worker prepares a block once and keeps two."""
-    name, block = uuid.uuid4().hex, spark.sparkContext.broadcast(items)
-
-    def search(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if name not in _PHRASES:
-            if len(_PHRASES) >= 2:
-                _PHRASES.clear()
-            _PHRASES[name] = Phrases((i if i is None else str(i), w) for i, w in block.value)
-        phrases = _PHRASES[name]
-        before, known = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        texts = bytes_of(batch.column(1))
-        spans, items, counts = [], [], []
-        low = 0
-        while low < len(texts):
-            high, size = low, 0
-            while high < len(texts) and (high == low or size + len(texts[high]) <= SHARD_BYTES):
-                size += len(texts[high])
-                high += 1
-            shard = [words_of(t) for t in texts[low:high]]
-            for number, (words, (found, names)) in enumerate(zip(shard, phrases.hits(shard)), low):
-                old = [(s["begin"], s["end"]) for s in before[number]]
-                spans.append([{"begin": a, "end": b} for a, b in merged(old + found)])
-                items.append(sorted({*known[number], *(n for n in names if n is not None)}))
-                counts.append(len(words))
-            low = high
-        types = [f.type for f in batch.schema]
-        arrays = [batch.column(0), batch.column(1)]
-        arrays += [pa.array(v, t) for v, t in ((counts, types[2]), (spans, types[3]), (items, types[4]))]
-        return pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return search
+    packed = blocks(benchmark, item_id, item_text, block_words, piece_words)
+    numbers = [r.block for r in packed.select("block").orderBy("block").collect()]
+    row = F.struct("*").alias("row")
+    if len(numbers) < 2:
+        return _searched(docs.select(row, F.col(text).alias("_text")), packed, numbers, ["row"])
+    placed = numbered(docs, row)
+    texts = placed.select("place", F.col(f"row.{text}").alias("_text"))
+    first, found = None, []
+    for number in numbers:
+        pass_ = _searched(texts, packed, [number], ["place"])
+        if first is None:
+            first = written(pass_)
+            found.append(first.filter("size(spans) > 0").drop("n_words"))
+        else:
+            found.append(written(pass_.filter("size(spans) > 0").drop("n_words")))
+    hits = reduce(DataFrame.unionAll, found).groupBy("place").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+    rows = placed.join(first.select("place", "n_words"), "place").join(hits, "place", "left")
+    begun = F.array_sort(F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>")))
+    empty = F.array().cast("array<string>")
+    return rows.select("row", "n_words", _merged_column(begun).alias("spans"), F.coalesce("items", empty).alias("items"))
+
+
+def _merged_column(spans: Column) -> Column:
+    """Sorted spans, those that overlap or touch made one."""
+
+    def add(out: Column, span: Column) -> Column:
+        last = F.element_at(out, -1)
+        grown = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], span["end"]).alias("end"))
+        touching = (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= span["begin"])
+        joined = F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(grown))
+        return F.when(touching, joined).otherwise(F.concat(out, F.array(span)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<begin:int,end:int>>"), add)
+
+
+def _searched(rows: DataFrame, packed: DataFrame, numbers: list[int], keep: list[str]) -> DataFrame:
+    """``keep``, ``n_words``, ``spans``, ``items``: what a block's windows (of no block, none) hit in ``_text``.
+
+    The block goes through the driver, which holds no other.
+    """
+    block = packed.filter(F.col("block").isin(numbers)).first() if numbers else None
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((block.ids, [bytes(w) for w in block.words]) if block else ([], []))
+    bounded_batches(spark)
+    name, span = uuid.uuid4().hex, "array<struct<begin:int,end:int>>"
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    at = len(keep)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = _prepared(name, shared)
+        some, shard, size = [], phrases.shard(), 0
+
+        def judged_shard() -> Iterator[pa.RecordBatch]:
+            hits, counts, low = shard.hits(), shard.counts, 0
+            for batch in some:
+                own = hits[low : low + batch.num_rows]
+                columns = [
+                    pa.array(counts[low : low + batch.num_rows], pa.int64()),
+                    pa.array([[{"begin": a, "end": b} for a, b in s] for s, _ in own], _SPANS),
+                    pa.array([[n for n in names if n is not None] for _, names in own], pa.list_(pa.string())),
+                ]
+                low += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], names=[*keep, "n_words", "spans", "items"])
+
+        for batch in batches:
+            if batch.num_rows:
+                for raw in bytes_of(batch.column(at)):
+                    shard.add(words_of(raw))
+                    size += len(raw)
+                some.append(batch)
+            if size >= SHARD_BYTES:
+                yield from judged_shard()
+                some, shard, size = [], phrases.shard(), 0
+        yield from judged_shard()
+
+    schema = "".join(f"`{c}` {kinds[c]}, " for c in keep)
+    return rows.select(*keep, "_text").mapInArrow(over, f"{schema}n_words long, spans {span}, items array<string>")
+
+
+#: The last block that a worker prepared: of ``BLOCK_WORDS`` words at most.
+_PREPARED: dict[str, Phrases] = {}
+
+
+def _prepared(name: str, shared: Broadcast) -> Phrases:
+    if name not in _PREPARED:
+        _PREPARED.clear()
+        ids, words = shared.value
+        _PREPARED[name] = Phrases(zip(ids, (w.split() for w in words)))
+    return _PREPARED[name]
+
+
+_SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:

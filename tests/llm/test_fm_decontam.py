@@ -74,12 +74,37 @@ def test_blocks_and_odd_documents(spark, odd_docs, no_docs):
     docs = [(i, " ".join(rng.choice(pool) for _ in range(200))) for i in range(15)] + [(50, items[5][1] + " ~ " + items[6][1])]
     texts = spark.createDataFrame(docs, "doc_id long, text string")
     want = brute(docs, [i for i in items if i[0] is not None])
-    for limit in (10**6, 25):
-        rows = fm_decontam.judged(texts, bench, block_words=limit).collect()
-        assert {r.row.doc_id: (r.n_words, len(r["items"])) for r in rows} == {i: (w[0], w[2]) for i, w in want.items()}
+    for limit, piece in ((10**6, 10**5), (10**6, 13), (60, 10**5), (25, 14)):
+        rows = fm_decontam.judged(texts, bench, block_words=limit, piece_words=piece).collect()
+        got = {r.row.doc_id: (r.n_words, r.n_hit, len(r["items"]), r.contaminated) for r in rows}
+        assert got == {i: (w[0], w[1], w[2], w[4]) for i, w in want.items()}
     odd = fm_decontam.judged(odd_docs, bench).collect()
     assert len(odd) == odd_docs.count()
     assert {r.row.doc_id for r in odd if r.contaminated} == {5, 7, None}
     assert all(r.n_words == 0 and not r.contaminated for r in odd if not r.row.text)
     assert fm_decontam.judged(no_docs, bench).count() == 0
     assert not any(r.contaminated for r in fm_decontam.judged(texts, bench.limit(0)).collect())
+
+
+def test_long_items_are_cut_and_blocks_are_bounded(spark):
+    words = [f"w{i}" for i in range(5000)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "few words"), (3, None)], "item_id long, text string")
+    packed = fm_decontam.blocks(bench, "item_id", "text", 700, 300).collect()
+    sizes = [sum(len(w.split()) for w in r.words) for r in packed]
+    assert len(packed) > 5 and max(sizes) <= 700
+    windows = {tuple(w.split()[i : i + 13]) for r in packed for w in r.words for i in range(len(w.split()) - 12)}
+    assert windows == {tuple(x.encode() for x in words[i : i + 13]) for i in range(4988)}
+
+
+def test_shards_of_several_batches(spark, monkeypatch):
+    """A shard goes on over batches up to its bytes."""
+    phrases = fm_decontam.Phrases([("a", b"x y z".split())])
+    shard = phrases.shard()
+    for text in ("q x y z", "", "x y z x y z", "x y"):
+        shard.add(fm_decontam.words_of(text.encode()))
+    assert shard.hits() == [([(1, 4)], ["a"]), ([], []), ([(0, 6)], ["a"]), ([], [])]
+    monkeypatch.setattr(fm_decontam, "SHARD_BYTES", 50)
+    docs = spark.createDataFrame([(i, "lorem x y z ipsum " * (i % 3)) for i in range(40)], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", "x y z")], "item_id string, text string")
+    rows = fm_decontam.judged(docs, bench).collect()
+    assert all(r.n_hit == 3 * (r.row.doc_id % 3) for r in rows)
