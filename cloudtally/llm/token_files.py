@@ -14,7 +14,7 @@ and a read of metadata opens no page of ids. ``start`` (ids of all documents bef
 need all files before this one to be complete: ``token_index`` adds up one number per file instead.
 
 Null and empty texts have the end id alone. Documents that share an id, or have none (null sorts first), stay rows of
-their own, ordered by text. Further columns of the input are not read. An empty table gives an empty folder of files.
+their own, ordered by text. Further columns of the input are not read; kept ones may not have the names above. An empty table gives an empty folder of files.
 """
 
 from __future__ import annotations
@@ -263,6 +263,9 @@ def encoded(
     """Documents in ascending order with their ids; one shuffle, of the texts by range of the order."""
     bounded_batches(docs.sparkSession)
     columns = [*order, *keep]
+    clash = {"tokens", "n_tokens", "part", "part_offset", "_text"}.intersection(map(str.lower, columns))
+    if clash:
+        raise ValueError(f"kept columns with names of the result: {', '.join(sorted(clash))}")
     rows = docs.select(*columns, F.col(text).alias("_text"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "_text")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}

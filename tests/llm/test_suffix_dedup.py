@@ -114,3 +114,8 @@ def test_odd_documents(spark, odd_docs, no_docs):
     got = Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())) for r in rows)
     assert got == want
     assert suffix_dedup.deduplicated(no_docs, ["doc_id"]).count() == 0
+
+
+def test_clashing_columns(spark, odd_docs):
+    with pytest.raises(ValueError, match="kept, n_bytes"):
+        suffix_dedup.deduplicated(odd_docs, ["Kept", "n_bytes"])

@@ -87,3 +87,8 @@ def test_no_documents(spark, no_docs, tmp_path):
 def test_query_is_the_plain_encoding(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     assert sorted(map(tuple, op1_token_files(spark, SF_DIR).collect())) == expected(docs)
+
+
+def test_clashing_columns(spark, odd_docs):
+    with pytest.raises(ValueError, match="n_tokens"):
+        token_files.encoded(odd_docs, PATH, keep=["n_tokens"])
