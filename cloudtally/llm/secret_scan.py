@@ -5,7 +5,7 @@ r"""Secrets in texts: fixed patterns, and strings that two character Markov mode
 
 *Models.* Both are chains over the characters ``A-Za-z0-9+/_=-``, one state for all others, trained on labelled samples
 of ``SAMPLES`` strings each, the same in every run (``labelled_counts``): random strings over the alphabets of
-``RANDOM_ALPHABETS``; and identifiers, which are names, words and paths of ``data/identifiers.txt`` alone, joined by
+``RANDOM_ALPHABETS``; and identifiers, which are names, words and paths of ``identifiers.txt`` alone, joined by
 ``_``, ``-``, ``/`` or capitals, with numbers, dates and versions, and characters that repeat. No text of the corpus
 takes part, so undetected secrets do not. Part of the random model is uniform, so strings over other alphabets count as
 random too. ``trained(pair_counts(docs))`` gives models of what the patterns find in a corpus and leave of it instead.
@@ -128,7 +128,7 @@ def pair_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 def identifier_names() -> list[str]:
     """Names, words and paths of the bundled sample."""
-    lines = (Path(__file__).parent.parent / "data" / "identifiers.txt").read_text().splitlines()
+    lines = Path(__file__).with_name("identifiers.txt").read_text().splitlines()
     return [line for line in lines if not line.startswith("#")]
 
 
