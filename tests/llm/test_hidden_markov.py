@@ -125,6 +125,34 @@ def test_query(spark, head):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_against_a_forward_pass_of_its_own(spark, monkeypatch):
+    """End to end: the trained model and the counted words give each score by a plain recursion, word by word."""
+    kept = {}
+    for name in ("trained", "counted"):
+        plain = getattr(hidden_markov, name)
+        monkeypatch.setattr(hidden_markov, name, lambda *a, plain=plain, name=name, **o: kept.setdefault(name, plain(*a, **o)))
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = {r.doc_id: r.score for r in hidden_markov.scored(table, head_words=300, rounds=2).collect()}
+    model, words = kept["trained"], kept["counted"]
+    docs = {r.doc_id: r.text for r in table.collect()}
+    counts = Counter(t for i, x in docs.items() if zlib.crc32(str(i).encode()) % 10 for t in tokens_of(x))
+    place = {w.decode(): i for i, w in enumerate(words.head)}
+    assert 200 < len(place) <= 300 and np.allclose(model.emits.sum(0), 1, atol=1e-3)
+    assert np.allclose(model.moves.sum(1), 1) and np.allclose(model.first.sum(), 1)
+    for i, text in docs.items():
+        score, alpha = 0.0, None
+        for token in [*tokens_of(text), None]:
+            symbol = place.get(token, len(place)) if token is None or token in place else None
+            if symbol is None:
+                number = zlib.crc32(token.encode()[-3:]) % hidden_markov.CLASSES
+                symbol = len(place) + 1 + number
+                share = (counts[token] + 0.1) / (words.class_tokens[number] + 0.1 * (words.class_words[number] + 1))
+                score += math.log10(share)
+            now = (alpha @ model.moves if alpha is not None else model.first) * model.emits[symbol].astype(float)
+            score, alpha = score + math.log10(now.sum()), now / now.sum()
+        assert got[i] == pytest.approx(score, rel=1e-6)
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = hidden_markov.scored(odd_docs, rounds=1, states=2).collect()
     assert len(rows) == odd_docs.count()
