@@ -34,6 +34,12 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "clou
     return spark
 
 
+def demand_ansi(spark: SparkSession) -> None:
+    """Raise unless the session is in ANSI mode: without it, a sum of amounts that overflows would be NULL, not an error."""
+    if spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
+        raise ValueError("amounts need spark.sql.ansi.enabled: without it an overflow is not an error")
+
+
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables: ``spark.checkpoint.dir``.
 

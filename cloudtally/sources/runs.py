@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from cloudtally.session import work_folder
+from cloudtally.session import demand_ansi, work_folder
 from cloudtally.sources import folders
 from cloudtally.sources.snapshots import load_snapshot, save_snapshot, save_snapshot_by_month
 
@@ -106,6 +106,7 @@ def program_run(
     spark: SparkSession, program: str, name: str, keep: str | None = None, saved: str | None = None, **facts: object
 ) -> Iterator[Run]:
     """A program's run. ``facts`` (its months) go to the manifest; those of a saved run replace them."""
+    demand_ansi(spark)
     if saved:
         with leased(spark, name) as staging:
             yield _opened(spark, program, saved, staging)

@@ -200,3 +200,13 @@ def test_store_with_dimensions_and_rejects(spark, land, tmp_path):
     assert report_rows(spark, plain) == report_rows(spark, stored)
     info = spark.read.json(str(tmp_path / "b" / "RunInfo")).first()
     assert info.rejected.instance_usage == 1 and info.rejected.account_usage == 0
+
+
+def test_programs_demand_ansi_mode(spark, land, tmp_path):
+    folder = land("invoices", INVOICES)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            programs.invoice_analysis(spark, folder, str(tmp_path / "out"), "2024-01", "2024-02", NOW, ["Detail"])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
