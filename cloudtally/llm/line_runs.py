@@ -2,7 +2,7 @@ r"""Line dedup by winnowing: later copies of runs of lines go.
 
 Texts are split at line ends; lines of white space alone (space, tab to carriage return) neither match nor break a run
 and always stay. A *window* starts at each line: the shortest run of lines from there that has ``WINDOW`` (3) lines or
-``WORDS`` (50) words, so one long line is a window, or two.
+``BYTES`` (200) bytes of UTF-8, so one long line is a window, or two.
 
 *Winnow.* In each window in turn, the line of the least hash (of equal ones the last) is a fingerprint of the text. Any
 run that two places share, and that holds a window, has the same fingerprint in both: fingerprints are counted over all
@@ -14,7 +14,7 @@ them (least id, then place in the table, then line). The window that stands ther
 *Extend.* A match goes on both ways as long as the lines before and after are those of the original. Within a run, the
 lines next to a window begin or end windows of the same run, but for two lines at either end: these are compared one by
 one. All lines of a match go, and lines that touch form one run. So a run goes with all its lines, if it has three lines
-or fifty words; a line that goes stands at an earlier place too, and the first copy of any line stays.
+or 200 bytes; a line that goes stands at an earlier place too, and the first copy of any line stays.
 
 Texts without a window lose none. Null texts are empty. Rows that repeat an id, or have none (null comes
 first), are told apart by a number that is written with their texts; repeated rows count as copies. Other columns
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from cloudtally.llm.common import numbered, written
 
 WINDOW = 3
-WORDS = 50
+BYTES = 200
 _WORD = r"[^\\x20\\x09-\\x0D]"
 
 
@@ -44,12 +44,13 @@ def _lines(rows: DataFrame) -> DataFrame:
 def windows(rows: DataFrame) -> DataFrame:
     """One row per window: ``id``, ``place``, ``at``, ``size`` (lines), its fingerprint (``pick``: hash and line), two
     hashes of its lines, and the hashes of the two lines before (``l1`` next to it) and after."""
-    each = f"transform(filled, i -> struct(xxhash64(lines[i]) as hash, regexp_count(lines[i], '{_WORD}+') as words))"
+    each = "transform(filled, i -> struct(xxhash64(lines[i]) as hash, octet_length(lines[i]) as size))"
     hashed = _lines(rows).select("id", "place", F.expr(each).alias("f"))
-    hashed = hashed.select("id", "place", F.col("f.hash").alias("h"), F.col("f.words").alias("c")).filter("size(h) > 0")
-    size = f"""case when c[at] >= {WORDS} then 1 when c[at] + get(c, at + 1) >= {WORDS} then 2
+    hashed = hashed.select("id", "place", F.col("f.hash").alias("h"), F.col("f.size").alias("c"))
+    size = f"""case when c[at] >= {BYTES} then 1 when c[at] + get(c, at + 1) >= {BYTES} then 2
         when at + {WINDOW} <= size(h) then {WINDOW} end"""
-    sized = f"filter(transform(sequence(0, size(h) - 1), at -> struct(at, {size} as size)), w -> w.size is not null)"
+    starts = "if(size(h) > 0, sequence(0, size(h) - 1), cast(array() as array<int>))"
+    sized = f"filter(transform({starts}, at -> struct(at, {size} as size)), w -> w.size is not null)"
     found = F.expr(f"""
         transform({sized}, w -> struct(
             w.at, w.size,
@@ -59,7 +60,8 @@ def windows(rows: DataFrame) -> DataFrame:
             get(h, w.at - 1) as l1, get(h, w.at - 2) as l2,
             get(h, w.at + w.size) as r1, get(h, w.at + w.size + 1) as r2))
     """)
-    return hashed.select("id", "place", F.explode(found).alias("w")).select("id", "place", "w.*")
+    # A filter on the arrays, which Spark adds before a plain explode, would work them out a second time.
+    return hashed.select("id", "place", F.explode_outer(found).alias("w")).filter("w is not null").select("id", "place", "w.*")
 
 
 def later_runs(rows: DataFrame) -> DataFrame:

@@ -69,12 +69,12 @@ WITH l AS (
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
 ), f AS (
   SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p,
-    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+    strlen(line) AS n
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), v AS (
   SELECT doc_id, p, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c, lead(line, 3) OVER d AS x,
     lead(line, 4) OVER d AS y, lag(line) OVER d AS l1, lag(line, 2) OVER d AS l2,
-    CASE WHEN n >= 50 THEN 1 WHEN n + lead(n) OVER d >= 50 THEN 2 WHEN lead(n, 2) OVER d IS NOT NULL THEN 3 END AS size
+    CASE WHEN n >= 200 THEN 1 WHEN n + lead(n) OVER d >= 200 THEN 2 WHEN lead(n, 2) OVER d IS NOT NULL THEN 3 END AS size
   FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY p)
 ), w AS (
   SELECT doc_id, p, size, l1, l2, CASE size WHEN 1 THEN [a] WHEN 2 THEN [a, b] ELSE [a, b, c] END AS lines,

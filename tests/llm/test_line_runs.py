@@ -1,5 +1,4 @@
 import random
-import re
 from collections import Counter
 
 from cloudtally.llm import line_runs
@@ -18,10 +17,10 @@ def brute(docs):
         text = [lines[i] for i in numbers]
         gone = set()
         for at in range(len(text)):
-            words, size = 0, 0
-            while at + size < len(text) and size < 3 and words < 50:
-                words, size = words + len(re.findall("[^ \\t-\\r]+", text[at + size])), size + 1
-            if size < 3 and words < 50:
+            length, size = 0, 0
+            while at + size < len(text) and size < 3 and length < 200:
+                length, size = length + len(text[at + size].encode()), size + 1
+            if size < 3 and length < 200:
                 continue
             window = tuple(text[at : at + size])
             if window not in first:
@@ -55,7 +54,7 @@ def test_runs(spark, tmp_path):
 
 
 def test_long_lines_go_on_their_own(spark, docs):
-    """One or two lines of fifty words together are a run; the short lines around it go with it."""
+    """One or two lines of 200 bytes together are a run; the short lines around it go with it."""
     long = " ".join(f"w{i}" for i in range(60))
     half = " ".join(f"h{i}" for i in range(30))
     texts = [
