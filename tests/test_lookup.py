@@ -67,3 +67,19 @@ def test_one_row_per_key(spark):
     df = spark.createDataFrame(rows, "key string, seq int, value string")
     assert sorted(map(tuple, latest_by_key(df, ["key"], ["seq"]).collect())) == [("a", 2, "new"), ("b", 1, "only")]
     assert sorted(map(tuple, first_by_key(df, ["key"], ["seq"]).collect())) == [("a", 1, "old"), ("b", 1, "only")]
+
+
+def test_keys_of_the_last_rows_are_never_sent_to_the_driver(spark):
+    """The table is far below the broadcast limit."""
+    rows = spark.range(1000).selectExpr("concat('k', id % 300) AS key", "id AS place", "id * 2 AS value")
+    found = latest_by_key(rows, ["key"], ["place"])
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+    last = {f"k{i % 300}": (f"k{i % 300}", i, i * 2) for i in range(1000)}
+    assert sorted(map(tuple, found.collect())) == sorted(last.values())
+
+
+def test_hashed_dimension_is_shuffled_at_any_size(spark):
+    found = lookup_join(data(spark), dimension(spark), "key", "name", {"value": "v"}, hashed=True)
+    assert "ShuffledHashJoin" in found._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, found.collect())) == expected("left")

@@ -167,3 +167,13 @@ def test_last_rows_are_found_without_a_sort_before_the_shuffle(spark, tmp_path):
     assert {(r.key, r.place) for r in found.collect()} == {(f"k{i % 70}", i) for i in range(1930, 2000)}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_records_are_not_sent_to_the_driver_for_their_order(spark, land):
+    """The names of the files are broadcast, the records stay where they are."""
+    folder = land("images", [{"id": "a"}, {"id": "b"}])
+    land("images", [{"id": "a"}], page=2)
+    placed = landing.with_load_place(landing.read_in_load_order(spark, folder, "images"))
+    plan = placed._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert [int(r.load_place) // 10**24 for r in placed.orderBy("load_place").collect()] == [0, 0, 1]
