@@ -214,3 +214,36 @@ def test_cut_off_lines_and_wrong_types_fail_the_read(spark, land, tmp_path):
     folder = land("invoice_items", [ITEMS[0] | {"invoiceId": "text"}])
     with pytest.raises(Exception, match="(?i)malformed"):
         landing.read_entity(spark, folder, "invoice_items").collect()
+
+
+def test_lines_meet_their_invoices_as_flat_rows(lines):
+    """What is shuffled has the columns in use alone, filters come first, nothing nested moves."""
+    plan = lines.filter("RecordType = 'Parent'").select("BillingItemId", "Description")._jdf.queryExecution()
+    sides = []
+
+    def walk(node):
+        if node.nodeName() == "Join":
+            sides.append(node.children().head())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan.optimizedPlan())
+    kinds = [s.schema().catalogString() for s in sides]
+    assert kinds and not any("array" in k or "totalRecurringAmount" in k or "billing_notes" in k for k in kinds)
+    below = sides[-1].toString()
+    assert "Generate explode" in below and "Filter" in below.partition("Generate explode")[0]
+
+
+def test_text_that_is_no_amount_fails_only_with_its_invoice(spark, land):
+    def read(invoice):
+        odd = [child(911, "x", "Odd", "a lot"), child(912, "x", "Fair", "2")]
+        item = ITEMS[0] | {"invoiceId": invoice, "billingItemId": 91, "children": odd}
+        land("invoice_items", [item], page=2)
+        read = [landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items")]
+        return invoice_lines(*read).select("BillingItemId", "childBillingItemId")
+
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    assert len(read(3).collect()) == len(read(77).collect()) == 10
+    with pytest.raises(Exception, match="not an amount: a lot"):
+        read(1).collect()
