@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import page_checks
 from compare import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,3 +39,13 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).filter("is_total").count() == 1
+
+
+def test_pages_are_compressed_and_dealt_as_the_documents_are(spark, tmp_path):
+    documents = spark.range(0, 4000, 1, 6).selectExpr("id", "repeat('text ', 50) AS text")
+    page_checks._land(spark, documents, str(tmp_path / "landing"), "page", grows=True)
+    pages = sorted(p.name for p in (tmp_path / "landing").iterdir() if p.suffix != ".crc")
+    assert pages == [f"page-{i:04}.json.gz" for i in range(6)]
+    assert sum((tmp_path / "landing" / p).stat().st_size for p in pages) < 4000 * 50
+    read = spark.read.schema("id long, text string").json(str(tmp_path / "landing"))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, documents.collect()))
