@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from checks import page_checks
+from checks import page_checks, tables
 from compare import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,3 +49,12 @@ def test_pages_are_compressed_and_dealt_as_the_documents_are(spark, tmp_path):
     assert sum((tmp_path / "landing" / p).stat().st_size for p in pages) < 4000 * 50
     read = spark.read.schema("id long, text string").json(str(tmp_path / "landing"))
     assert sorted(map(tuple, read.collect())) == sorted(map(tuple, documents.collect()))
+
+
+def test_tables_that_are_dealt_out_are_not_shuffled(spark):
+    def shuffled(splits):
+        dealt = tables.fill_cores(spark.range(0, 4000, 1, splits))
+        assert dealt.count() == 4000
+        return "Repartition" in dealt._jdf.queryExecution().optimizedPlan().toString()
+
+    assert shuffled(1) and not shuffled(4) and not shuffled(9)
