@@ -124,3 +124,15 @@ def test_summaries_read_new_months_alone(spark, land, tmp_path, monkeypatch):
     assert filled > 5
     with pytest.raises(ValueError, match="unknown reports: Detail"):
         programs.invoice_summaries(spark, folder, out, "2024-01", "2024-01", NOW, kept, ["Detail"])
+
+
+def test_rounds_of_a_merged_query_work_their_rows_out_once(spark):
+    from checks.partial_checks import _merged
+
+    calls = []
+    pivot = Pivot("Once", lambda lines: calls.append(1) or lines.filter("n > 0"), ["k"], [Measure("n")], "month")
+    lines = spark.createDataFrame([("a", 1, "2024-01"), ("a", 2, "2024-02"), ("b", 0, "2024-02")], "k string, n int, month string")
+    months = ["2024-01", "2024-02"]
+    found = _merged(spark, pivot, lines, months)
+    assert len(calls) == 1
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, pivot.report(lines, months).collect()))
