@@ -99,3 +99,8 @@ def test_provision_dates(evaluate):
     assert evaluate("t string", [("2023-05-01T00:30:00-0600",), ("",)], dates.provision_month(F.col("t"))) == [
         "2023-05", "",
     ]
+
+
+def test_the_cycle_month_reads_the_local_time_once():
+    """A filter on the month is pushed down with the whole expression in place of its name."""
+    assert str(dates.billing_month(F.col("local_ts"))).count("local_ts") == 1

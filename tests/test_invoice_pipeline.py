@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,3 +248,42 @@ def test_text_that_is_no_amount_fails_only_with_its_invoice(spark, land):
     assert len(read(3).collect()) == len(read(77).collect()) == 10
     with pytest.raises(Exception, match="not an amount: a lot"):
         read(1).collect()
+
+
+@pytest.mark.parametrize("field", ["totalRecurringAmount", "totalOneTimeAmount", "hourlyRecurringFee", "child"])
+def test_an_amount_of_an_item_that_is_none_fails_with_its_invoice(spark, land, field):
+    def read(invoice):
+        odd = {"children": [child(911, "x", "Odd", "1", hourlyRecurringFee="odd")]} if field == "child" else {field: "odd"}
+        land("invoice_items", [ITEMS[0] | {"invoiceId": invoice, "billingItemId": 91} | odd], page=2)
+        return invoice_lines(*[landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items")])
+
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    assert len(read(77).collect()) == 10
+    with pytest.raises(Exception, match="not an amount: odd"):
+        read(1).collect()
+
+
+def test_amounts_of_an_item_are_read_once_for_all_its_lines(lines):
+    plan = lines.select("Hours", "totalRecurringCharge", "totalAmount")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.partition("Generate explode")[0]
+    assert "try_cast(totalRecurringAmount" not in above and "try_cast(totalOneTimeAmount" not in above
+    assert not any(f"try_cast({n}" in above for n in ("_fee#", "_one_time#", "_own_rate#"))
+
+
+def test_only_lines_of_storage_are_looked_up(lines):
+    plan = lines._jdf.queryExecution().optimizedPlan()
+    joins = []
+
+    def walk(node):
+        if node.nodeName() == "Join":
+            joins.append(node)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    looked_up = joins[-1].children().head().toString()
+    assert re.search(r"Filter .*categoryCode#\d+ IN \(", looked_up.partition("Generate explode")[2])
+    assert sorted((r[0], r[1]) for r in lines.select("BillingItemId", "storage_notes").distinct().collect()) == [
+        (11, ""), (12, "my files+"), (13, ""), (21, ""), (41, ""),
+    ]
