@@ -157,6 +157,26 @@ def test_part_descriptions(spark):
     assert parts["D1VG4LL"] == "Block Storage for VPC"
 
 
+def test_a_part_list_that_grows_is_hashed_and_its_rows_are_not_sorted(spark):
+    """Many rows share a part, some have none or one that is not listed."""
+    parts = spark.createDataFrame([("P1", "one"), ("P2", "two"), ("P3", None)], "part_code string, description string")
+    codes = [" P1 ", "P2", "P3", "P4", "", None]
+    schema = "Portal_Invoice_Number long, BillingItemId long, childBillingItemId long, INV_PRODID string, own string"
+    rows = spark.createDataFrame([(1, i, i, codes[i % 6] if i % 2 else " P1 ", f"own {i}") for i in range(60)], schema)
+    texts = {" P1 ": "one", "P2": "two"}
+    want = {i: texts.get(codes[i % 6] if i % 2 else " P1 ", f"own {i}") for i in range(60)}
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found = reports.with_part_description(rows, parts, "own", hashed=True)
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            got = {r.BillingItemId: r.lineItemCategory for r in found.collect()}
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Broadcast" not in plan
+        assert got == want
+
+
 def test_reports_from_a_snapshot(spark, lines, tmp_path):
     folder = str(tmp_path / "out")
     months = ["2024-01", "2024-02"]

@@ -37,6 +37,14 @@ def test_every_query_has_sql():
     assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
+def test_part_lookup_neither_sorts_lines_nor_sends_the_list_to_the_driver(spark, connection):
+    """Its part list grows with the lines, which share a few parts."""
+    found = entry.QUERIES["part_description_lookup"](spark, SF_DIR)
+    joins = [line for line in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "LeftOuter" in line]
+    assert joins and all("ShuffledHashJoin" in join for join in joins)
+    assert compare(spark, connection, SF_DIR, "part_description_lookup").startswith("same ")
+
+
 def test_entry(spark):
     assert entry.entry(spark).filter("is_total").count() == 1
 
