@@ -58,6 +58,38 @@ def test_a_weight_below_one_slot_gets_one(spark):
     assert Counter(r.key for r in rows)["1b"] >= 1 and row.slots in (50, 51)
 
 
+@pytest.mark.parametrize("period", [1, 7, 40])
+@pytest.mark.parametrize("sizes", [[90, 70, 30, 1], [400, 11, 11], [17] * 12, [55]])
+def test_one_schedule_over_the_whole_run(spark, sizes, period):
+    """Stretch by stretch, as slot by slot from the first to the last."""
+    counts = spark.createDataFrame([(f"1s{i:02}", n) for i, n in enumerate(sizes)], "key string, n long")
+    row = pfair_mix.shares(counts, block_docs=1, period=period)
+    rows, row = pfair_mix.schedule(row, whole=True).collect(), row.first()
+    assert row.last > row.slots or len(sizes) == 1
+    done, want = Counter(), {}
+    for slot, i in enumerate(edf([Fraction(w, row.total) for w in row.fine], row.last)):
+        if done[i] < sizes[i]:
+            want[row.sources[i], done[i]] = slot
+        done[i] += 1
+    assert {(r.key, r.unit): r.slot for r in rows} == want and len(rows) == sum(sizes)
+
+
+def test_less_than_one_block_off_the_target_weight_after_the_first_stretch(spark):
+    """Weights that no stretch of 10 slots can give by itself."""
+    weights = {"a": 0.47, "b": 0.31, "c": 0.22}
+    docs = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(1200)], "doc_id long, source string")
+    rows = pfair_mix.mixed(docs, ["source"], weights, block_docs=1, period=10).orderBy("slot").collect()
+    seen = Counter()
+    for r in rows:
+        assert r.release <= r.slot < r.deadline
+        seen[r.source] += 1
+        # All blocks before it have been placed, for as long as no source has run out.
+        if r.slot < 800:
+            assert sum(seen.values()) == r.slot + 1
+            assert all(abs(seen[k] - w * (r.slot + 1)) < 1 + 1e-5 for k, w in weights.items())
+    assert seen == {"a": 400, "b": 400, "c": 400}
+
+
 def test_a_thousand_sources_within_seconds(spark):
     began = time.time()
     row, rows = scheduled(spark, {f"s{i}": 1 + i % 7 for i in range(1000)})
