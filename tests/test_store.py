@@ -52,6 +52,34 @@ def test_one_new_page_is_read_alone_and_old_months_stay(spark, land, tmp_path, o
     assert sorted(map(str, rows.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_months_are_put_together_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 600, 1, 4).selectExpr("id", "concat('2024-0', 1 + id % 3) as month")
+    for name in ("old", "new"):
+        rows.write.partitionBy("month").parquet(f"{tmp_path}/{name}")
+    old, new = (spark.read.schema(rows.schema).parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+    found = store._month_by_month([(old, lambda own: own.filter("id >= 300")), (new, lambda own: own)], "month")
+    assert "Exchange" not in plan(found)
+    tasks = found.selectExpr("month", "spark_partition_id() as task").groupBy("task").agg({"month": "collect_set"}).collect()
+    assert len(tasks) >= 3 and all(len(r[1]) == 1 for r in tasks)
+    assert sorted(map(tuple, found.select(*rows.columns).collect())) == sorted(
+        map(tuple, rows.unionAll(rows.filter("id >= 300")).collect())
+    )
+
+
+def test_items_are_hashed_to_their_invoices(spark, land, tmp_path):
+    land("invoices", INVOICES)
+    kept = str(tmp_path / "store")
+    store.add_months(spark, land("invoice_items", ITEMS), kept, "invoices")
+    placed = store._by_invoice(spark, kept)(landing.read_entity(spark, land("invoice_items", ITEMS), "invoice_items"))
+    assert "ShuffledHashJoin" in plan(placed) and "SortMergeJoin" not in plan(placed)
+    known = {i["id"] for i in INVOICES}
+    assert {(r.invoiceId in known, r.billing_cycle is not None) for r in placed.collect()} <= {(True, True), (False, False)}
+
+
 def test_a_page_that_landed_anew_replaces_its_rows(spark, land, tmp_path):
     folder, kept = land("instance_usage", [dict(USAGE[0], month="2024-01")]), str(tmp_path / "store")
     land("instance_usage", [dict(USAGE[0], month="2024-02")], page=2)
