@@ -83,3 +83,11 @@ def test_hashed_dimension_is_shuffled_at_any_size(spark):
     found = lookup_join(data(spark), dimension(spark), "key", "name", {"value": "v"}, hashed=True)
     assert "ShuffledHashJoin" in found._jdf.queryExecution().sparkPlan().toString()
     assert sorted(map(tuple, found.collect())) == expected("left")
+
+
+def test_groups_by_the_dimensions_key_need_no_further_shuffle(spark):
+    rows = spark.createDataFrame([(i % 7, i) for i in range(50)], "ref long, n long")
+    names = spark.createDataFrame([(i, f"d{i}") for i in range(5)], "id long, name string")
+    found = lookup_join(rows, names, "ref", "id", ["id", "name"], how="inner", hashed=True).groupBy("id", "name", "n").count()
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i % 7, f"d{i % 7}", i, 1) for i in range(50) if i % 7 < 5)

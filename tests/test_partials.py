@@ -45,6 +45,23 @@ def test_merged_months_equal_the_report_of_all_lines(spark, tmp_path, pivot):
         assert merged.columns == pivot.report(whole, months).columns
 
 
+def test_months_reduced_at_once_are_kept_in_rounds(spark, tmp_path):
+    whole = lines(spark, 1)
+    rows = SHEET.reduced(whole, MONTHS)
+    for months in (["2024-02"], ["2024-03", "2024-01"]):
+        partials.add_months(SHEET, rows, months, str(tmp_path), reduced=True)
+    assert rows_of(partials.merged_report(spark, SHEET, MONTHS, str(tmp_path))) == rows_of(SHEET.report(whole, MONTHS))
+    with pytest.raises(ValueError, match="distinct"):
+        COUNTS.reduced(whole, MONTHS)
+
+
+def test_a_merged_sheet_shuffles_its_totals_alone(spark, tmp_path):
+    partials.add_months(SHEET, lines(spark, 1), MONTHS, str(tmp_path))
+    plan = partials.merged_report(spark, SHEET, MONTHS, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(shuffled) == 1 and "place" not in shuffled[0]
+
+
 def test_a_month_built_again_replaces_its_partials(spark, tmp_path):
     folder, first, second = str(tmp_path), lines(spark, 1), lines(spark, 2, rows=90)
     partials.add_months(COUNTS, first, MONTHS, folder)
