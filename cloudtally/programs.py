@@ -139,7 +139,7 @@ def invoice_analysis(
                 _by_month(spark, landing, store, "invoices", *cycles),
                 _by_month(spark, landing, store, "invoice_items", *cycles),
                 read_entity(spark, landing, "network_storage") if storage_notes else None,
-                start, end, child_one_time, not parents_only,
+                start, end, child_one_time, not parents_only, whole=True,
             )
 
         lines = run.table("invoice_lines", built_lines, "billing_month")

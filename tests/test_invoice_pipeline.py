@@ -255,6 +255,52 @@ def test_lines_meet_their_invoices_as_flat_rows(lines):
     assert "Generate explode" in below and "Filter" in below.partition("Generate explode")[0]
 
 
+ODD = [
+    ITEMS[0] | {"billingItemId": 91, "hostName": 'a "b"\\ c', "domainName": "", "notes": "ein\nzwei\t\u0001 \u00fc\U0001f600", "dPart": "null",
+                "children": [child(911, "x", 'Odd, "text"] \\', "1.50", dPart=""), child(912, "x", "Free", None)]},
+    ITEMS[1] | {"billingItemId": 92, "hourlyFlag": None, "location": {"longName": "[1, 2]"}, "children": None,
+                "totalRecurringAmount": "123456789012345678.0123456789", "hourlyRecurringFee": "0.1234567891"},
+    ITEMS[2] | {"billingItemId": None, "product": {"description": None}},
+]
+
+
+def test_whole_lines_are_those_of_flat_rows(spark, land):
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS + ODD)
+    land("network_storage", VOLUMES)
+    read = [landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items", "network_storage")]
+    whole, flat = invoice_lines(*read, whole=True), invoice_lines(*read)
+    assert whole.dtypes == flat.dtypes
+    assert sorted(map(str, whole.collect())) == sorted(map(str, flat.collect())) and flat.count() == 16
+
+
+def test_whole_lines_are_shuffled_as_items(spark, land):
+    """Their texts in two columns, and the keys of the lookups beside them."""
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    plan = invoice_lines(*[landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items")], whole=True)
+    plan = plan._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    side = plan.children().head()
+    assert "Generate" not in side.toString()
+    assert set(side.schema().fieldNames()) <= {"_invoice", "BillingItemId", "_item", "children", "storage_notes", "_left_key"}
+
+
+@pytest.mark.parametrize("fee", ["a lot", "1"])
+def test_whole_lines_fail_on_no_amount_only_with_its_invoice(spark, land, fee):
+    def read(invoice):
+        odd = {"children": [child(911, "x", "Odd", fee)], "totalOneTimeAmount": "1" if fee == "a lot" else "odd"}
+        land("invoice_items", [ITEMS[0] | {"invoiceId": invoice, "billingItemId": 91} | odd], page=2)
+        return invoice_lines(*[landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items")], whole=True)
+
+    folder = land("invoices", INVOICES)
+    land("invoice_items", ITEMS)
+    assert len(read(77).collect()) == 10
+    with pytest.raises(Exception, match="not an amount: (a lot|odd)"):
+        read(1).collect()
+
+
 def test_text_that_is_no_amount_fails_only_with_its_invoice(spark, land):
     def read(invoice):
         odd = [child(911, "x", "Odd", "a lot"), child(912, "x", "Fair", "2")]
