@@ -274,6 +274,15 @@ def test_whole_lines_are_those_of_flat_rows(spark, land):
     assert sorted(map(str, whole.collect())) == sorted(map(str, flat.collect())) and flat.count() == 16
 
 
+def test_the_time_of_an_invoice_is_read_only_where_it_is_used(spark, land):
+    folder = land("invoices", [INVOICES[0] | {"createDate": None}])
+    land("invoice_items", ITEMS)
+    lines = invoice_lines(*[landing.read_entity(spark, folder, n) for n in ("invoices", "invoice_items")])
+    assert lines.select("BillingItemId", "childBillingItemId").count() == 8
+    with pytest.raises(Exception, match="not a time"):
+        lines.select("BillingItemId", "Portal_Invoice_Date").collect()
+
+
 def test_whole_lines_are_shuffled_as_items(spark, land):
     """Their texts in two columns, and the keys of the lookups beside them."""
     folder = land("invoices", INVOICES)
